@@ -67,13 +67,17 @@ def halo_rows(ticks: DataFrame, h: int, chunk_size: int) -> DataFrame:
 
 def rolling_mean(ticks: DataFrame, n: int = SMA_WINDOW, min_ticks: int = SMA_MIN_TICKS,
                  chunk_size: int = DEFAULT_CHUNK, out_col: str = "sma",
-                 exact4: bool = False) -> DataFrame:
+                 exact4: bool = False, prior: DataFrame | None = None) -> DataFrame:
     """Add ``out_col``: mean of the last ``n`` prices of the symbol up to this tick.
 
     With ``exact4`` also ``<out_col>4``: the same mean rounded half-up to 4
     decimals from integer 1e-4 price units (same value on every engine; prices
     are taken as non-negative).
 
+    ``prior``: earlier ticks of the same symbols (symbol, partition, offset,
+    price; at least the last ``n - 1`` of each symbol) that enter the frames
+    but are not emitted — the state carried between micro-batches.
+
     Order is (partition, offset). Ticks without a price are left out (they have
     no mean and do not enter anyone's window), as are ticks without an offset.
     Plan: ticks ∪ halo rows → one exchange on (symbol, partition, chunk) → sort
@@ -84,11 +88,15 @@ def rolling_mean(ticks: DataFrame, n: int = SMA_WINDOW, min_ticks: int = SMA_MIN
         raise ValueError("need 1 <= min_ticks <= n")
     h = n - 1
     cols = ticks.columns
-    main = (_chunked(ticks, chunk_size)
-            .withColumn("_sp", F.col("partition"))
-            .withColumn("_emit", F.lit(True)))
+    src = ticks.withColumn("_emit", F.lit(True))
+    if prior is not None:
+        src = src.unionByName(
+            prior.select("symbol", "partition", "offset", "price")
+            .withColumn("_emit", F.lit(False)), allowMissingColumns=True)
+    main = (_chunked(src, chunk_size)
+            .withColumn("_sp", F.col("partition")))
     if h > 0:
-        halo = (halo_rows(ticks, h, chunk_size)
+        halo = (halo_rows(src, h, chunk_size)
                 .withColumn("_emit", F.lit(False)))
         main = main.unionByName(halo, allowMissingColumns=True)
     w = Window.partitionBy("symbol", "partition", "_chunk").orderBy("_sp", "offset")
@@ -138,10 +146,11 @@ def price_alerts(with_sma: DataFrame, threshold: float = ALERT_THRESHOLD,
 
 
 def rolling_alerts(ticks: DataFrame, n: int = SMA_WINDOW, threshold: float = ALERT_THRESHOLD,
-                   chunk_size: int = DEFAULT_CHUNK, exact4: bool = False) -> DataFrame:
+                   chunk_size: int = DEFAULT_CHUNK, exact4: bool = False,
+                   prior: DataFrame | None = None) -> DataFrame:
     """W1-W3 in one call: every priced tick with its mean, deviation and alert."""
-    return price_alerts(rolling_mean(ticks, n=n, chunk_size=chunk_size, exact4=exact4),
-                        threshold)
+    return price_alerts(rolling_mean(ticks, n=n, chunk_size=chunk_size, exact4=exact4,
+                                     prior=prior), threshold)
 
 
 def session_stats(alerted: DataFrame) -> DataFrame:

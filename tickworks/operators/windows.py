@@ -38,11 +38,15 @@ def _exact_avg4(price: Column) -> tuple[Column, Column]:
 
 
 def window_aggregates(ticks: DataFrame, duration: str = WINDOW_DURATION,
-                      mode: str = "double", watermark: str | None = None) -> DataFrame:
+                      mode: str = "exact", watermark: str | None = None) -> DataFrame:
     """Tumbling-window aggregates per (window, symbol).
 
-    mode="double": round(avg(price), 4) as the reference computes it.
-    mode="exact":  integer form of the same rounding (see ``_exact_avg4``).
+    mode="exact":  avg rounded half-up to 4 decimals on integers (default; see
+                   ``_exact_avg4``). The double form below depends on the
+                   summation order, i.e. on partitioning: where the exact mean
+                   ends in a 5 at the fifth decimal, two runs on differently
+                   sized clusters can round it differently.
+    mode="double": round(avg(price), 4) on doubles, the original expression.
     Rows with a null timestamp fall in no window; null prices are ignored
     (a window of only null prices gives nulls and tick_count 0).
     """
