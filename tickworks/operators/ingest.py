@@ -9,8 +9,9 @@ P13  key_audit          records whose key differs from the payload symbol
 
 All of it is row-local (no shuffle) and stays inside whole-stage codegen.
 ``parse_ticks`` parses each payload once: the parsed struct is wrapped in a
-one-element array, filtered and inlined, so the optimizer cannot push the
-``symbol is not null`` test below the projection and parse the JSON twice.
+one-element array, filtered and inlined, so the optimizer neither pushes the
+``symbol is not null`` test below the projection (a second parse) nor splits
+the parse into one pruned parse per field.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import (decode_text, epoch_ms_to_timestamp, iso_to_timestamp,
                                parse_envelope, parse_tick_json, timestamp_to_iso)
-from ..schema import DEFAULT_LIVE_SOURCE, TICK_COLUMNS, TRADE_TYPE
+from ..schema import (DEFAULT_LIVE_SOURCE, TICK_WIRE_SCHEMA, TICK_WIRE_SCHEMA_LENIENT,
+                      TRADE_TYPE)
 
 
 def _parsed(records: DataFrame, lenient_volume: bool) -> Column:
@@ -35,26 +37,25 @@ def parse_ticks(records: DataFrame, symbol_from: str = "value",
     symbol_from="key":   symbol from the record key (stand-alone consumer).
     Rows whose symbol is null (malformed, truncated, empty or null payload,
     missing symbol) are dropped; a bad timestamp becomes null, not an error.
+    The whole parsed struct goes through the generator and its fields are read
+    only after it: a field read directly on ``from_json`` is rewritten by the
+    optimizer into one single-field parse per field (five parses per record).
     """
-    p = _parsed(records, lenient_volume)
-    if symbol_from == "value":
-        symbol = p["symbol"]
-    elif symbol_from == "key":
-        symbol = decode_text(F.col("key"))
-    else:
+    schema = TICK_WIRE_SCHEMA_LENIENT if lenient_volume else TICK_WIRE_SCHEMA
+    p = F.from_json(decode_text(F.col("value")), schema)
+    if symbol_from == "key":
+        p = p.withField("symbol", decode_text(F.col("key")))
+    elif symbol_from != "value":
         raise ValueError(f"symbol_from must be 'value' or 'key', not {symbol_from!r}")
-    rec = F.struct(
-        symbol.alias("symbol"),
-        iso_to_timestamp(p["timestamp"]).alias("timestamp"),
-        p["price"].alias("price"),
-        p["volume"].alias("volume"),
-        p["source"].alias("source"),
-        F.col("timestamp").alias("kafka_timestamp"),
-        F.col("partition").cast("int").alias("partition"),
-        F.col("offset").cast("bigint").alias("offset"),
-    )
-    kept = F.filter(F.array(rec), lambda x: x["symbol"].isNotNull())
-    return records.select(F.inline(kept)).select(*TICK_COLUMNS)
+    kept = F.filter(F.array(p), lambda x: x["symbol"].isNotNull())
+    exploded = records.select(F.col("timestamp").alias("kafka_timestamp"),
+                              F.col("partition").cast("int").alias("partition"),
+                              F.col("offset").cast("bigint").alias("offset"),
+                              F.inline(kept))
+    volume = F.col("volume").try_cast("bigint") if lenient_volume else F.col("volume")
+    return exploded.select(
+        "symbol", iso_to_timestamp(F.col("timestamp")).alias("timestamp"), "price",
+        volume.alias("volume"), "source", "kafka_timestamp", "partition", "offset")
 
 
 def parse_rejects(records: DataFrame) -> DataFrame:
@@ -92,10 +93,9 @@ def unpack_envelopes(envelopes: DataFrame, raw_col: str = "raw",
     Output: symbol, timestamp (ISO-8601 text, UTC), price, volume, source.
     """
     env = parse_envelope(F.col(raw_col))
-    elems = (envelopes
-             .select(env.alias("m"))
-             .where(F.col("m.type") == F.lit(TRADE_TYPE))
-             .select(F.inline(F.col("m.data"))))
+    trades = F.filter(F.array(env), lambda m: m["type"] == F.lit(TRADE_TYPE))
+    elems = (envelopes.select(F.inline(trades))          # one parse per message
+             .select(F.inline(F.col("data"))))
     return elems.select(
         F.col("s").alias("symbol"),
         timestamp_to_iso(epoch_ms_to_timestamp(F.col("t"))).alias("timestamp"),

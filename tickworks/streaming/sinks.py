@@ -107,7 +107,8 @@ class WindowUpsertSink:
                 *keys,
                 *[F.when(in_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c)
                   for c in value_cols],
-                F.coalesce(F.col("o.created_at"), F.current_timestamp()).alias("created_at"))
+                F.coalesce(F.col("o.created_at"), F.current_timestamp()).alias("created_at")
+            ).select(*new.columns, "created_at")
             checkpoint_root(spark)      # reliable checkpoint in the shared folder
             merged = merged.checkpoint()
         else:
