@@ -18,7 +18,9 @@ volume alerts every 5 s. Tests and oracle runs use ``availableNow``.
 from __future__ import annotations
 
 import json
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ from ..operators.windows import window_aggregates
 from ..schema import SMA_WINDOW, TICK_COLUMNS, WATERMARK_DELAY, WINDOW_DURATION
 from .sinks import (AlertAppendSink, SnapshotSink, WindowUpsertSink, fan_out,
                     history_fold, latest_fold, stats_fold)
+from ..session import ship_package
 from .stateful import ROLLING_OUTPUT, RollingMeanProcessor
 
 # Trigger intervals of the three original queries.
@@ -40,12 +43,27 @@ STATE_PROVIDER = ("org.apache.spark.sql.execution.streaming.state."
                   "RocksDBStateStoreProvider")
 
 
+def persisted(fn):
+    """Run a foreachBatch body on a persisted batch.
+
+    Every action on the batch DataFrame would otherwise re-run the micro-batch
+    plan (for stateful queries: the whole state-store update) once per action.
+    """
+    def run(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.persist()
+        try:
+            fn(batch_df, batch_id)
+        finally:
+            batch_df.unpersist()
+    return run
+
+
 def _start(df: DataFrame, name: str, checkpoint: str, trigger: dict, output_mode: str,
            batch_fn=None, fmt: str | None = None, path: str | None = None):
     w = (df.writeStream.queryName(name).option("checkpointLocation", checkpoint)
          .outputMode(output_mode).trigger(**trigger))
     if batch_fn is not None:
-        w = w.foreachBatch(batch_fn)
+        w = w.foreachBatch(persisted(batch_fn))
     elif fmt is not None:
         w = w.format(fmt)
         if path:
@@ -83,6 +101,10 @@ def start_rolling_state(ticks: DataFrame, path: str, checkpoint: str,
                         name: str = "rolling_alerts"):
     """T5: keyed state (RocksDB) carries the last n-1 prices of each symbol."""
     spark = ticks.sparkSession
+    ship_package(spark)
+    # The processor is also unpickled by a driver-side Python runner that does
+    # not see py-files: send its module by value so no import is needed there.
+    cloudpickle.register_pickle_by_value(sys.modules[RollingMeanProcessor.__module__])
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != STATE_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
     out = (ticks.select("symbol", "partition", "offset", "timestamp", "price")
