@@ -56,3 +56,43 @@ def test_history_entries_json(spark):
     j = history_entries(last_n_ticks(t, 100)).first().tick_json
     assert j == ('{"symbol":"A","price":1.5,"volume":null,'
                  '"timestamp":"2024-01-01 00:00:00","source":"test"}')
+
+
+def test_read_history_skips_malformed(spark):
+    from tickworks.operators.history import read_history
+    entries = spark.createDataFrame(
+        [("A", 1, '{"price": 2.5, "timestamp": "2024-01-01 00:00:02"}'),
+         ("A", 2, '{"price": "1.5", "timestamp": "2024-01-01 00:00:01"}'),
+         ("A", 3, '{"price": null, "timestamp": "2024-01-01 00:00:00"}'),
+         ("A", 4, '{"price": 9.0}'),
+         ("A", 5, 'not json')], "symbol string, rank bigint, tick_json string")
+    out = [(r.rank, r.price) for r in read_history(entries).collect()]
+    assert out == [(2, 1.5), (1, 2.5)]
+
+
+def test_timestamp_text_like_python(spark):
+    from datetime import datetime
+    from pyspark.sql import functions as F
+    from tickworks.functions.parse import timestamp_text
+    vals = ["2024-01-01 00:00:07", "2024-01-01 00:00:07.1", "2024-01-01 00:00:07.000123"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r.t for r in df.select(timestamp_text(F.col("s").cast("timestamp")).alias("t")).collect()]
+    assert got == [str(datetime.fromisoformat(v)) for v in vals]
+
+
+def test_channel_latest_and_lag(spark):
+    from pyspark.sql import functions as F
+    from tickworks.operators.latest import channel_latest, ingest_lag
+    msgs = spark.createDataFrame(
+        [("subscribe", '{"symbol": "A", "price": 9}', 0),
+         ("message", '{"symbol": "A", "price": 1.0}', 1),
+         ("message", '{"symbol": "A", "price": 2.0}', 2),
+         ("message", 'garbage', 3),
+         ("message", '{"symbol": "", "price": 5.0}', 4),
+         ("message", '{"price": 5.0}', 5)], "type string, data string, offset bigint")
+    msgs = msgs.withColumn("partition", F.lit(0)).withColumn("received_at", F.current_timestamp())
+    out = [(r.symbol, r.price) for r in channel_latest(msgs).collect()]
+    assert out == [("A", 2.0)]
+    t = tick_rows(spark, [("A", "2024-01-01 00:00:00", 1.0, 1, 0)]).withColumn(
+        "kafka_timestamp", F.lit("2024-01-01 00:00:01.5").cast("timestamp"))
+    assert ingest_lag(t).first().lag_seconds == 1.5

@@ -52,6 +52,14 @@ def timestamp_to_iso(c: Column) -> Column:
     return F.date_format(c, ISO_FORMAT)
 
 
+def timestamp_text(c: Column) -> Column:
+    """timestamp → plain text as Python's ``str(datetime)`` writes it (F4):
+    'yyyy-MM-dd HH:mm:ss', plus '.ffffff' only when the microseconds are not zero."""
+    whole = F.unix_micros(c) % 1000000 == 0
+    return F.when(whole, F.date_format(c, "yyyy-MM-dd HH:mm:ss")).otherwise(
+        F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 def tick_json(symbol: Column, price: Column, volume: Column, timestamp: Column,
               source: Column) -> Column:
     """One tick as JSON text; null fields are written as ``null``."""

@@ -4,6 +4,8 @@ W4/O5  last_n_ticks    newest ``n`` ticks per symbol (arrival order)
 W6     pct_change      % change of each kept tick from the oldest kept one
 O3     oldest_first    history in chart order (symbol, seq ascending)
 K3     history_entries history rows as stored: JSON text per tick, newest first
+S7     read_history    stored entries back as (timestamp text, price), oldest first;
+                       malformed entries skipped
 
 Skew. ``row_number() <= n`` over a per-symbol window gets a partial
 window-group limit before the exchange, so each map task ships at most ``n``
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.parse import tick_json
+from ..functions.parse import text_to_double, tick_json, timestamp_text
 from ..schema import HISTORY_LEN
 from .rolling import DEFAULT_CHUNK
 
@@ -70,4 +72,23 @@ def history_entries(history: DataFrame) -> DataFrame:
     return history.select(
         "symbol", "rank", "partition", "offset",
         tick_json(F.col("symbol"), F.col("price"), F.col("volume"),
-                  F.col("timestamp").cast("string"), F.col("source")).alias("tick_json"))
+                  timestamp_text(F.col("timestamp")), F.col("source")).alias("tick_json"))
+
+
+_ENTRY_SCHEMA = "price string, timestamp string"
+
+
+def read_history(entries: DataFrame, json_col: str = "tick_json") -> DataFrame:
+    """Stored history entries → symbol, rank, timestamp (text), price (double).
+
+    An entry whose JSON does not parse, whose price is not a number, or that
+    has no timestamp is skipped. Oldest first within a symbol (highest rank
+    first), as a chart draws it. The price is read as text and cast with
+    ``try_cast``, so a quoted number still counts.
+    """
+    e = F.from_json(F.col(json_col), _ENTRY_SCHEMA)
+    parsed = entries.select("symbol", "rank", F.inline(F.array(e)))
+    out = parsed.select("symbol", "rank", "timestamp",
+                        text_to_double(F.col("price")).alias("price"))
+    return (out.where(F.col("price").isNotNull() & F.col("timestamp").isNotNull())
+            .orderBy("symbol", F.col("rank").desc()))

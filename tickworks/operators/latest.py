@@ -3,6 +3,8 @@
 A3  latest_price   last price per symbol in arrival order (last write wins)
     latest_tick    the whole last tick per symbol
 A5  freshness      newest broker timestamp and its age at ``as_of``
+P5  ingest_lag     broker time minus event time, per tick
+S8  channel_latest latest tick per symbol from channel messages (bad ones skipped)
 
 ``max_by`` is an ordinary aggregate: each map task reduces its rows to one
 per symbol before the shuffle, so a hot symbol costs nothing extra. It also
@@ -45,3 +47,26 @@ def freshness(ticks: DataFrame, as_of: Column | str, by_symbol: bool = False) ->
     agg = ticks.groupBy(*keys).agg(F.max("kafka_timestamp").alias("last_update"))
     age = (F.unix_micros(as_of_c) - F.unix_micros(F.col("last_update"))) / F.lit(1e6)
     return agg.withColumn("age_seconds", age)
+
+
+def ingest_lag(ticks: DataFrame) -> DataFrame:
+    """Add ``lag_seconds`` = kafka_timestamp - timestamp (null when either is null)."""
+    lag = (F.unix_micros("kafka_timestamp") - F.unix_micros("timestamp")) / F.lit(1e6)
+    return ticks.withColumn("lag_seconds", lag)
+
+
+_CHANNEL_SCHEMA = "symbol string, price double, volume bigint, timestamp string, source string"
+
+
+def channel_latest(messages: DataFrame) -> DataFrame:
+    """Messages (type, data JSON text, received_at, partition, offset) → live ticks.
+
+    Frames whose type is not ``message`` are ignored; a message that does not
+    parse or has a null or empty symbol is skipped. Result: the last message
+    per symbol (by arrival) and the time the reader last got any message of it.
+    """
+    m = F.from_json(F.col("data"), _CHANNEL_SCHEMA)
+    ok = F.filter(F.array(m), lambda x: x["symbol"].isNotNull() & (x["symbol"] != F.lit("")))
+    ticks = (messages.where(F.col("type") == F.lit("message"))
+             .select("received_at", "partition", "offset", F.inline(ok)))
+    return latest_tick(ticks).withColumnRenamed("received_at", "last_update")

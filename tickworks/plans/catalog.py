@@ -441,6 +441,47 @@ def pct_change(spark, sf_dir):
     return h.select("symbol", "offset", "price", "base_price", "pct_change")
 
 
+_TS_TEXT = ("CASE WHEN epoch_us(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') "
+            "ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END")
+
+
+@register("history_json_roundtrip", f"""
+SELECT symbol, rank, {_TS_TEXT} AS timestamp, value AS price
+FROM (SELECT *, event_type AS symbol,
+             row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS rank
+      FROM events) h
+WHERE rank <= 100 AND value IS NOT NULL""")
+def history_json_roundtrip(spark, sf_dir):
+    """K3 + S7, F4: history stored as JSON entries and read back oldest-first."""
+    from ..operators.history import history_entries, last_n_ticks, read_history
+    return read_history(history_entries(last_n_ticks(event_ticks(spark, sf_dir), 100)))
+
+
+@register("live_channel", f"""
+SELECT symbol, arg_max(value, event_id) AS price,
+       arg_max(CAST(json_extract_string(props, '$.k') AS BIGINT) * 20000, event_id) AS volume,
+       arg_max({_TS_TEXT}, event_id) AS timestamp,
+       'synthetic' AS source, max(ts) AS last_update
+FROM (SELECT *, CAST(user_id AS VARCHAR) AS symbol FROM events) e
+GROUP BY symbol""")
+def live_channel(spark, sf_dir):
+    """Channel messages (one per tick, plus every raw page as a bad message)
+    → latest live tick per symbol; unparsable messages skipped."""
+    from ..functions.parse import tick_json, timestamp_text
+    from ..operators.latest import channel_latest
+    t = event_ticks(spark, sf_dir, "user_id")
+    good = t.select(F.lit("message").alias("type"),
+                    tick_json(F.col("symbol"), F.col("price"), F.col("volume"),
+                              timestamp_text(F.col("timestamp")), F.col("source")).alias("data"),
+                    F.col("kafka_timestamp").alias("received_at"), "partition", "offset")
+    bad = load_table(spark, sf_dir, "pages").select(
+        F.lit("message").alias("type"), F.col("html").alias("data"),
+        F.lit(None).cast("timestamp").alias("received_at"), F.lit(1).alias("partition"),
+        F.col("page_id").cast("bigint").alias("offset"))
+    out = channel_latest(good.unionByName(bad))
+    return out.select("symbol", "price", "volume", "timestamp", "source", "last_update")
+
+
 # ---------------------------------------------------------------------------
 # Serving queries on the window table
 # ---------------------------------------------------------------------------
