@@ -35,7 +35,7 @@ def last_n_ticks(ticks: DataFrame, n: int = HISTORY_LEN,
     """
     cols = ticks.columns
     t = (ticks.where(F.col("offset").isNotNull())
-         .withColumn("_chunk", F.floor(F.col("offset") / F.lit(chunk_size))))
+         .withColumn("_chunk", F.expr(f"`offset` div {int(chunk_size)}")))
     w1 = (Window.partitionBy("symbol", "partition", "_chunk")
           .orderBy(F.col("offset").desc()))
     stage1 = t.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= n)

@@ -7,8 +7,9 @@ P5  ingest_lag     broker time minus event time, per tick
 S8  channel_latest latest tick per symbol from channel messages (bad ones skipped)
 
 ``max_by`` is an ordinary aggregate: each map task reduces its rows to one
-per symbol before the shuffle, so a hot symbol costs nothing extra. It also
-runs unchanged as a streaming aggregation in update mode.
+per symbol before the shuffle, so a hot symbol costs nothing extra.
+``latest_tick`` carries a struct value, so Spark runs it as a sort-based
+aggregate (map-side sort per task, still partial before the shuffle).
 """
 
 from __future__ import annotations
@@ -24,8 +25,17 @@ def _seq() -> Column:
 
 
 def latest_price(ticks: DataFrame) -> DataFrame:
-    """symbol, price of the last-arrived tick (its price may be null)."""
-    return ticks.groupBy("symbol").agg(F.max_by("price", _seq()).alias("price"))
+    """symbol, price of the last-arrived tick (its price may be null).
+
+    Two hash aggregates instead of one ``max_by(price, struct(partition, offset))``:
+    a struct ordering key is not a fixed-width aggregation buffer, which forces
+    a sort-based aggregate (every map task sorting its whole input). Per
+    (symbol, partition) the ordering key is the plain offset; the second step
+    picks the highest partition per symbol over at most one row per partition.
+    """
+    per_part = (ticks.groupBy("symbol", "partition")
+                .agg(F.max_by("price", "offset").alias("price")))
+    return per_part.groupBy("symbol").agg(F.max_by("price", "partition").alias("price"))
 
 
 def latest_tick(ticks: DataFrame) -> DataFrame:

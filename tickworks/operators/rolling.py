@@ -32,7 +32,7 @@ DEFAULT_CHUNK = 1 << 20     # offsets per chunk: ~1M ticks of one symbol per tas
 
 def _chunked(ticks: DataFrame, chunk_size: int) -> DataFrame:
     return (ticks.where(F.col("price").isNotNull() & F.col("offset").isNotNull())
-            .withColumn("_chunk", F.floor(F.col("offset") / F.lit(chunk_size))))
+            .withColumn("_chunk", F.expr(f"`offset` div {int(chunk_size)}")))
 
 
 def halo_rows(ticks: DataFrame, h: int, chunk_size: int) -> DataFrame:
