@@ -99,8 +99,12 @@ class WindowUpsertSink:
         if not dates:                       # K7: empty batch
             return
         value_cols = [c for c in new.columns if c not in self.key + ["window_date"]]
-        if path_exists(spark, self.path):
-            old = spark.read.parquet(self.path).where(F.col("window_date").isin(dates))
+        # Only the touched partition folders are listed and read, never the
+        # whole table (whose partition count grows with history).
+        touched = [f"{self.path}/window_date={d}" for d in dates]
+        touched = [t for t in touched if path_exists(spark, t)]
+        if touched:
+            old = spark.read.option("basePath", self.path).parquet(*touched)
             keys = ["window_date"] + self.key
             j = old.alias("o").join(new.alias("n"), keys, "full_outer")
             in_new = F.col("n.updated_batch").isNotNull()
