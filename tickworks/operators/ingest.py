@@ -30,13 +30,14 @@ def _parsed(records: DataFrame, lenient_volume: bool) -> Column:
 
 
 def parse_ticks(records: DataFrame, symbol_from: str = "value",
-                lenient_volume: bool = False) -> DataFrame:
+                lenient_volume: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Kafka records (key, value, partition, offset, timestamp) → canonical ticks.
 
     symbol_from="value": symbol from the JSON payload (streaming job);
     symbol_from="key":   symbol from the record key (stand-alone consumer).
     Rows whose symbol is null (malformed, truncated, empty or null payload,
     missing symbol) are dropped; a bad timestamp becomes null, not an error.
+    ``keep`` names record columns to carry along (e.g. "key", "topic").
     The whole parsed struct goes through the generator and its fields are read
     only after it: a field read directly on ``from_json`` is rewritten by the
     optimizer into one single-field parse per field (five parses per record).
@@ -51,11 +52,13 @@ def parse_ticks(records: DataFrame, symbol_from: str = "value",
     exploded = records.select(F.col("timestamp").alias("kafka_timestamp"),
                               F.col("partition").cast("int").alias("partition"),
                               F.col("offset").cast("bigint").alias("offset"),
+                              *[F.col(c).alias(f"_keep_{c}") for c in keep],
                               F.inline(kept))
     volume = F.col("volume").try_cast("bigint") if lenient_volume else F.col("volume")
     return exploded.select(
         "symbol", iso_to_timestamp(F.col("timestamp")).alias("timestamp"), "price",
-        volume.alias("volume"), "source", "kafka_timestamp", "partition", "offset")
+        volume.alias("volume"), "source", "kafka_timestamp", "partition", "offset",
+        *[F.col(f"_keep_{c}").alias(c) for c in keep])
 
 
 def parse_rejects(records: DataFrame) -> DataFrame:

@@ -194,6 +194,18 @@ def parse_key_symbol(spark, sf_dir):
     return parse_ticks(kafka_records_from_ticks(event_ticks(spark, sf_dir)), symbol_from="key")
 
 
+@register("kafka_key_value", f"""WITH {_ticks_sql()}
+SELECT symbol AS key, symbol, timestamp, price, volume, source, partition, "offset" FROM ticks""")
+def kafka_key_value(spark, sf_dir):
+    """K1: producer records (key = symbol bytes, value = JSON); key and parsed value compared."""
+    from ..operators.ingest import parse_ticks
+    from ..sources.fixtures import kafka_records_from_ticks
+    recs = kafka_records_from_ticks(event_ticks(spark, sf_dir))
+    parsed = parse_ticks(recs, keep=("key",))
+    return parsed.select(F.col("key").cast("string").alias("key"), "symbol", "timestamp",
+                         "price", "volume", "source", "partition", "offset")
+
+
 @register("parse_rejects", """
 SELECT 'ticks' AS topic, 1 AS partition, CAST(page_id AS BIGINT) AS "offset"
 FROM pages

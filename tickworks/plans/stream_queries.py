@@ -17,9 +17,12 @@ from ..session import checkpoint_root, work_dir
 from ..sources.fixtures import kafka_records_from_ticks
 from ..sources.streams import replay_stream, write_replay_files
 from ..streaming import jobs
-from ..streaming.sinks import read_appended, read_snapshot, read_window_table, start_archive
-from .catalog import (_AVG_EXACT, _VOLUME_ALERTS_SQL, _WINDOW_SQL, _history_sql, _rolling_sql,
-                      _ROLLING_SELECT, _ticks_sql, event_ticks, register)
+from ..streaming.sinks import (AlertAppendSink, SnapshotSink, history_fold, read_appended,
+                               read_snapshot, read_window_table, start_archive,
+                               start_channel_publish)
+from .catalog import (_AVG_EXACT, _TS_TEXT, _VOLUME_ALERTS_SQL, _WINDOW_SQL, _history_sql,
+                      _rolling_sql, _ROLLING_SELECT, _ticks_sql, event_ticks, load_table,
+                      register)
 
 REPLAY_FILES = 4
 _replays: dict[tuple[str, str], str] = {}
@@ -135,3 +138,55 @@ def archive_replay(spark, sf_dir):
     archived = (spark.read.parquet(f"{root}/ticks")
                 .select("symbol", F.col("event_time").alias("timestamp"), "price"))
     return window_aggregates(archived, "1 hour")
+
+
+@register("channel_stream", f"""
+SELECT symbol, arg_max(value, event_id) AS price,
+       arg_max(CAST(json_extract_string(props, '$.k') AS BIGINT) * 20000, event_id) AS volume,
+       arg_max({_TS_TEXT}, event_id) AS timestamp,
+       'synthetic' AS source, max(ts) AS last_update
+FROM (SELECT *, event_type AS symbol FROM events) e
+GROUP BY symbol""")
+def channel_stream(spark, sf_dir):
+    """K4 + S8: ticks published per symbol channel, read back by a channel reader."""
+    from ..operators.latest import channel_latest
+    root = work_dir(spark, "channel")
+    q = start_channel_publish(stream_ticks(spark, sf_dir), f"{root}/chan", f"{root}/ckpt",
+                              trigger=jobs.AVAILABLE_NOW)
+    _run(q)
+    msgs = spark.read.parquet(f"{root}/chan")
+    return channel_latest(msgs).select("symbol", "price", "volume", "timestamp", "source",
+                                       "last_update")
+
+
+def _batches(df, n: int = 4):
+    """Split a table into ``n`` delivery batches by offset range (each one a DataFrame)."""
+    lo, hi = df.select(F.min("offset"), F.max("offset")).first()
+    step = (hi - lo) // n + 1
+    return [df.where((F.col("offset") >= lo + i * step) & (F.col("offset") < lo + (i + 1) * step))
+            for i in range(n)]
+
+
+@register("alert_sink_replay", _VOLUME_ALERTS_SQL)
+def alert_sink_replay(spark, sf_dir):
+    """K6 replay: every batch of alerts delivered twice with the same batch id."""
+    from ..operators.alerts import volume_alerts
+    path = work_dir(spark, "alert_replay")
+    sink = AlertAppendSink(path)
+    for i, b in enumerate(_batches(event_ticks(spark, sf_dir))):
+        sink(volume_alerts(b), i)
+        sink(volume_alerts(b), i)
+    return read_appended(spark, path).select(
+        "symbol", "price", "volume", "alert_type", "timestamp", "partition", "offset")
+
+
+@register("history_sink", _history_sql(100))
+def history_sink(spark, sf_dir):
+    """K3 replay: the bounded history snapshot fed batch by batch, each batch twice."""
+    from ..schema import TICK_COLUMNS
+    path = work_dir(spark, "history_replay")
+    sink = SnapshotSink(path, history_fold(list(TICK_COLUMNS), 100))
+    for i, b in enumerate(_batches(event_ticks(spark, sf_dir))):
+        sink(b, i)
+        sink(b, i)
+    return read_snapshot(spark, path).select("symbol", "offset", "timestamp", "price", "rank")

@@ -49,7 +49,8 @@ def kafka_batch(spark: SparkSession, bootstrap: str, topic: str,
 
 
 def write_replay_files(records: DataFrame, out_dir: str, n_files: int,
-                       order_col: str = "offset", min_gap_s: float = 1.05) -> str:
+                       order_col: str = "offset", min_gap_s: float = 1.05,
+                       first_index: int = 0) -> str:
     """Write ``records`` as ``n_files`` parquet parts, split by ranges of ``order_col``.
 
     A file stream takes files oldest first, so the parts are written by
@@ -65,7 +66,7 @@ def write_replay_files(records: DataFrame, out_dir: str, n_files: int,
         part = records.where((F.col(order_col) >= lo + i * step)
                              & (F.col(order_col) < lo + (i + 1) * step))
         (part.coalesce(1).write.mode("overwrite")
-         .parquet(f"{out_dir}/part{i:04d}.parquet"))
+         .parquet(f"{out_dir}/part{first_index + i:04d}.parquet"))
         wait = min_gap_s - (time.time() - start)
         if i + 1 < n_files and wait > 0:
             time.sleep(wait)

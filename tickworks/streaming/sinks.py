@@ -7,6 +7,7 @@ K3  SnapshotSink(history_fold)  newest N ticks per symbol
 A2  SnapshotSink(stats_fold)    running session stats per symbol
 K7  every sink skips an empty batch
 K8  start_archive      raw ticks → parquet partitioned by event_date (exactly-once file sink)
+K4  start_channel_publish  per-symbol channel of tick JSON messages
 K1/K4 kafka_sink_options / start_kafka_publish  keyed JSON records to a topic
 
 Every write is set-based and runs on the executors; nothing is collected to
@@ -255,6 +256,29 @@ def start_archive(ticks: DataFrame, path: str, checkpoint: str, trigger: dict |
     return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
+def start_channel_publish(ticks: DataFrame, path: str, checkpoint: str,
+                          trigger: dict | None = None, name: str = "tick_channel"):
+    """K4: every tick as a JSON message on its symbol's channel.
+
+    The channel is an append table partitioned by symbol (one folder per
+    channel; exactly-once file sink). Rows: type='message', data (tick JSON),
+    received_at, partition, offset — the shape ``latest.channel_latest`` reads.
+    With a broker, ``start_kafka_publish`` over ``ingest.to_kafka_records`` is
+    the same fan-out keyed by symbol.
+    """
+    from ..functions.parse import tick_json, timestamp_text
+    out = ticks.select(
+        F.lit("message").alias("type"),
+        tick_json(F.col("symbol"), F.col("price"), F.col("volume"),
+                  timestamp_text(F.col("timestamp")), F.col("source")).alias("data"),
+        F.col("kafka_timestamp").alias("received_at"), "partition", "offset",
+        F.col("symbol").alias("channel"))
+    w = (out.writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", checkpoint).partitionBy("channel")
+         .outputMode("append").queryName(name))
+    return w.trigger(**(trigger or {"processingTime": "3 seconds"})).start()
+
+
 def kafka_sink_options(bootstrap: str, topic: str, acks: str = "1", retries: int = 3,
                        linger_ms: int = 50) -> dict[str, str]:
     """Producer settings of the keyed tick topic (acks=1, 3 retries, 50 ms linger)."""
