@@ -58,6 +58,18 @@ def window_agg_stream(spark, sf_dir):
     return read_window_table(spark, f"{root}/table").select(*WINDOW_COLUMNS)
 
 
+@register("window_agg_stream_final", f"""
+SELECT * FROM ({_WINDOW_SQL.format(d="5 minutes", sym="event_type", avg=_AVG_EXACT)}) w
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 minute'""")
+def window_agg_stream_final(spark, sf_dir):
+    """T4 append mode: only windows closed by the final watermark (max event time - 1 min)."""
+    root = work_dir(spark, "window_agg_final")
+    q = jobs.start_window_final(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
+                                trigger=jobs.AVAILABLE_NOW)
+    _run(q)
+    return spark.read.parquet(f"{root}/table").select(*WINDOW_COLUMNS)
+
+
 @register("volume_alerts_stream", _VOLUME_ALERTS_SQL)
 def volume_alerts_stream(spark, sf_dir):
     """Append-mode volume alerts, one idempotent partition per batch."""

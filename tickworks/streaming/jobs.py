@@ -1,6 +1,7 @@
 """Streaming jobs: named queries, triggers, checkpoints, lag metrics.
 
 T1-T4  start_window_upsert   watermark 1 min, 5-min windows, update mode → K5 upsert
+T4     start_window_final    same windows in append mode: final values only, file sink
 T6     start_volume_alerts   append-mode alert query → K6
        start_tick_fanout     raw ticks → latest price (K2) + history (K3) in one scan
 T5     start_rolling_state   transformWithStateInPandas rolling mean (keyed state)
@@ -82,6 +83,23 @@ def start_window_upsert(ticks: DataFrame, table: str, checkpoint: str,
     return _start(agg, name, checkpoint, trigger, "update", WindowUpsertSink(table))
 
 
+def start_window_final(ticks: DataFrame, path: str, checkpoint: str,
+                       trigger: dict = WINDOW_TRIGGER, duration: str = WINDOW_DURATION,
+                       watermark: str = WATERMARK_DELAY, mode: str = "exact",
+                       name: str = "window_aggregates_final"):
+    """T4 append option: each window written once, when the watermark passes its end.
+
+    No partial values and no upsert: the native parquet file sink (exactly-once
+    through its commit log), partitioned by window date.
+    """
+    agg = window_aggregates(ticks, duration, mode=mode, watermark=watermark)
+    out = agg.withColumn("window_date", F.to_date("window_start"))
+    w = (out.writeStream.queryName(name).option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(**trigger).format("parquet").option("path", path)
+         .partitionBy("window_date"))
+    return w.start()
+
+
 def start_volume_alerts(ticks: DataFrame, table: str, checkpoint: str,
                         trigger: dict = ALERT_TRIGGER, name: str = "volume_alerts"):
     return _start(volume_alerts(ticks), name, checkpoint, trigger, "append",
