@@ -392,12 +392,13 @@ def latest_price(spark, sf_dir):
 
 
 @register("freshness", f"""WITH {_ticks_sql(_USER)},
-m AS (SELECT max(kafka_timestamp) AS as_of FROM ticks)
-SELECT symbol, max(kafka_timestamp) AS last_update,
-       (epoch_us(any_value(as_of)) - epoch_us(max(kafka_timestamp))) / 1e6 AS age_seconds,
-       printf('%.1f', (epoch_us(any_value(as_of)) - epoch_us(max(kafka_timestamp))) / 1e6)
-         AS age_text
-FROM ticks, m GROUP BY symbol""")
+s AS (SELECT symbol, max(kafka_timestamp) AS last_update,
+             (SELECT max(kafka_timestamp) FROM ticks) AS as_of
+      FROM ticks GROUP BY symbol)
+SELECT symbol, last_update,
+       (epoch_us(as_of) - epoch_us(last_update)) / 1e6 AS age_seconds,
+       printf('%.1f', (epoch_us(as_of) - epoch_us(last_update)) / 1e6) AS age_text
+FROM s""")
 def freshness(spark, sf_dir):
     """Per-symbol last update and its age at the newest broker time."""
     from ..functions.format import age_text
@@ -560,12 +561,12 @@ def _stored_live(ticks):
 
 def _overlay_sql(symbol: str) -> str:
     return f"""WITH {_ticks_sql(symbol)},
-m AS (SELECT max(ts) - INTERVAL '1 day' AS cut FROM events),
-stored AS (SELECT symbol, arg_max(price, "offset") AS price FROM ticks, m
-           WHERE timestamp < cut GROUP BY symbol),
+stored AS (SELECT symbol, arg_max(price, "offset") AS price FROM ticks
+           WHERE timestamp < (SELECT max(ts) - INTERVAL '1 day' FROM events) GROUP BY symbol),
 live AS (SELECT symbol, arg_max(price, "offset") AS price,
                 arg_max(volume, "offset") AS volume, arg_max(timestamp, "offset") AS timestamp
-         FROM ticks, m WHERE timestamp >= cut GROUP BY symbol),
+         FROM ticks WHERE timestamp >= (SELECT max(ts) - INTERVAL '1 day' FROM events)
+         GROUP BY symbol),
 overlay AS (
   SELECT coalesce(l.symbol, s.symbol) AS symbol,
          CASE WHEN l.symbol IS NOT NULL THEN l.price ELSE s.price END AS price,

@@ -7,10 +7,8 @@ our own is only created when that setting is missing (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -79,27 +77,3 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder for one job under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/tickworks/{name}-{uuid.uuid4().hex[:12]}"
 
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``tickworks`` importable in Python workers (like ``--py-files``).
-
-    Zips the package once per application and adds it with ``addPyFile``; the
-    file is served by the driver to every executor. Needed only by operators
-    that run Python on executors (the stateful rolling-mean processor).
-    """
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(tempfile.mkdtemp(prefix="tickworks-pyfiles-"), "tickworks.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for root, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    spark.sparkContext.addPyFile(out)
-    _shipped.add(app)

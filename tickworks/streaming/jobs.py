@@ -31,7 +31,6 @@ from ..operators.windows import window_aggregates
 from ..schema import SMA_WINDOW, TICK_COLUMNS, WATERMARK_DELAY, WINDOW_DURATION
 from .sinks import (AlertAppendSink, SnapshotSink, WindowUpsertSink, fan_out,
                     history_fold, latest_fold, stats_fold)
-from ..session import ship_package
 from .stateful import ROLLING_OUTPUT, RollingMeanProcessor
 
 # Trigger intervals of the three original queries.
@@ -121,9 +120,8 @@ def start_rolling_state(ticks: DataFrame, path: str, checkpoint: str,
                         name: str = "rolling_alerts"):
     """T5: keyed state (RocksDB) carries the last n-1 prices of each symbol."""
     spark = ticks.sparkSession
-    ship_package(spark)
-    # The processor is also unpickled by a driver-side Python runner that does
-    # not see py-files: send its module by value so no import is needed there.
+    # Send the processor's module by value: Python workers (and the driver-side
+    # runner that initialises the state schema) then need no tickworks install.
     cloudpickle.register_pickle_by_value(sys.modules[RollingMeanProcessor.__module__])
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != STATE_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
