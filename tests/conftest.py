@@ -29,6 +29,6 @@ def tick_rows(spark, rows):
     df = spark.createDataFrame(
         data, "symbol string, ts string, price double, volume bigint, partition int, offset bigint")
     return df.select(
-        "symbol", F.col("ts").cast("timestamp").alias("timestamp"), "price", "volume",
-        F.lit("test").alias("source"), F.col("ts").cast("timestamp").alias("kafka_timestamp"),
+        "symbol", F.col("ts").try_cast("timestamp").alias("timestamp"), "price", "volume",
+        F.lit("test").alias("source"), F.col("ts").try_cast("timestamp").alias("kafka_timestamp"),
         "partition", "offset")

@@ -54,3 +54,29 @@ def test_restart_from_checkpoint(spark, tmpdir_fresh):
     want = sorted((str(r.window_start), r.symbol, r.avg_price, r.tick_count)
                   for r in window_aggregates(tick_rows(spark, rows)).collect())
     assert win == want
+
+
+def test_sma_carry_stateful_stream(spark, tmpdir_fresh):
+    """FIXTURES sma_carry through the keyed state processor: 5 micro-batches."""
+    import pytest
+    batches = [[1, 3], [5], [7, 9], [11], [99, 1]]
+    rows, off = [], 0
+    for b in batches:
+        for p in b:
+            rows.append(("A", "2024-01-01 00:00:00", float(p), 1, off))
+            off += 1
+    recs = kafka_records_from_ticks(tick_rows(spark, rows))
+    d = f"{tmpdir_fresh}/in"
+    start = 0
+    for i, b in enumerate(batches):
+        write_replay_files(recs.where(f"offset >= {start} and offset < {start + len(b)}"),
+                           d, 1, first_index=i)
+        start += len(b)
+        time.sleep(1.05)
+    ticks = parse_ticks(replay_stream(spark, f"{d}/part*.parquet"))
+    q = jobs.start_rolling_state(ticks, f"{tmpdir_fresh}/out", f"{tmpdir_fresh}/ckpt")
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 5
+    out = [r.sma for r in spark.read.parquet(f"{tmpdir_fresh}/out").orderBy("offset").collect()]
+    assert out[0] is None
+    assert out[1:] == pytest.approx([2, 3, 4, 5, 6, 135 / 7, 17])

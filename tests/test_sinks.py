@@ -64,3 +64,21 @@ def test_stats_fold(spark, tmpdir_fresh):
     s(mk([("A", 1.0, None)]), 1)
     r = read_snapshot(spark, f"{tmpdir_fresh}/s").first()
     assert (r.ticks, r.min_price, r.max_price, r.alerts) == (3, 1.0, 5.0, 1)
+
+
+def test_alert_rejects_null_timestamp(spark, tmpdir_fresh):
+    sink = AlertAppendSink(f"{tmpdir_fresh}/a", reject_path=f"{tmpdir_fresh}/r")
+    t = tick_rows(spark, [("A", "2024-01-01 00:00:01", 1.0, 2_000_000, 1),
+                          ("A", "garbage", 1.0, 2_000_000, 2)])
+    sink(volume_alerts(t), 0)
+    assert [r.offset for r in spark.read.parquet(f"{tmpdir_fresh}/a").collect()] == [1]
+    assert [r.offset for r in spark.read.parquet(f"{tmpdir_fresh}/r").collect()] == [2]
+
+
+def test_empty_batches_write_nothing(spark, tmpdir_fresh):
+    from tickworks.streaming.sinks import path_exists
+    t = tick_rows(spark, [("A", "2024-01-01 00:00:01", 1.0, 1, 1)]).where("false")
+    WindowUpsertSink(f"{tmpdir_fresh}/w")(window_aggregates(t), 0)
+    SnapshotSink(f"{tmpdir_fresh}/s", latest_fold(list(TICK_COLUMNS)))(t, 0)
+    assert not path_exists(spark, f"{tmpdir_fresh}/w")
+    assert not path_exists(spark, f"{tmpdir_fresh}/s")

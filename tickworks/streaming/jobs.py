@@ -100,9 +100,11 @@ def start_window_final(ticks: DataFrame, path: str, checkpoint: str,
 
 
 def start_volume_alerts(ticks: DataFrame, table: str, checkpoint: str,
-                        trigger: dict = ALERT_TRIGGER, name: str = "volume_alerts"):
+                        trigger: dict = ALERT_TRIGGER, name: str = "volume_alerts",
+                        reject_table: str | None = None):
+    """Volume alerts appended per batch; alerts without a timestamp go to ``reject_table``."""
     return _start(volume_alerts(ticks), name, checkpoint, trigger, "append",
-                  AlertAppendSink(table))
+                  AlertAppendSink(table, reject_table))
 
 
 def start_tick_fanout(ticks: DataFrame, latest_path: str, history_path: str, checkpoint: str,

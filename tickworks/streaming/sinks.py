@@ -133,18 +133,33 @@ def read_window_table(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 class AlertAppendSink:
-    """Append each batch as its own ``batch_id`` partition (re-delivery replaces it)."""
+    """Append each batch as its own ``batch_id`` partition (re-delivery replaces it).
 
-    def __init__(self, path: str):
+    With ``reject_path``, rows whose ``timestamp`` is null (an alert table keyed
+    by time cannot hold them) go to that table instead, same partitioning.
+    """
+
+    def __init__(self, path: str, reject_path: str | None = None):
         self.path = path
+        self.reject_path = reject_path
+
+    @staticmethod
+    def _write(df: DataFrame, path: str, batch_id: int) -> None:
+        (df.withColumn("created_at", F.current_timestamp())
+         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(path))
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         if _skip(batch_df):
             return
-        (batch_df.withColumn("created_at", F.current_timestamp())
-         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.path))
+        if self.reject_path is None or "timestamp" not in batch_df.columns:
+            self._write(batch_df, self.path, batch_id)
+            return
+        self._write(batch_df.where(F.col("timestamp").isNotNull()), self.path, batch_id)
+        bad = batch_df.where(F.col("timestamp").isNull())
+        if not bad.isEmpty():
+            self._write(bad, self.reject_path, batch_id)
 
 
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
