@@ -11,6 +11,8 @@ def test_three_named_queries(spark, tmpdir_fresh):
             ("A", "2024-01-01 00:03:00", 3.0, 10, 2), ("A", "2024-01-01 00:06:00", 5.0, 3_000_000, 3)]
     glob = write_replay_files(kafka_records_from_ticks(tick_rows(spark, rows)),
                               f"{tmpdir_fresh}/in", 2)
+    log = jobs.ProgressLog()
+    spark.streams.addListener(log)
     ticks = parse_ticks(replay_stream(spark, glob))
     qs = jobs.start_tick_jobs(ticks, f"{tmpdir_fresh}/out", trigger=jobs.AVAILABLE_NOW)
     assert sorted(q.name for q in qs.values()) == ["raw_ticks", "volume_alerts",
@@ -30,3 +32,7 @@ def test_three_named_queries(spark, tmpdir_fresh):
     assert seen == 4
     lag = jobs.source_lag(spark, q).collect()
     assert len(lag) == 1 and lag[0].query == "raw_ticks"
+    spark.streams.removeListener(log)
+    events = [r for r in log.to_df(spark).collect() if r.query == "volume_alerts"]
+    assert sum(r.input_rows for r in events) == 4
+    assert sum(r.output_rows or 0 for r in events) == 2

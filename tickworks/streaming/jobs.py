@@ -11,6 +11,7 @@ T7-T9  named queries, processing-time or available-now triggers, one checkpoint
 T10    await_any             wait for any query to end (with timeout)
 T11    drain_and_stop        process everything available, then stop
 T13    source_lag            end-vs-latest offsets of the last progress, as rows
+K10    ProgressLog           listener recording every batch (rows, durations) of every query
 
 Triggers of the original jobs: raw ticks every 3 s, window upserts every 10 s,
 volume alerts every 5 s. Tests and oracle runs use ``availableNow``.
@@ -24,6 +25,7 @@ import sys
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators.alerts import volume_alerts
 from ..operators.rolling import DEFAULT_CHUNK, rolling_alerts
@@ -226,3 +228,36 @@ def source_lag(spark: SparkSession, query) -> DataFrame:
     return spark.createDataFrame(
         rows, "query string, source string, end_offset string, latest_offset string, "
               "num_input_rows bigint")
+
+
+class ProgressLog(StreamingQueryListener):
+    """Per-batch log of all queries of a session (rows written, batch id, timings).
+
+    ``spark.streams.addListener(log)``; ``log.to_df(spark)`` returns the events
+    so far as rows. Progress events are driver-side metadata, one per batch.
+    """
+
+    def __init__(self):
+        self.rows: list[tuple] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = json.loads(event.progress.json)
+        observed = p.get("observedMetrics") or {}
+        obs_rows = next((int(v.get("rows", 0)) for v in observed.values()), None)
+        d = p.get("durationMs") or {}
+        self.rows.append((p.get("name"), int(p["batchId"]), int(p.get("numInputRows") or 0),
+                          obs_rows, int(d.get("addBatch", 0)), int(d.get("triggerExecution", 0))))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def to_df(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(
+            self.rows, "query string, batch_id bigint, input_rows bigint, output_rows bigint, "
+                       "add_batch_ms bigint, trigger_ms bigint")
