@@ -86,7 +86,7 @@ def test_envelope_mixed(spark):
     out = unpack_envelopes(df, source="vendor").orderBy("symbol").collect()
     assert [(r.symbol, r.timestamp, r.price, r.volume, r.source) for r in out] == [
         ("AAPL", "2024-01-01T00:00:07.123000+00:00", 189.5, 100, "vendor"),
-        ("MSFT", "2024-01-01T00:00:08.000000+00:00", 370.25, 5, "vendor")]
+        ("MSFT", "2024-01-01T00:00:08+00:00", 370.25, 5, "vendor")]
     # wire records parse back into the same ticks
     recs = (to_kafka_records(unpack_envelopes(df))
             .withColumn("topic", F.lit("t")).withColumn("partition", F.lit(0))
@@ -100,7 +100,13 @@ def test_envelope_mixed(spark):
 def test_iso_format(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:07",)], "s string")
     r = df.select(timestamp_to_iso(F.col("s").cast("timestamp")).alias("t")).first()
-    assert r.t == "2024-01-01T00:00:07.000000+00:00"
+    assert r.t == "2024-01-01T00:00:07+00:00"
+    from datetime import datetime, timezone
+    for ms in (1704067207123, 1704067207000, 1704067207001):
+        want = datetime.fromtimestamp(ms / 1000, tz=timezone.utc).isoformat()
+        got = spark.createDataFrame([(ms,)], "t bigint").select(
+            timestamp_to_iso(F.timestamp_millis("t")).alias("t")).first().t
+        assert got == want
 
 
 def test_envelope_single_parse(spark):

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from ..schema import ENVELOPE_SCHEMA, TICK_WIRE_SCHEMA, TICK_WIRE_SCHEMA_LENIENT
 
-# Fixed value: ISO-8601 text with six fraction digits and a +HH:MM offset.
+# ISO-8601 text with a +HH:MM offset; six fraction digits unless
+# the microseconds are zero (then none), as Python's isoformat() writes it.
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+ISO_FORMAT_WHOLE = "yyyy-MM-dd'T'HH:mm:ssxxx"
 
 
 def decode_text(c: Column | str) -> Column:
@@ -48,8 +50,11 @@ def epoch_ms_to_timestamp(c: Column) -> Column:
 
 
 def timestamp_to_iso(c: Column) -> Column:
-    """timestamp → ISO-8601 text in UTC, e.g. 2024-01-01T00:00:07.179575+00:00 (F2)."""
-    return F.date_format(c, ISO_FORMAT)
+    """timestamp → ISO-8601 text in UTC (F2), e.g. 2024-01-01T00:00:07.179575+00:00,
+    or 2024-01-01T00:00:07+00:00 when the microseconds are zero."""
+    whole = F.unix_micros(c) % 1000000 == 0
+    return F.when(whole, F.date_format(c, ISO_FORMAT_WHOLE)).otherwise(
+        F.date_format(c, ISO_FORMAT))
 
 
 def timestamp_text(c: Column) -> Column:

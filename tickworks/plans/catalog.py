@@ -231,8 +231,10 @@ def key_audit(spark, sf_dir):
 
 @register("envelope_unpack", """
 SELECT event_type AS symbol,
-       strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y-%m-%dT%H:%M:%S.%f')
-         || '+00:00' AS timestamp,
+       CASE WHEN (epoch_us(ts) // 1000) % 1000 = 0
+            THEN strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y-%m-%dT%H:%M:%S')
+            ELSE strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y-%m-%dT%H:%M:%S.%f')
+       END || '+00:00' AS timestamp,
        value AS price,
        CAST(json_extract_string(props, '$.k') AS BIGINT) * 20000 AS volume,
        'live_feed' AS source
