@@ -64,3 +64,11 @@ def test_late_rows_stream(spark, tmpdir_fresh):
     out = read_window_table(spark, f"{tmpdir_fresh}/table").orderBy("window_start").collect()
     assert [(str(r.window_start)[11:], r.avg_price, r.tick_count) for r in out] == [
         ("00:00:00", 3.6667, 3), ("00:05:00", 6.5, 4)]
+
+
+def test_latest_window_keeps_null_values(spark):
+    t = tick_rows(spark, [("A", "2024-01-01 00:01:00", 1.0, 1, 0),
+                          ("A", "2024-01-01 00:11:00", None, 1, 1)])
+    r = latest_window(window_aggregates(t)).first()
+    assert str(r.window_start) == "2024-01-01 00:10:00"
+    assert r.avg_price is None and r.tick_count == 0

@@ -16,6 +16,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, ByteType, DateType, DoubleType, FloatType,
+                               IntegerType, LongType, ShortType, TimestampNTZType,
+                               TimestampType)
 
 from ..schema import WINDOW_DURATION
 
@@ -72,15 +75,27 @@ def window_aggregates(ticks: DataFrame, duration: str = WINDOW_DURATION,
                       *WINDOW_COLUMNS[2:])
 
 
+_FIXED_WIDTH = (BooleanType, ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType,
+                DateType, TimestampType, TimestampNTZType)
+
+
 def latest_window(windows: DataFrame) -> DataFrame:
     """Newest window row per symbol (``DISTINCT ON (symbol) ORDER BY window_start DESC``).
 
-    (window_start, symbol) is unique, so there are no ties.
+    (window_start, symbol) is unique, so one ``max_by(col, window_start)`` per
+    column picks the same row for every column. With only fixed-width columns
+    that is a hash aggregate; a single ``max_by(struct(...))`` would force a
+    sort-based one (each map task sorting its input).
     """
-    rest = [c for c in windows.columns if c != "symbol"]
-    best = F.max_by(F.struct(*rest), F.col("window_start"))
+    rest = [f for f in windows.schema.fields if f.name != "symbol"]
+    order = F.col("window_start")
+    if all(isinstance(f.dataType, _FIXED_WIDTH) for f in rest):
+        aggs = [(F.max(order) if f.name == "window_start" else F.max_by(f.name, order)).alias(f.name)
+                for f in rest]
+        return windows.groupBy("symbol").agg(*aggs).select(windows.columns)
+    best = F.max_by(F.struct(*[f.name for f in rest]), order)
     return (windows.groupBy("symbol").agg(best.alias("w"))
-            .select("symbol", *[F.col(f"w.{c}").alias(c) for c in rest]))
+            .select("symbol", *[F.col(f"w.{f.name}").alias(f.name) for f in rest]))
 
 
 def windows_since(windows: DataFrame, since: Column | str,
