@@ -2,8 +2,6 @@
 import random
 import time
 
-from pyspark.sql import functions as F
-
 from tickworks.operators.ingest import parse_ticks
 from tickworks.operators.rolling import rolling_alerts
 from tickworks.operators.windows import window_aggregates

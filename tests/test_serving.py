@@ -1,7 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
-
 from tickworks.functions import format as fmt
 from tickworks.operators.alerts import latest_alerts, volume_alerts
 from tickworks.operators.serving import (live_detail, price_overlay, session_summary,

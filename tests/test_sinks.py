@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tickworks.operators.alerts import volume_alerts
 from tickworks.operators.windows import window_aggregates
 from tickworks.schema import TICK_COLUMNS

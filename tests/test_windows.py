@@ -1,7 +1,5 @@
 import time
 
-from pyspark.sql import functions as F
-
 from tickworks.operators.windows import latest_window, top_windows, window_aggregates
 from tests.conftest import tick_rows
 

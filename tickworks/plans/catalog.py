@@ -341,6 +341,23 @@ def rolling_alerts_users(spark, sf_dir):
                                        chunk_size=SMALL_CHUNK, exact4=True))
 
 
+_ORDERS_TICKS = """ticks AS (
+  SELECT o_orderpriority AS symbol, o_orderdate AS timestamp, o_totalprice AS price,
+         0 AS partition, o_orderkey AS "offset"
+  FROM orders)"""
+
+
+@register("rolling_alerts_orders",
+          _rolling_sql("event_type").replace(_ticks_sql("event_type"), _ORDERS_TICKS)
+          + _ROLLING_SELECT)
+def rolling_alerts_orders(spark, sf_dir):
+    """W1-W3 on the orders table (priorities as symbols, order key as arrival order)."""
+    from ..operators.rolling import rolling_alerts
+    from ..sources.fixtures import ticks_from_orders
+    ticks = ticks_from_orders(load_table(spark, sf_dir, "orders"))
+    return _rolling_out(rolling_alerts(ticks, chunk_size=256, exact4=True))
+
+
 @register("session_stats", _rolling_sql("event_type") + """
 SELECT symbol, count(*) AS ticks, min(price) AS min_price, max(price) AS max_price,
        count(alert_type) AS alerts

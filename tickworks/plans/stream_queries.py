@@ -21,8 +21,7 @@ from ..streaming.sinks import (AlertAppendSink, SnapshotSink, history_fold, read
                                read_snapshot, read_window_table, start_archive,
                                start_channel_publish)
 from .catalog import (_AVG_EXACT, _TS_TEXT, _VOLUME_ALERTS_SQL, _WINDOW_SQL, _history_sql,
-                      _rolling_sql, _ROLLING_SELECT, _ticks_sql, event_ticks, load_table,
-                      register)
+                      _rolling_sql, _ROLLING_SELECT, _ticks_sql, event_ticks, register)
 
 REPLAY_FILES = 4
 _replays: dict[tuple[str, str], str] = {}

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parse import timestamp_to_iso
-from ..schema import TICK_COLUMNS
 
 VOLUME_SCALE = 20000
 
@@ -121,5 +120,5 @@ def envelopes_from_events(events: DataFrame, per_envelope: int = 4) -> DataFrame
 
 __all__ = [
     "load_table", "ticks_from_events", "ticks_from_orders", "ticks_from_lineitem",
-    "kafka_records_from_ticks", "envelopes_from_events", "events_volume", "TICK_COLUMNS",
+    "kafka_records_from_ticks", "envelopes_from_events", "events_volume",
 ]
