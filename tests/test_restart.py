@@ -31,7 +31,8 @@ def test_restart_from_checkpoint(spark, tmpdir_fresh):
               jobs.start_rolling_halo(ticks, f"{root}/halo_out", f"{root}/tails", f"{root}/c2",
                                       chunk_size=4),
               jobs.start_window_upsert(ticks, f"{root}/win", f"{root}/c3",
-                                       trigger=jobs.AVAILABLE_NOW)]
+                                       trigger=jobs.AVAILABLE_NOW),
+              jobs.start_tick_state(ticks, f"{root}/changes", f"{root}/c4", history_len=5)]
         for q in qs:
             q.awaitTermination()
             assert q.exception() is None
@@ -52,6 +53,19 @@ def test_restart_from_checkpoint(spark, tmpdir_fresh):
     want = sorted((str(r.window_start), r.symbol, r.avg_price, r.tick_count)
                   for r in window_aggregates(tick_rows(spark, rows)).collect())
     assert win == want
+    # keyed state after the restart: latest tick, bounded history, session stats
+    from tickworks.operators.history import last_n_ticks
+    from tickworks.operators.latest import latest_price
+    from tickworks.operators.rolling import session_stats
+    latest, hist = jobs.read_tick_state(spark, f"{root}/c4")
+    t = tick_rows(spark, rows)
+    assert sorted(map(tuple, latest.select("symbol", "price").collect())) == \
+        sorted(map(tuple, latest_price(t).collect()))
+    assert sorted((r.symbol, r.rank, r.offset) for r in hist.collect()) == \
+        sorted((r.symbol, r.rank, r.offset) for r in last_n_ticks(t, 5).collect())
+    stats = sorted(map(tuple, jobs.read_rolling_state(spark, f"{root}/c1").select(
+        "symbol", "ticks", "min_price", "max_price", "alerts").collect()))
+    assert stats == sorted(map(tuple, session_stats(rolling_alerts(t)).collect()))
 
 
 def test_sma_carry_stateful_stream(spark, tmpdir_fresh):

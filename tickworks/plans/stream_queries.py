@@ -201,3 +201,38 @@ def history_sink(spark, sf_dir):
         sink(b, i)
         sink(b, i)
     return read_snapshot(spark, path).select("symbol", "offset", "timestamp", "price", "rank")
+
+
+def _tick_state(spark, sf_dir):
+    root = work_dir(spark, "tick_state")
+    q = jobs.start_tick_state(stream_ticks(spark, sf_dir), f"{root}/changes", f"{root}/ckpt")
+    _run(q)
+    return jobs.read_tick_state(spark, f"{root}/ckpt")
+
+
+@register("latest_price_state", f"""WITH {_ticks_sql()}
+SELECT symbol, arg_max(price, "offset") AS price FROM ticks GROUP BY symbol""")
+def latest_price_state(spark, sf_dir):
+    """K2 as keyed state: latest tick per symbol read from the state store."""
+    latest, _ = _tick_state(spark, sf_dir)
+    return latest.select("symbol", "price")
+
+
+@register("history_state", _history_sql(100))
+def history_state(spark, sf_dir):
+    """K3 as keyed state: newest 100 ticks per symbol read from the state store."""
+    _, hist = _tick_state(spark, sf_dir)
+    return hist.select("symbol", "offset", "timestamp", "price", "rank")
+
+
+@register("session_stats_state", _rolling_sql("event_type") + """
+SELECT symbol, count(*) AS ticks, min(price) AS min_price, max(price) AS max_price,
+       count(alert_type) AS alerts
+FROM a GROUP BY symbol""")
+def session_stats_state(spark, sf_dir):
+    """A2 as keyed state of the stateful rolling mean, read from its state store."""
+    root = work_dir(spark, "rolling_state_stats")
+    q = jobs.start_rolling_state(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/ckpt")
+    _run(q)
+    return jobs.read_rolling_state(spark, f"{root}/ckpt").select(
+        "symbol", "ticks", "min_price", "max_price", "alerts")

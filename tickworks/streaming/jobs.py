@@ -4,7 +4,9 @@ T1-T4  start_window_upsert   watermark 1 min, 5-min windows, update mode → K5
 T4     start_window_final    same windows in append mode: final values only, file sink
 T6     start_volume_alerts   append-mode alert query → K6
        start_tick_fanout     raw ticks → latest price (K2) + history (K3) in one scan
-T5     start_rolling_state   transformWithStateInPandas rolling mean (keyed state)
+T5     start_rolling_state   transformWithStateInPandas rolling mean (keyed state);
+                             read_rolling_state: A2 session stats from its state store
+K2,K3  start_tick_state      latest tick + bounded history as keyed state; read_tick_state
        start_rolling_halo    foreachBatch rolling mean on the chunked batch operator,
                              last n-1 ticks per symbol kept as a snapshot between batches
 T7-T9  named queries, processing-time or available-now triggers, one checkpoint each
@@ -23,7 +25,7 @@ import json
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -33,7 +35,8 @@ from ..operators.windows import window_aggregates
 from ..schema import SMA_WINDOW, TICK_COLUMNS, WATERMARK_DELAY, WINDOW_DURATION
 from .sinks import (AlertAppendSink, SnapshotSink, WindowUpsertSink, fan_out,
                     history_fold, latest_fold, stats_fold)
-from .stateful import ROLLING_OUTPUT, RollingMeanProcessor
+from .stateful import (LATEST_OUTPUT, ROLLING_OUTPUT, RollingMeanProcessor,
+                       TickStateProcessor)
 
 # Trigger intervals of the three original queries.
 RAW_TRIGGER = {"processingTime": "3 seconds"}
@@ -119,16 +122,21 @@ def start_tick_fanout(ticks: DataFrame, latest_path: str, history_path: str, che
     return _start(ticks.select(*cols), name, checkpoint, trigger, "append", sink)
 
 
+def _use_rocksdb(spark: SparkSession) -> None:
+    """State-store settings for the Python stateful processors."""
+    # Send the processors' module by value: Python workers (and the driver-side
+    # runner that initialises the state schema) then need no tickworks install.
+    cloudpickle.register_pickle_by_value(sys.modules[RollingMeanProcessor.__module__])
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != STATE_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
+
+
 def start_rolling_state(ticks: DataFrame, path: str, checkpoint: str,
                         trigger: dict = AVAILABLE_NOW, n: int = SMA_WINDOW,
                         name: str = "rolling_alerts"):
     """T5: keyed state (RocksDB) carries the last n-1 prices of each symbol."""
     spark = ticks.sparkSession
-    # Send the processor's module by value: Python workers (and the driver-side
-    # runner that initialises the state schema) then need no tickworks install.
-    cloudpickle.register_pickle_by_value(sys.modules[RollingMeanProcessor.__module__])
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != STATE_PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
+    _use_rocksdb(spark)
     out = (ticks.select("symbol", "partition", "offset", "timestamp", "price")
            .groupBy("symbol")
            .transformWithStateInPandas(RollingMeanProcessor(n=n), ROLLING_OUTPUT,
@@ -136,6 +144,47 @@ def start_rolling_state(ticks: DataFrame, path: str, checkpoint: str,
     return _start(out, name, checkpoint, trigger, "append", fmt="parquet", path=path)
 
 
+def start_tick_state(ticks: DataFrame, path: str, checkpoint: str,
+                     trigger: dict = AVAILABLE_NOW, history_len: int = 100,
+                     name: str = "tick_state"):
+    """K2 + K3 as keyed state: latest tick and bounded history per symbol.
+
+    The change stream (new latest tick of each touched symbol) is appended to
+    ``path``; the full state is read with ``read_tick_state(spark, checkpoint)``.
+    """
+    spark = ticks.sparkSession
+    _use_rocksdb(spark)
+    out = (ticks.select("symbol", "partition", "offset", "timestamp", "price", "volume", "source")
+           .groupBy("symbol")
+           .transformWithStateInPandas(TickStateProcessor(history_len), LATEST_OUTPUT,
+                                       "Append", "None"))
+    return _start(out, name, checkpoint, trigger, "append", fmt="parquet", path=path)
+
+
+def read_tick_state(spark: SparkSession, checkpoint: str) -> tuple[DataFrame, DataFrame]:
+    """(latest, history) per symbol from the state store of ``start_tick_state``.
+
+    history carries ``rank`` (1 = newest); the ranking window runs over at most
+    ``history_len`` rows per symbol.
+    """
+    def ticks(df: DataFrame, col: str) -> DataFrame:
+        return df.select(F.col("key.symbol").alias("symbol"), f"{col}.*").select(
+            "symbol", "price", "volume", F.timestamp_micros("ts_us").alias("timestamp"),
+            "source", "partition", "offset")
+    latest = ticks(spark.read.format("statestore").option("stateVarName", "latest")
+                   .load(checkpoint), "value")
+    hist = ticks(spark.read.format("statestore").option("stateVarName", "history")
+                 .load(checkpoint), "list_element")
+    w = Window.partitionBy("symbol").orderBy(F.col("partition").desc(), F.col("offset").desc())
+    return latest, hist.withColumn("rank", F.row_number().over(w).cast("bigint"))
+
+
+def read_rolling_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """A2 from the state store of ``start_rolling_state``: ticks, min, max, alerts per symbol."""
+    df = spark.read.format("statestore").option("stateVarName", "stats").load(checkpoint)
+    return df.select(F.col("key.symbol").alias("symbol"), "value.*")
+
+
 class RollingHaloBatch:
     """foreachBatch body of ``start_rolling_halo``.
 

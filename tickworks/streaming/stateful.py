@@ -1,9 +1,10 @@
 """T5: keyed, stateful rolling mean and alerts for streams.
 
 ``RollingMeanProcessor`` runs under ``groupBy("symbol").transformWithStateInPandas``.
-State per symbol: the last ``n - 1`` prices (ListState) and the number of
-ticks seen (ValueState), kept in the checkpointed state store (RocksDB), so a
-restarted query continues the mean where it stopped.
+State per symbol: the last ``n - 1`` prices (ListState), the number of ticks
+seen and the session stats (ValueState), kept in the checkpointed state store
+(RocksDB), so a restarted query continues where it stopped.
+``TickStateProcessor`` keeps the latest tick and the bounded history (K2, K3).
 
 Within a micro-batch the rows of a key arrive as several frames in no promised
 order; they are concatenated and sorted by (partition, offset). The frame sums
@@ -27,6 +28,12 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..schema import (ALERT_THRESHOLD, PRICE_DROP, PRICE_SURGE, SMA_MIN_TICKS,
                       SMA_WINDOW)
 
+STATS_STATE = "ticks bigint, min_price double, max_price double, alerts bigint"
+TICK_STATE = ("price double, volume bigint, ts_us bigint, source string, partition int, "
+              "offset bigint")
+LATEST_OUTPUT = ("symbol string, price double, volume bigint, ts_us bigint, source string, "
+                 "partition int, offset bigint")
+
 ROLLING_OUTPUT = ("symbol string, partition int, offset bigint, timestamp timestamp, "
                   "price double, sma double, sma4 double, deviation double, alert_type string")
 
@@ -75,6 +82,7 @@ class RollingMeanProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.prices = handle.getListState("prices", "price double")
         self.seen = handle.getValueState("seen", "n bigint")
+        self.stats = handle.getValueState("stats", STATS_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame],
                         timerValues) -> Iterator[pd.DataFrame]:
@@ -91,6 +99,12 @@ class RollingMeanProcessor(StatefulProcessor):
         tail = np.concatenate([prev, prices])[-(self.n - 1):] if self.n > 1 else []
         self.prices.put([(float(x),) for x in tail])
         self.seen.update((seen + len(prices),))
+        # A2 session stats, kept per symbol in the state store.
+        st = self.stats.get() if self.stats.exists() else (0, None, None, 0)
+        n_alerts = int(pd.notna(res["alert_type"]).sum())
+        lo, hi = float(prices.min()), float(prices.max())
+        self.stats.update((st[0] + len(prices), lo if st[1] is None else min(st[1], lo),
+                           hi if st[2] is None else max(st[2], hi), st[3] + n_alerts))
         yield pd.DataFrame({
             "symbol": key[0],
             "partition": df["partition"].to_numpy(),
@@ -102,3 +116,52 @@ class RollingMeanProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+def _micros(ts: pd.Series) -> pd.Series:
+    """Timestamps (any pandas datetime unit or zone) → epoch microseconds (NaN for NaT)."""
+    t = pd.to_datetime(ts, utc=True)
+    return (t - pd.Timestamp(0, tz="UTC")) // pd.Timedelta(microseconds=1)
+
+
+class TickStateProcessor(StatefulProcessor):
+    """K2 + K3 in the state store: latest tick and the newest ``history_len`` ticks per symbol.
+
+    Only the symbols of a micro-batch are read and written; readers scan the
+    state with the state data source (``read_tick_state``) instead of a table
+    rewritten every batch. Emits the new latest tick of each touched symbol
+    (a change stream, e.g. for the live channel).
+    """
+
+    def __init__(self, history_len: int = 100):
+        self.history_len = history_len
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.latest = handle.getValueState("latest", TICK_STATE)
+        self.history = handle.getListState("history", TICK_STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame],
+                        timerValues) -> Iterator[pd.DataFrame]:
+        df = pd.concat(list(rows), ignore_index=True)
+        df = df[df["offset"].notna()]
+        if df.empty:
+            return
+        # Only the newest history_len ticks of the batch can survive: the Python
+        # work per key and batch is bounded by history_len, not by the batch size.
+        df = df.sort_values(["partition", "offset"], kind="mergesort").tail(self.history_len)
+        ts_us = _micros(df["timestamp"])
+        new = [(None if pd.isna(p) else float(p), None if pd.isna(v) else int(v),
+                None if pd.isna(t) else int(t), s, int(pt), int(o))
+               for p, v, t, s, pt, o in zip(df["price"], df["volume"], ts_us, df["source"],
+                                            df["partition"], df["offset"])]
+        old = list(self.history.get()) if self.history.exists() else []
+        merged = (old + new)[-self.history_len:]
+        self.history.put(merged)
+        self.latest.update(merged[-1])
+        last = merged[-1]
+        yield pd.DataFrame([{"symbol": key[0], "price": last[0], "volume": last[1],
+                             "ts_us": last[2], "source": last[3], "partition": last[4],
+                             "offset": last[5]}])
+
+    def close(self) -> None:
+        pass
