@@ -9,6 +9,8 @@ the oracle is the batch SQL of the same operator.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from ..operators.ingest import parse_ticks
@@ -46,14 +48,34 @@ def _run(query) -> None:
         raise RuntimeError(f"stream {query.name} failed: {query.exception()}")
 
 
+@contextmanager
+def fixture_partitions(spark):
+    """Cap the shuffle partitions of a fixture stream at the session's parallelism.
+
+    A stateful query fixes its state partition count at its first batch (AQE is
+    off for stateful streams); the default of 200 would give 200 state
+    partitions to a few thousand fixture rows. Restored when the stream is done.
+    """
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    cap = max(1, spark.sparkContext.defaultParallelism)
+    if int(old) > cap:
+        spark.conf.set(key, str(cap))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 @register("window_agg_stream",
           _WINDOW_SQL.format(d="5 minutes", sym="event_type", avg=_AVG_EXACT))
 def window_agg_stream(spark, sf_dir):
     """Watermarked 5-minute windows in update mode, upserted per batch."""
     root = work_dir(spark, "window_agg_stream")
-    q = jobs.start_window_upsert(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
-                                 trigger=jobs.AVAILABLE_NOW)
-    _run(q)
+    with fixture_partitions(spark):
+        q = jobs.start_window_upsert(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
+                                     trigger=jobs.AVAILABLE_NOW)
+        _run(q)
     return read_window_table(spark, f"{root}/table").select(*WINDOW_COLUMNS)
 
 
@@ -63,9 +85,10 @@ WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 minute'""")
 def window_agg_stream_final(spark, sf_dir):
     """T4 append mode: only windows closed by the final watermark (max event time - 1 min)."""
     root = work_dir(spark, "window_agg_final")
-    q = jobs.start_window_final(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
-                                trigger=jobs.AVAILABLE_NOW)
-    _run(q)
+    with fixture_partitions(spark):
+        q = jobs.start_window_final(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
+                                    trigger=jobs.AVAILABLE_NOW)
+        _run(q)
     return spark.read.parquet(f"{root}/table").select(*WINDOW_COLUMNS)
 
 
@@ -73,18 +96,20 @@ def window_agg_stream_final(spark, sf_dir):
 def volume_alerts_stream(spark, sf_dir):
     """Append-mode volume alerts, one idempotent partition per batch."""
     root = work_dir(spark, "volume_alerts_stream")
-    q = jobs.start_volume_alerts(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
-                                 trigger=jobs.AVAILABLE_NOW)
-    _run(q)
+    with fixture_partitions(spark):
+        q = jobs.start_volume_alerts(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
+                                     trigger=jobs.AVAILABLE_NOW)
+        _run(q)
     return read_appended(spark, f"{root}/table").select(
         "symbol", "price", "volume", "alert_type", "timestamp", "partition", "offset")
 
 
 def _fanout(spark, sf_dir):
     root = work_dir(spark, "tick_fanout")
-    q = jobs.start_tick_fanout(stream_ticks(spark, sf_dir), f"{root}/latest",
-                               f"{root}/history", f"{root}/ckpt", trigger=jobs.AVAILABLE_NOW)
-    _run(q)
+    with fixture_partitions(spark):
+        q = jobs.start_tick_fanout(stream_ticks(spark, sf_dir), f"{root}/latest",
+                                   f"{root}/history", f"{root}/ckpt", trigger=jobs.AVAILABLE_NOW)
+        _run(q)
     return root
 
 
@@ -108,8 +133,9 @@ def history_stream(spark, sf_dir):
 def rolling_alerts_stream(spark, sf_dir):
     """T5: stateful rolling mean + alerts (transformWithStateInPandas, RocksDB state)."""
     root = work_dir(spark, "rolling_alerts_stream")
-    q = jobs.start_rolling_state(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/ckpt")
-    _run(q)
+    with fixture_partitions(spark):
+        q = jobs.start_rolling_state(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/ckpt")
+        _run(q)
     out = spark.read.parquet(f"{root}/out")
     return out.select("symbol", "offset", "price", F.col("sma4").alias("sma"), "alert_type")
 
@@ -118,9 +144,10 @@ def rolling_alerts_stream(spark, sf_dir):
 def rolling_alerts_stream_halo(spark, sf_dir):
     """T5 on the chunked batch operator: tails snapshot carries the last 9 ticks."""
     root = work_dir(spark, "rolling_alerts_halo")
-    q = jobs.start_rolling_halo(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/tails",
-                                f"{root}/ckpt", chunk_size=64)
-    _run(q)
+    with fixture_partitions(spark):
+        q = jobs.start_rolling_halo(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/tails",
+                                    f"{root}/ckpt", chunk_size=64)
+        _run(q)
     out = read_appended(spark, f"{root}/out")
     return out.select("symbol", "offset", "price", F.col("sma4").alias("sma"), "alert_type")
 
@@ -132,9 +159,10 @@ FROM a GROUP BY symbol""")
 def session_stats_stream(spark, sf_dir):
     """A2 in streaming: running stats merged batch by batch into a snapshot."""
     root = work_dir(spark, "session_stats_stream")
-    q = jobs.start_rolling_halo(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/tails",
-                                f"{root}/ckpt", stats_path=f"{root}/stats")
-    _run(q)
+    with fixture_partitions(spark):
+        q = jobs.start_rolling_halo(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/tails",
+                                    f"{root}/ckpt", stats_path=f"{root}/stats")
+        _run(q)
     return read_snapshot(spark, f"{root}/stats").select(
         "symbol", "ticks", "min_price", "max_price", "alerts")
 
@@ -143,9 +171,10 @@ def session_stats_stream(spark, sf_dir):
 def archive_replay(spark, sf_dir):
     """K8 + S9: archive raw ticks (date-partitioned file sink), replay them into windows."""
     root = work_dir(spark, "archive")
-    q = start_archive(stream_ticks(spark, sf_dir), f"{root}/ticks", f"{root}/ckpt",
-                      trigger=jobs.AVAILABLE_NOW)
-    _run(q)
+    with fixture_partitions(spark):
+        q = start_archive(stream_ticks(spark, sf_dir), f"{root}/ticks", f"{root}/ckpt",
+                          trigger=jobs.AVAILABLE_NOW)
+        _run(q)
     archived = (spark.read.parquet(f"{root}/ticks")
                 .select("symbol", F.col("event_time").alias("timestamp"), "price"))
     return window_aggregates(archived, "1 hour")
@@ -162,9 +191,10 @@ def channel_stream(spark, sf_dir):
     """K4 + S8: ticks published per symbol channel, read back by a channel reader."""
     from ..operators.latest import channel_latest
     root = work_dir(spark, "channel")
-    q = start_channel_publish(stream_ticks(spark, sf_dir), f"{root}/chan", f"{root}/ckpt",
-                              trigger=jobs.AVAILABLE_NOW)
-    _run(q)
+    with fixture_partitions(spark):
+        q = start_channel_publish(stream_ticks(spark, sf_dir), f"{root}/chan", f"{root}/ckpt",
+                                  trigger=jobs.AVAILABLE_NOW)
+        _run(q)
     msgs = spark.read.parquet(f"{root}/chan")
     return channel_latest(msgs).select("symbol", "price", "volume", "timestamp", "source",
                                        "last_update")
@@ -205,8 +235,9 @@ def history_sink(spark, sf_dir):
 
 def _tick_state(spark, sf_dir):
     root = work_dir(spark, "tick_state")
-    q = jobs.start_tick_state(stream_ticks(spark, sf_dir), f"{root}/changes", f"{root}/ckpt")
-    _run(q)
+    with fixture_partitions(spark):
+        q = jobs.start_tick_state(stream_ticks(spark, sf_dir), f"{root}/changes", f"{root}/ckpt")
+        _run(q)
     return jobs.read_tick_state(spark, f"{root}/ckpt")
 
 
@@ -232,7 +263,8 @@ FROM a GROUP BY symbol""")
 def session_stats_state(spark, sf_dir):
     """A2 as keyed state of the stateful rolling mean, read from its state store."""
     root = work_dir(spark, "rolling_state_stats")
-    q = jobs.start_rolling_state(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/ckpt")
-    _run(q)
+    with fixture_partitions(spark):
+        q = jobs.start_rolling_state(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/ckpt")
+        _run(q)
     return jobs.read_rolling_state(spark, f"{root}/ckpt").select(
         "symbol", "ticks", "min_price", "max_price", "alerts")
