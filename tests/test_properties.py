@@ -48,3 +48,25 @@ def test_last_n_chunked_equals_model(spark, raw, chunk, n):
         offs = sorted((r[4] for r in rows if r[0] == sym), reverse=True)[:n]
         want += [(sym, i + 1, o) for i, o in enumerate(offs)]
     assert got == sorted(want)
+
+
+multi_partition = st.lists(
+    st.tuples(st.sampled_from(["A", "B"]), st.integers(0, 2), st.integers(1, 5),
+              st.decimals(min_value=1, max_value=500, places=2)),
+    min_size=1, max_size=50)
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(multi_partition, st.integers(1, 20))
+def test_rolling_chunked_across_partitions(spark, raw, chunk):
+    """A symbol spread over several topic partitions: order is (partition, offset)."""
+    rows, offs = [], {}
+    for sym, part, gap, price in raw:
+        offs[part] = offs.get(part, 0) + gap
+        rows.append((sym, "2024-01-01 00:00:00", float(price), 1, offs[part], part))
+    t = tick_rows(spark, rows)
+    got = {(r.partition, r.offset, r.symbol): r.sma
+           for r in rolling_mean(t, chunk_size=chunk).collect()}
+    plain = {(r.partition, r.offset, r.symbol): r.sma for r in rolling_mean_plain(t).collect()}
+    assert got == plain
