@@ -133,31 +133,38 @@ def read_window_table(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 class AlertAppendSink:
-    """Append each batch as its own ``batch_id`` partition (re-delivery replaces it).
+    """Append each batch under its own ``batch_id`` (re-delivery replaces exactly it).
 
-    With ``reject_path``, rows whose ``timestamp`` is null (an alert table keyed
-    by time cannot hold them) go to that table instead, same partitioning.
+    Partitioned by (``<time_col>`` date, batch_id): a replayed batch rewrites
+    only its own folders, and readers of recent alerts prune by date instead of
+    listing every batch ever written. With ``reject_path``, rows whose time is
+    null (an alert table keyed by time cannot hold them) go to that table.
     """
 
-    def __init__(self, path: str, reject_path: str | None = None):
+    def __init__(self, path: str, reject_path: str | None = None,
+                 time_col: str = "timestamp"):
         self.path = path
         self.reject_path = reject_path
+        self.time_col = time_col
 
-    @staticmethod
-    def _write(df: DataFrame, path: str, batch_id: int) -> None:
+    def _write(self, df: DataFrame, path: str, batch_id: int) -> None:
+        parts = ["batch_id"]
+        if self.time_col in df.columns:
+            df = df.withColumn("alert_date", F.to_date(self.time_col))
+            parts = ["alert_date", "batch_id"]
         (df.withColumn("created_at", F.current_timestamp())
          .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(path))
+         .partitionBy(*parts).parquet(path))
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         if _skip(batch_df):
             return
-        if self.reject_path is None or "timestamp" not in batch_df.columns:
+        if self.reject_path is None or self.time_col not in batch_df.columns:
             self._write(batch_df, self.path, batch_id)
             return
-        self._write(batch_df.where(F.col("timestamp").isNotNull()), self.path, batch_id)
-        bad = batch_df.where(F.col("timestamp").isNull())
+        self._write(batch_df.where(F.col(self.time_col).isNotNull()), self.path, batch_id)
+        bad = batch_df.where(F.col(self.time_col).isNull())
         if not bad.isEmpty():
             self._write(bad, self.reject_path, batch_id)
 
