@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.history import last_n_ticks
 from ..operators.latest import latest_tick
-from ..session import checkpoint_root
+from ..session import work_dir
 
 
 # ---------------------------------------------------------------------------
@@ -80,8 +80,9 @@ class WindowUpsertSink:
     The table is partitioned by ``window_date``. A batch touches the dates of
     its windows only (the watermark keeps them recent); those partitions are
     read, merged with the batch (batch values win, ``created_at`` of existing
-    keys is kept), checkpointed to cut the read-from-self lineage, and written
-    back with dynamic partition overwrite. Untouched dates are never read.
+    keys is kept), staged as a table in the shared work folder to cut the
+    read-from-self lineage, and written back with dynamic partition overwrite.
+    Untouched dates are never read.
     """
 
     def __init__(self, path: str, key: tuple[str, ...] = ("window_start", "symbol"),
@@ -115,10 +116,17 @@ class WindowUpsertSink:
                   for c in value_cols],
                 F.coalesce(F.col("o.created_at"), F.current_timestamp()).alias("created_at")
             ).select(*new.columns, "created_at")
-            checkpoint_root(spark)      # reliable checkpoint in the shared folder
-            merged = merged.checkpoint()
-        else:
-            merged = new.withColumn("created_at", F.current_timestamp())
+            # Cut the read-from-self lineage with a staged table in the shared
+            # work folder (removed once the overwrite committed; an RDD
+            # checkpoint would leave a copy behind for every micro-batch).
+            stage = work_dir(spark, "upsert-stage")
+            merged.write.mode("overwrite").parquet(stage)
+            (spark.read.parquet(stage).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy("window_date").parquet(self.path))
+            _delete(spark, stage)
+            return
+        merged = new.withColumn("created_at", F.current_timestamp())
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("window_date").parquet(self.path))
 
