@@ -36,3 +36,16 @@ def test_three_named_queries(spark, tmpdir_fresh):
     events = [r for r in log.to_df(spark).collect() if r.query == "volume_alerts"]
     assert sum(r.input_rows for r in events) == 4
     assert sum(r.output_rows or 0 for r in events) == 2
+
+
+def test_windows_since_symbol_and_kafka_options(spark):
+    from tickworks.operators.windows import window_aggregates, windows_since
+    from tickworks.streaming.sinks import kafka_sink_options
+    t = tick_rows(spark, [("A", "2024-01-01 00:01:00", 1.0, 1, 0),
+                          ("A", "2024-01-01 01:01:00", 2.0, 1, 1),
+                          ("B", "2024-01-01 01:02:00", 3.0, 1, 2)])
+    w = windows_since(window_aggregates(t), "2024-01-01 00:30:00", symbol="A").collect()
+    assert [(r.symbol, str(r.window_start)) for r in w] == [("A", "2024-01-01 01:00:00")]
+    opts = kafka_sink_options("broker:9092", "ticks")
+    assert opts["kafka.acks"] == "1" and opts["kafka.retries"] == "3"
+    assert opts["kafka.linger.ms"] == "50" and opts["topic"] == "ticks"

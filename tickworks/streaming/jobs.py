@@ -250,8 +250,15 @@ def start_tick_jobs(ticks: DataFrame, root: str, trigger: dict | None = None) ->
     }
 
 
-def await_any(spark: SparkSession, timeout_s: float | None = None) -> bool:
-    """Block until any active query ends (or the timeout passes)."""
+def await_any(spark: SparkSession, timeout_s: float | None = None,
+              reset: bool = False) -> bool:
+    """Block until any query ends (or the timeout passes).
+
+    Queries that ended earlier in the session count until ``resetTerminated``;
+    ``reset=True`` clears them first so only the active ones are awaited.
+    """
+    if reset:
+        spark.streams.resetTerminated()
     if timeout_s is None:
         spark.streams.awaitAnyTermination()
         return True
