@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import edit_embedding, line_templates, mixing, quality_cnn
+from . import bpe, edit_embedding, line_templates, mixing, quality_cnn, token_files, topk, warc
 from .common import table
 
 
@@ -16,6 +16,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"), min_bytes=0).drop("url")
+
+
 def op2_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_embedding.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -25,10 +29,13 @@ def op3_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from . import bpe
     return bpe.encode(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), with_ids=False)
 
 
+def op5_histogram_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.document_lines(table(spark, sf_dir, "documents"))
 
@@ -38,14 +45,14 @@ def op8_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from . import token_files
     return token_files.token_file_digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_edit_fingerprints, op3_pivotal_mix, op4_word_bpe, op6_line_templates, op8_quality_cnn,
-                                    op10_token_files)}
+    return {f.__name__: f for f in (
+        op1_warc, op2_edit_fingerprints, op3_pivotal_mix, op4_word_bpe, op5_histogram_top_k, op6_line_templates,
+        op8_quality_cnn, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_templates": line_templates.ORACLE_SQL}
+    return {"op1_warc": warc.pages_sql(), "op5_histogram_top_k": topk.ORACLE_SQL, "op6_line_templates": line_templates.ORACLE_SQL}
