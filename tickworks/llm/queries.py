@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, edit_embedding, line_templates, mixing, quality_cnn, token_files, topk, warc
+from . import bpe, edit_embedding, lbl_model, line_templates, mixing, ngram_join, quality_cnn, token_files, topk, warc
 from .common import table
 
 
@@ -40,10 +40,18 @@ def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.document_lines(table(spark, sf_dir, "documents"))
 
 
+def op7_lbl_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl_model.scores(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -51,8 +59,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_warc, op2_edit_fingerprints, op3_pivotal_mix, op4_word_bpe, op5_histogram_top_k, op6_line_templates,
-        op8_quality_cnn, op10_token_files)}
+        op7_lbl_scores, op8_quality_cnn, op9_ngram_jaccard, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.pages_sql(), "op5_histogram_top_k": topk.ORACLE_SQL, "op6_line_templates": line_templates.ORACLE_SQL}
+    return {"op1_warc": warc.pages_sql(), "op5_histogram_top_k": topk.ORACLE_SQL, "op6_line_templates": line_templates.ORACLE_SQL,
+            "op9_ngram_jaccard": ngram_join.ORACLE_SQL}
