@@ -192,7 +192,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
             ids = codec.encode_batch(pdf["text"].tolist())
             out = {"doc_id": pdf["doc_id"]}
             if with_ids:
-                out["ids"] = ids
+                out["ids"] = [np.array(x, np.int32) for x in ids]
             out["n_tokens"] = [len(x) for x in ids]
             out["ids_sha256"] = [hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest() for x in ids]
             out["decoded_sha256"] = [hashlib.sha256(codec.decode(x).encode()).hexdigest() for x in ids]
