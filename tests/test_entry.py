@@ -1,6 +1,7 @@
 import duckdb
 
 import __spark_entry__ as entry_mod
+from tickworks.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,7 +25,7 @@ def _check(spark, streaming: bool):
     for t in ["events", "lineitem", "pages", "orders"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     sqls = entry_mod.oracle_sql()
-    for name, fn in entry_mod.queries().items():
+    for name, fn in catalog.queries().items():
         if any(name.endswith(x) for x in STREAMING) != streaming:
             continue
         df = fn(spark, SF)
