@@ -37,36 +37,29 @@ DEPTH, PARTS = 2, 4
 LEAST_TOKENS, OPEN_TOKENS = 5, 12
 
 
-def tokens(line: Column) -> Column:
-    return F.filter(F.split(line, "[ \\t\\r]+"), lambda t: t != "")
-
+def line_keys(line: Column) -> Column:
+    """Two hashes (96 bits) of each template of one line."""
+    variable = F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ \\t\\r]*[0-9][^ \\t\\r]*", "<*>")).otherwise(line)
 
-def line_templates(line: Column) -> Column:
-    """The templates (strings) of one line."""
-    masked = F.transform(tokens(line), lambda t: F.when(t.rlike("[0-9]"), F.lit("<*>")).otherwise(t))
+    def key(*parts: Column) -> Column:
+        return F.struct(F.xxhash64(*parts).alias("h"), F.hash(*parts).alias("g"))
 
     def of(m: Column) -> Column:
         n = F.size(m)
-        constant = F.size(F.filter(m, lambda t: t != "<*>"))
-        whole = F.concat_ws(" ", n.cast("string"), F.lit("-"), F.array_join(m, " "))
+        constant = F.when(F.array_contains(m, "<*>"), F.size(F.array_remove(m, "<*>"))).otherwise(n)
 
-        def open_run(k: Column) -> Column:
+        def open_run(k: int) -> Column:
             a = DEPTH + F.floor((n - DEPTH) * k / PARTS).cast("int")
             b = DEPTH + F.floor((n - DEPTH) * (k + 1) / PARTS).cast("int")
-            return F.concat_ws(" ", n.cast("string"), k.cast("string"), F.array_join(F.slice(m, F.lit(1), a), " "),
-                               F.lit("<*>"), F.array_join(F.slice(m, b + 1, n), " "))
-
-        opened = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), open_run)
-        return (F.when(constant < LEAST_TOKENS, F.array().cast("array<string>"))
-                .when((n < OPEN_TOKENS) | (constant < OPEN_TOKENS), F.array(whole)).otherwise(opened))
+            return key(n, F.lit(k), F.slice(m, F.lit(1), a), F.slice(m, b + 1, n))
 
-    # one-element transform: the masked tokens are computed once a line
-    return F.transform(F.array(masked), of)[0]
+        none = F.array().cast("array<struct<h:bigint,g:int>>")
+        return (F.when(constant < LEAST_TOKENS, none)
+                .when(constant < OPEN_TOKENS, F.array(key(n, F.lit(-1), m)))
+                .otherwise(F.array(*map(open_run, range(PARTS)))))
 
-
-def line_keys(line: Column) -> Column:
-    """Two hashes of each template, 96 bits."""
-    return F.transform(line_templates(line), lambda t: F.struct(F.xxhash64(t).alias("h"), F.hash(t).alias("g")))
+    # one-element transform: the tokens are computed once a line
+    return F.transform(F.array(F.array_remove(F.split(variable, "[ \\t\\r]+"), "")), of)[0]
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -74,7 +67,7 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(_doc, _text, _drop): by document, places (from 0) of the lines to drop."""
     rows = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("_doc"), F.xxhash64(text_col).alias("_text"), F.col(text_col).alias("_body"))
-    lines = rows.select("_doc", "_text", F.transform(F.split("_body", "\\n", -1), line_keys).alias("_keys"))
+    lines = stored(rows.select("_doc", "_text", F.transform(F.split("_body", "\\n", -1), line_keys).alias("_keys")), "line-keys")
     owner = F.struct(F.col("_doc").isNull().alias("no_id"), F.col("_doc").alias("id"), F.col("_text").alias("text"))
     found = (lines.select(owner.alias("owner"), F.explode(F.array_distinct(F.flatten("_keys"))).alias("key")))
     # a template is in two documents when its first and last differ
