@@ -16,8 +16,9 @@ the set is empty and linked with nothing). Two documents link when
 3. Of the classes that share a prefix shingle, the first is paired with every
    other, after the length and positional filters. Rows stream; nothing is
    gathered. Shingles with two classes are finished by that.
-4. Pairs are made distinct and verified once: the suffix filter (Hamming bound
-   over hash ranges), then the exact intersection.
+4. Pairs are made distinct and verified once: the suffix filter (the sets' counts
+   in ``PIVOTS`` hash ranges bound their Hamming distance), which moves no text,
+   then the exact intersection of the two texts' sets.
 5. Shingles with three or more classes go on while their classes lie in different
    components: the next 1, 2, 4, ... classes in order are paired with the later ones
    of other components, so every pair that could still join two components is
@@ -46,9 +47,9 @@ from .common import partitions, rebatch, stored
 
 WORDS = 5
 SHARE = 75  # of 100
-HEAVY = 1 << 16
+HEAVY = 1 << 20
 BATCH_CHARS, COUNTED = 2_000_000, 4_000_000
-PIVOTS = 32
+PIVOTS = 256
 
 RNG = np.random.default_rng(9)
 BYTE = RNG.integers(0, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -168,12 +169,12 @@ def classes_and_counts(src: DataFrame) -> DataFrame:
     return src.mapInPandas(run, "kind int, doc_id bigint, n bigint, key bigint")
 
 
-def prefixes(src: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """(shingle, node, place): place = size << 32 | position in the order. ``heavy``: by rising frequency."""
-    order = np.argsort(heavy)
-    by_hash, rank = heavy[order], (order + 1).astype(np.int64)
+def prefixes(src: DataFrame, heavy) -> DataFrame:
+    """(shingle, node, place): place = size << 32 | position in the order. ``heavy``: a broadcast list by rising frequency."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        order = np.argsort(heavy.value)
+        by_hash, rank = heavy.value[order], (order + 1).astype(np.int64)
         for _, size, key, d, h in batches(frames, set()):
             if not len(d):
                 continue
@@ -251,31 +252,47 @@ def first_pairs(postings: DataFrame) -> DataFrame:
     return dealt.mapInPandas(run, "kind int, shingle bigint, a bigint, b bigint, place bigint, idx bigint")
 
 
-def linked(a: np.ndarray, b: np.ndarray, pivots: np.ndarray) -> bool:
-    """Suffix filter, then the exact test; sets sorted by hash."""
-    need = int(least_overlap(len(a), len(b)))
-    parts_a = np.diff(np.searchsorted(a, pivots), prepend=0, append=len(a))
-    parts_b = np.diff(np.searchsorted(b, pivots), prepend=0, append=len(b))
-    if np.abs(parts_a - parts_b).sum() > len(a) + len(b) - 2 * need:
-        return False
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """The exact test; sets sorted by hash."""
     both = np.concatenate([a, b])
     both.sort()
-    return int((both[1:] == both[:-1]).sum()) >= need
+    return int((both[1:] == both[:-1]).sum()) >= int(least_overlap(len(a), len(b)))
+
+
+def counts_by_range(d: np.ndarray, h: np.ndarray, n_docs: int) -> np.ndarray:
+    """Shingles of each set in each of ``PIVOTS`` ranges of hashes, at most 255."""
+    at = d * PIVOTS + (h >> np.uint64(64 - PIVOTS.bit_length() + 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=n_docs * PIVOTS), 255).astype(np.uint8).reshape(n_docs, PIVOTS)
+
+
+def suffix_filtered(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs whose sets may be close enough: the ranges' counts bound the Hamming distance from below."""
+    sides = [texts.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("ranges").alias(f"ranges_{x}")) for x in "ab"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            if not len(pdf):
+                continue
+            x, y = (np.frombuffer(b"".join(pdf[f"ranges_{s}"]), np.uint8).reshape(-1, PIVOTS).astype(np.int16) for s in "ab")
+            na, nb = pdf["n_a"].to_numpy(), pdf["n_b"].to_numpy()
+            yield pdf.loc[np.abs(x - y).sum(axis=1) <= na + nb - 2 * least_overlap(na, nb), ["a", "b"]]
+
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInPandas(run, "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The (a, b) that link; each pair's two texts meet in one row."""
-    rows = (pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
+    """The (a, b) that link; the two texts of a pair that passes the suffix filter meet in one row."""
+    left = stored(suffix_filtered(pairs, texts), "join-left")
+    rows = (left.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
-        pivots = (np.arange(1, PIVOTS, dtype=np.uint64) << np.uint64(59))
         for pdf in rebatch(frames, "text_a", BATCH_CHARS // 2):
-            texts = {t: i for i, t in enumerate(dict.fromkeys([*pdf["text_a"], *pdf["text_b"]]))}
+            places = {t: i for i, t in enumerate(dict.fromkeys([*pdf["text_a"], *pdf["text_b"]]))}
             sets: list[np.ndarray] = []
             held, size = [], 0
-            for t in [*texts, None]:  # None: hash what is left
+            for t in [*places, None]:  # None: hash what is left
                 if t is None or size + len(t) > BATCH_CHARS:
                     d, h = shingler.sets(held)
                     sets += np.split(h, np.cumsum(np.bincount(d, minlength=len(held)))[:-1]) if held else []
@@ -283,7 +300,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 if t is not None:
                     held.append(t.encode("utf-8", "surrogatepass"))
                     size += len(t)
-            ok = [linked(sets[texts[x]], sets[texts[y]], pivots) for x, y in zip(pdf["text_a"], pdf["text_b"])]
+            ok = [linked(sets[places[x]], sets[places[y]]) for x, y in zip(pdf["text_a"], pdf["text_b"])]
             yield pdf.loc[ok, ["a", "b"]]
 
     return rows.mapInPandas(run, "a bigint, b bigint")
@@ -315,8 +332,8 @@ def similar_classes(src: DataFrame) -> tuple[DataFrame, DataFrame]:
     passed = stored(classes_and_counts(src), "join-classes")
     docs = passed.where("kind = 0").select("doc_id", "n", "key")
     top = (passed.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
-           .orderBy(F.col("n").desc(), "key").limit(HEAVY).collect())  # bounded by HEAVY
-    heavy = np.array([r.key for r in reversed(top)], np.int64).view(np.uint64)
+           .orderBy(F.col("n").desc(), "key").limit(HEAVY).select("key").toPandas())  # bounded by HEAVY
+    heavy = spark.sparkContext.broadcast(top["key"].to_numpy(np.int64)[::-1].view(np.uint64))
     met = stored(first_pairs(prefixes(src, heavy)), "join-met")
     pairs = stored(met.where("kind = 0").select("a", "b").distinct(), "join-pairs")
     open_rows = met.where("kind = 1").select("shingle", F.col("a").alias("node"), "place", "idx")
@@ -331,12 +348,14 @@ def similar_classes(src: DataFrame) -> tuple[DataFrame, DataFrame]:
         shingler = Shingler()
         for pdf in rebatch(frames, "text", BATCH_CHARS):
             d, h = shingler.sets([t.encode("utf-8", "surrogatepass") for t in pdf["text"]])
-            yield pdf[set_keys(d, h, len(pdf))[1] == pdf["key"].to_numpy()]
+            n, key = set_keys(d, h, len(pdf))
+            ranges = [r.tobytes() for r in counts_by_range(d, h, len(pdf))]
+            yield pdf.assign(n=n, ranges=ranges)[key == pdf["key"].to_numpy()]
 
-    texts = stored(texts.mapInPandas(own_key, "key bigint, text string"), "join-texts")
+    texts = stored(texts.mapInPandas(own_key, "key bigint, text string, n bigint, ranges binary"), "join-texts")
     # equal sets of one id with other texts
     again = texts.groupBy("key").count().where("count > 1").limit(1).count()
-    texts = stored(texts.groupBy("key").agg(F.min("text").alias("text")), "join-texts") if again else texts
+    texts = stored(texts.dropDuplicates(["key"]), "join-texts") if again else texts
     edges = stored(verified(pairs, texts), "join-edges")
     lo = 1
     while True:
