@@ -34,7 +34,7 @@ FOLDS, SAMPLE, SAMPLE_CHUNKS = 5, 1_500, 6
 CHUNK, OVERLAP = 512, 64
 EMBED, FILTERS, WIDTH, STRIDE = 8, 32, 8, 4
 PAD = 256
-EPOCHS, RATE, BATCH = 8, 3e-3, 32
+STEPS, RATE, BATCH = 750, 3e-3, 32
 GROUP = 1_024  # chunks scored at once
 THRESHOLD = 0.3
 
@@ -89,12 +89,12 @@ class ByteCnn:
         return out
 
     def fit(self, texts: list[np.ndarray], labels: np.ndarray, seed: int = 9) -> None:
-        """Adam on the logistic loss of each document's mean chunk log-odds."""
+        """At least STEPS Adam steps on the logistic loss of each document's mean chunk log-odds."""
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
         step = 0
-        for _ in range(EPOCHS):
+        for _ in range(-(-STEPS // -(-len(texts) // BATCH))):
             order = rng.permutation(len(texts))
             for i in range(0, len(order), BATCH):
                 pick = order[i:i + BATCH]

@@ -100,6 +100,8 @@ def unpack_block(words: np.ndarray, n: int) -> np.ndarray:
         head = np.ones(len(words), bool)
         for i in np.flatnonzero(sels == 0).tolist():
             if head[i]:
+                if i + 1 == len(words):
+                    raise ValueError("token file: an escape without its word")
                 head[i + 1] = False
     else:
         head = np.ones(len(words), bool)

@@ -17,7 +17,7 @@ stored:
    smallest ids that are still needed; ties end in (score, id) order.
 
 Products are exact: in double precision while the largest possible sum stays
-under 2^53, else in Python integers, cut to +-2^62.
+under 2^53, else in Python integers, cut to +-2^60.
 
 Nulls: vectors that are null, or hold a null or non-finite component, take no
 part, nor do rows without an id. Vectors of another length than a query's are no
@@ -42,7 +42,7 @@ from .common import partitions, stored
 SCALE, K, EVERY = 256, 5, 50
 QUERY_BLOCK, ROW_BLOCK = 512, 1_024
 BINS = 1_024
-MOST = 1 << 62
+MOST = 1 << 60
 SLOT = "slot int, kind int, ids binary, vecs binary, dim int, lo binary, hi binary, width binary, need binary"
 RANGE = ("lo", "hi", "width", "need")  # scores in [lo, hi) are still in question, need of them are wanted
 
@@ -197,7 +197,7 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, id_col: str = "
     n_blocks = -(-n_queries // QUERY_BLOCK)
     slots = max(1, -(-partitions(embeddings) // n_blocks))
     # Cauchy-Schwarz bounds every score of a query
-    bound = F.least(F.ceil(length * facts.length * 1.001) + 1, F.lit(MOST))
+    bound = F.ceil(F.least(length * facts.length * 1.001 + 1, F.lit(float(MOST))))
     state = stored(asked.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int").alias("block"), (-bound).alias("lo"), (bound + 1).alias("hi"),
                                 F.greatest(F.lit(1), F.ceil((2 * bound + 1) / BINS)).cast("bigint").alias("width"),
                                 F.lit(k).cast("bigint").alias("need")), "topk-state")
