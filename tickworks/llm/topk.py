@@ -55,7 +55,7 @@ def valid(embeddings: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def whole(vecs: pd.Series, dim: int) -> np.ndarray:
-    return np.floor(SCALE * np.array([np.asarray(v, np.float64) for v in vecs]).reshape(-1, dim))
+    return np.floor(SCALE * np.array([np.asarray(v, np.float64) for v in vecs]).reshape(len(vecs), dim))
 
 
 def norms(v: np.ndarray) -> np.ndarray:
