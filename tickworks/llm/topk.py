@@ -199,7 +199,7 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, id_col: str = "
     # Cauchy-Schwarz bounds every score of a query
     bound = F.ceil(F.least(length * facts.length * 1.001 + 1, F.lit(float(MOST))))
     state = stored(asked.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int").alias("block"), (-bound).alias("lo"), (bound + 1).alias("hi"),
-                                F.greatest(F.lit(1), F.ceil((2 * bound + 1) / BINS)).cast("bigint").alias("width"),
+                                (F.floor((2 * bound + 1) / BINS) + 1).alias("width"),
                                 F.lit(k).cast("bigint").alias("need")), "topk-state")
     last = False
     while not last:
