@@ -70,3 +70,15 @@ def test_latest_window_keeps_null_values(spark):
     r = latest_window(window_aggregates(t)).first()
     assert str(r.window_start) == "2024-01-01 00:10:00"
     assert r.avg_price is None and r.tick_count == 0
+
+
+def test_bad_prices_never_stop_a_query(spark):
+    """NaN, Infinity and 1e300 pass every average; the default is the plain double mean."""
+    from tickworks.operators.rolling import rolling_mean
+    bad = [("A", "2024-01-01 00:01:00", x, 1, i) for i, x in enumerate([1.0, float("nan"), float("inf"), 1e300, 2.0])]
+    t = tick_rows(spark, bad)
+    assert window_aggregates(t).count() == 1
+    assert window_aggregates(t, mode="exact").first().avg_price == 1.5
+    assert rolling_mean(t, exact4=True).count() == 5
+    two = tick_rows(spark, [("A", "2024-01-01 00:01:00", 1.00006, 1, 0), ("A", "2024-01-01 00:02:00", 1.0, 1, 1)])
+    assert window_aggregates(two).first().avg_price == 1.0

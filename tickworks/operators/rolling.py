@@ -105,10 +105,12 @@ def rolling_mean(ticks: DataFrame, n: int = SMA_WINDOW, min_ticks: int = SMA_MIN
     main = main.withColumn(out_col, F.when(valid, F.avg("price").over(frame)))
     out = [out_col]
     if exact4:
-        units = F.sum(F.round(F.col("price") * 10000).cast("bigint")).over(frame)
-        cnt = F.count("price").over(frame)
+        # NaN, infinite and out-of-range prices are left out of the exact mean
+        unit = F.round(F.col("price") * 10000).try_cast("bigint")
+        units = F.try_sum(unit).over(frame)
+        cnt = F.count(unit).over(frame)
         main = main.withColumn(out_col + "4", F.when(
-            valid, F.floor((2 * units + cnt) / (2 * cnt)) / F.lit(10000.0)))
+            valid & (cnt > 0), F.floor((2 * units + cnt) / (2 * cnt)) / F.lit(10000.0)))
         out.append(out_col + "4")
     return main.where(F.col("_emit")).select(*cols, *out)
 

@@ -31,25 +31,26 @@ def _exact_avg4(price: Column) -> tuple[Column, Column]:
 
     Prices are first rounded to 1e-4 units; with S = their sum and n = count,
     avg4 = floor((2S + n) / 2n) / 10000. Exact for non-negative prices on any
-    engine and any partitioning (no floating-point summation order).
+    engine and any partitioning (no floating-point summation order). Prices that
+    are NaN, infinite or beyond the range of units are left out; a sum beyond it
+    gives null.
     """
-    units = F.round(price * 10000).cast("bigint")
-    s = F.sum(units)
-    n = F.count(price)
+    units = F.round(price * 10000).try_cast("bigint")
+    s = F.try_sum(units)
+    n = F.count(units)
     avg4 = F.when(n > 0, F.floor((2 * s + n) / (2 * n)) / F.lit(10000.0))
     return avg4, n
 
 
 def window_aggregates(ticks: DataFrame, duration: str = WINDOW_DURATION,
-                      mode: str = "exact", watermark: str | None = None) -> DataFrame:
+                      mode: str = "double", watermark: str | None = None) -> DataFrame:
     """Tumbling-window aggregates per (window, symbol).
 
-    mode="exact":  avg rounded half-up to 4 decimals on integers (default; see
-                   ``_exact_avg4``). The double form below depends on the
-                   summation order, i.e. on partitioning: where the exact mean
-                   ends in a 5 at the fifth decimal, two runs on differently
-                   sized clusters can round it differently.
-    mode="double": round(avg(price), 4) on doubles, the original expression.
+    mode="double": round(avg(price), 4) on doubles (default, the original
+                   expression). Where the exact mean ends in a 5 at the fifth
+                   decimal, the summation order decides the rounding.
+    mode="exact":  avg of prices cut to 1e-4 units, rounded half-up on integers
+                   (see ``_exact_avg4``); the same on any partitioning.
     Rows with a null timestamp fall in no window; null prices are ignored
     (a window of only null prices gives nulls and tick_count 0).
     """

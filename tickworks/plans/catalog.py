@@ -84,7 +84,7 @@ _AVG_EXACT = ("CASE WHEN count(value) > 0 THEN "
 @register("window_agg_5m", _WINDOW_SQL.format(d="5 minutes", sym="event_type", avg=_AVG_EXACT))
 def window_agg_5m(spark, sf_dir):
     """A1: 5-minute tumbling aggregates per (window, event type)."""
-    return win.window_aggregates(event_ticks(spark, sf_dir), "5 minutes")
+    return win.window_aggregates(event_ticks(spark, sf_dir), "5 minutes", mode="exact")
 
 
 @register("window_agg_5m_double",
@@ -98,17 +98,25 @@ def window_agg_5m_double(spark, sf_dir):
     return win.window_aggregates(event_ticks(spark, sf_dir), "5 minutes", mode="double")
 
 
+@register("window_agg_fraction", _WINDOW_SQL.format(d="5 minutes", sym="event_type", avg=_AVG_DOUBLE)
+          .replace("value", "(value / 7.0::DOUBLE)"))
+def window_agg_fraction(spark, sf_dir):
+    """A1 in its default form on prices with many decimals (value / 7)."""
+    ticks = event_ticks(spark, sf_dir)
+    return win.window_aggregates(ticks.withColumn("price", F.col("price") / F.lit(7.0)), "5 minutes")
+
+
 @register("window_agg_1h", _WINDOW_SQL.format(d="1 hour", sym="event_type", avg=_AVG_EXACT))
 def window_agg_1h(spark, sf_dir):
     """A1 with a one-hour window."""
-    return win.window_aggregates(event_ticks(spark, sf_dir), "1 hour")
+    return win.window_aggregates(event_ticks(spark, sf_dir), "1 hour", mode="exact")
 
 
 @register("window_agg_users_5m",
           _WINDOW_SQL.format(d="5 minutes", sym="CAST(user_id AS VARCHAR)", avg=_AVG_EXACT))
 def window_agg_users_5m(spark, sf_dir):
     """A1 over many sparse symbols (user ids)."""
-    return win.window_aggregates(event_ticks(spark, sf_dir, "user_id"), "5 minutes")
+    return win.window_aggregates(event_ticks(spark, sf_dir, "user_id"), "5 minutes", mode="exact")
 
 
 @register("window_agg_lineitem_1d", """
@@ -128,7 +136,7 @@ GROUP BY 1, 2, 3
 def window_agg_lineitem_1d(spark, sf_dir):
     """A1 on the largest table (lineitem as ticks), one-day windows."""
     ticks = ticks_from_lineitem(load_table(spark, sf_dir, "lineitem"))
-    return win.window_aggregates(ticks, "1 day")
+    return win.window_aggregates(ticks, "1 day", mode="exact")
 
 
 # ---------------------------------------------------------------------------
@@ -527,7 +535,7 @@ SELECT DISTINCT ON (symbol) symbol, window_start, window_end, avg_price, min_pri
 FROM ({_W5}) w ORDER BY symbol, window_start DESC""")
 def latest_window(spark, sf_dir):
     """Newest 5-minute window per symbol."""
-    return win.latest_window(win.window_aggregates(event_ticks(spark, sf_dir)))
+    return win.latest_window(win.window_aggregates(event_ticks(spark, sf_dir), mode="exact"))
 
 
 @register("windows_last_hour", f"""
@@ -538,14 +546,14 @@ def windows_last_hour(spark, sf_dir):
     ticks = event_ticks(spark, sf_dir)
     as_of = ticks.select(F.max("timestamp")).scalar()
     since = F.lit(as_of) - F.expr("INTERVAL 1 HOUR")
-    return win.windows_since(win.window_aggregates(ticks), since)
+    return win.windows_since(win.window_aggregates(ticks, mode="exact"), since)
 
 
 @register("windows_top10", f"""
 SELECT * FROM ({_W5}) w ORDER BY window_start DESC, symbol LIMIT 10""")
 def windows_top10(spark, sf_dir):
     """Newest 10 window rows overall."""
-    return win.top_windows(win.window_aggregates(event_ticks(spark, sf_dir)), 10)
+    return win.top_windows(win.window_aggregates(event_ticks(spark, sf_dir), mode="exact"), 10)
 
 
 @register("window_display", f"""
@@ -557,7 +565,7 @@ FROM (SELECT DISTINCT ON (symbol) * FROM ({_W5}) w ORDER BY symbol, window_start
 def window_display(spark, sf_dir):
     """Dashboard table: latest window per symbol as display texts."""
     from ..operators.serving import window_rows
-    return window_rows(win.latest_window(win.window_aggregates(event_ticks(spark, sf_dir))))
+    return window_rows(win.latest_window(win.window_aggregates(event_ticks(spark, sf_dir), mode="exact")))
 
 
 # ---------------------------------------------------------------------------

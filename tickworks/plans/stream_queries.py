@@ -74,7 +74,7 @@ def window_agg_stream(spark, sf_dir):
     root = work_dir(spark, "window_agg_stream")
     with fixture_partitions(spark):
         q = jobs.start_window_upsert(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
-                                     trigger=jobs.AVAILABLE_NOW)
+                                     trigger=jobs.AVAILABLE_NOW, mode="exact")
         _run(q)
     return read_window_table(spark, f"{root}/table").select(*WINDOW_COLUMNS)
 
@@ -87,7 +87,7 @@ def window_agg_stream_final(spark, sf_dir):
     root = work_dir(spark, "window_agg_final")
     with fixture_partitions(spark):
         q = jobs.start_window_final(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
-                                    trigger=jobs.AVAILABLE_NOW)
+                                    trigger=jobs.AVAILABLE_NOW, mode="exact")
         _run(q)
     return spark.read.parquet(f"{root}/table").select(*WINDOW_COLUMNS)
 
@@ -177,7 +177,7 @@ def archive_replay(spark, sf_dir):
         _run(q)
     archived = (spark.read.parquet(f"{root}/ticks")
                 .select("symbol", F.col("event_time").alias("timestamp"), "price"))
-    return window_aggregates(archived, "1 hour")
+    return window_aggregates(archived, "1 hour", mode="exact")
 
 
 @register("channel_stream", f"""

@@ -57,7 +57,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Read from ``spark.checkpoint.dir`` (or a directory already given to
     ``setCheckpointDir``). Only when neither exists — a local test session —
-    a fresh folder under the system temp directory is created and registered.
+    a fresh folder under the system temp directory is created and registered;
+    on a cluster executors would not share it, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -66,6 +67,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current.rstrip("/")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tickworks-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():

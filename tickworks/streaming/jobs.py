@@ -80,7 +80,7 @@ def _start(df: DataFrame, name: str, checkpoint: str, trigger: dict, output_mode
 
 def start_window_upsert(ticks: DataFrame, table: str, checkpoint: str,
                         trigger: dict = WINDOW_TRIGGER, duration: str = WINDOW_DURATION,
-                        watermark: str = WATERMARK_DELAY, mode: str = "exact",
+                        watermark: str = WATERMARK_DELAY, mode: str = "double",
                         name: str = "window_aggregates"):
     """5-minute windows, 1-minute watermark, update mode: changed windows are upserted."""
     agg = window_aggregates(ticks, duration, mode=mode, watermark=watermark)
@@ -89,7 +89,7 @@ def start_window_upsert(ticks: DataFrame, table: str, checkpoint: str,
 
 def start_window_final(ticks: DataFrame, path: str, checkpoint: str,
                        trigger: dict = WINDOW_TRIGGER, duration: str = WINDOW_DURATION,
-                       watermark: str = WATERMARK_DELAY, mode: str = "exact",
+                       watermark: str = WATERMARK_DELAY, mode: str = "double",
                        name: str = "window_aggregates_final"):
     """T4 append option: each window written once, when the watermark passes its end.
 

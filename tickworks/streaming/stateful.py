@@ -48,11 +48,15 @@ def rolling_frame(prev: np.ndarray, prices: np.ndarray, seen: int, n: int, min_t
     h = n - 1
     p = np.concatenate([prev, prices])
     m, k = len(prev), len(prices)
-    units = np.rint(p * 10000).astype(np.int64)
+    scaled = p * 10000
+    whole = np.isfinite(scaled) & (np.abs(scaled) < 2.0 ** 63)  # as the batch form's try_cast
+    x = np.where(whole, scaled, 0.0)
+    units = (np.sign(x) * np.floor(np.abs(x) + 0.5)).astype(np.int64)  # half-up, as round()
     pos = np.arange(k) + m
     s = np.zeros(k)
     u = np.zeros(k, dtype=np.int64)
     c = np.zeros(k, dtype=np.int64)
+    cw = np.zeros(k, dtype=np.int64)
     for d in range(h, -1, -1):          # oldest element of the frame first
         e = pos - d
         ok = e >= 0
@@ -60,9 +64,11 @@ def rolling_frame(prev: np.ndarray, prices: np.ndarray, seen: int, n: int, min_t
         s = np.where(ok, s + p[idx], s)
         u = np.where(ok, u + units[idx], u)
         c = c + ok
+        cw = cw + (ok & whole[idx])
     valid = (seen + np.arange(1, k + 1)) >= min_ticks
     sma = np.where(valid, s / c, np.nan)
-    sma4 = np.where(valid, ((2 * u + c) // (2 * c)) / 10000.0, np.nan)
+    cw1 = np.maximum(cw, 1)
+    sma4 = np.where(valid & (cw > 0), ((2 * u + cw) // (2 * cw1)) / 10000.0, np.nan)
     with np.errstate(divide="ignore", invalid="ignore"):
         dev = np.abs(prices - sma) / sma
     dev = np.where(np.isfinite(dev), dev, np.nan)
