@@ -176,6 +176,7 @@ class ByteBpe:
         self.double = regex.compile(r"[\s\x1c-\x1f\x85]{2}")
         self.lone = regex.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
         self.cache: dict[str, bytes] = {}
+        self.marks = frozenset(".,;:!?")
         self.split, self.merge = self.lib.pre_tokenizer.pre_tokenize_str, self.lib.model.tokenize
         self.space = self.split(" a")[0][0][0]  # how the vocabulary writes a space
 
@@ -199,6 +200,12 @@ class ByteBpe:
         """The library's split and merges of one chunk, little-endian."""
         if chunk[1:].isalpha() and chunk.isascii() and chunk[0] == " ":
             pieces = [self.space + chunk[1:]]  # one piece whatever its letters
+        elif chunk[-1:] in self.marks and chunk[1:-1].isalpha() and chunk.isascii() and chunk[0] == " ":
+            # letters, then one mark: two pieces, of which the word is often known already
+            for part in (chunk[:-1], chunk[-1]):
+                if part not in self.cache:
+                    self.cache[part] = self.chunk_ids(part)
+            return self.cache[chunk[:-1]] + self.cache[chunk[-1]]
         else:
             pieces = [p for p, _ in self.split(chunk)]
         return np.array([t.id for p in pieces for t in self.merge(p)], "<u4").tobytes()
