@@ -16,7 +16,8 @@ white space dropped) and reproduces the library's ids:
 Nulls: a null text is the empty text (no ids, empty decoded text). Repeated rows
 give repeated results; a null ``doc_id`` is carried through. Other columns of
 the input are ignored, whatever their names. An empty table gives an empty
-result. Texts are never cut; memory is one Arrow batch plus the chunk cache
+result. Texts are never cut; texts are taken about ``BATCH_CHARS`` characters at a
+time, so memory is that share (or one longer text) plus the chunk cache
 (``CACHE_CHUNKS`` entries, then it starts afresh; the ids don't depend on it).
 """
 
@@ -34,9 +35,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import empty_text
+from .common import empty_text, rebatch
 
 CACHE_CHUNKS = 400_000
+BATCH_CHARS, BATCH_IDS = 1_000_000, 500_000
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -188,7 +190,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = BpeCodec.load(vocab_path)
-        for pdf in frames:
+        for pdf in rebatch(frames, "text", BATCH_CHARS):
             ids = codec.encode_batch(pdf["text"].tolist())
             out = {"doc_id": pdf["doc_id"]}
             if with_ids:
@@ -210,7 +212,7 @@ def decode(encoded: DataFrame, vocab_path: str, id_col: str = "doc_id", ids_col:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = BpeCodec.load(vocab_path)
-        for pdf in frames:
+        for pdf in rebatch(frames, "ids", BATCH_IDS):
             yield pd.DataFrame({"doc_id": pdf["doc_id"],
                                 "text": [None if x is None else codec.decode(list(x)) for x in pdf["ids"]]})
 
