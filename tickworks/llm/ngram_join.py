@@ -20,7 +20,7 @@ the set is empty and linked with nothing). Two documents link when
    in ``PIVOTS`` hash ranges bound their Hamming distance), which moves no text,
    then the exact intersection of the two texts' sets.
 5. Shingles with three or more classes go on while their classes lie in different
-   components: the next 1, 2, 4, ... classes in order are paired with the later ones
+   components: the next 3, 12, 48, ... classes in order are paired with the later ones
    of other components, so every pair that could still join two components is
    verified, and pairs inside a component are not. No cap is set.
 
@@ -50,6 +50,7 @@ SHARE = 75  # of 100
 HEAVY = 1 << 20
 BATCH_CHARS, COUNTED = 2_000_000, 4_000_000
 PIVOTS = 256
+GROWTH = 4
 
 RNG = np.random.default_rng(9)
 BYTE = RNG.integers(0, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -194,10 +195,14 @@ def prefixes(src: DataFrame, heavy) -> DataFrame:
 
 
 def may_link(pa: np.ndarray, pb: np.ndarray) -> np.ndarray:
-    """Length and positional filters of two places of a shared shingle."""
+    """Length and positional filters of two places of a shared shingle.
+
+    The bound holds at the first shingle that two sets share in the order, since
+    nothing before it is shared; linked pairs are met there, so later ones may fail it.
+    """
     na, nb, i, j = pa >> 32, pb >> 32, pa & 0xFFFFFFFF, pb & 0xFFFFFFFF
     long_enough = 100 * np.minimum(na, nb) >= SHARE * np.maximum(na, nb)
-    return long_enough & (np.minimum(i, j) + 1 + np.minimum(na - i - 1, nb - j - 1) >= least_overlap(na, nb))
+    return long_enough & (1 + np.minimum(na - i - 1, nb - j - 1) >= least_overlap(na, nb))
 
 
 def first_pairs(postings: DataFrame) -> DataFrame:
@@ -326,6 +331,16 @@ def components(links: DataFrame) -> DataFrame:
     return labels if labels is not None else links.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
+def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more ``links``: only the labels that these join are contracted."""
+    a, b = (labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
+    up = components(links.join(a, "a", "left").join(b, "b", "left")
+                    .select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")).where("a <> b"))
+    moved = (labels.join(up.select(F.col("node").alias("label"), F.col("label").alias("up")), "label", "left")
+             .select("node", F.coalesce("up", "label").alias("label")))
+    return stored(moved.unionByName(up.join(labels, "node", "left_anti")), "join-labels")
+
+
 def similar_classes(src: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, key) of every document, and (node, label) of the linked classes."""
     spark = src.sparkSession
@@ -356,30 +371,31 @@ def similar_classes(src: DataFrame) -> tuple[DataFrame, DataFrame]:
     # equal sets of one id with other texts
     again = texts.groupBy("key").count().where("count > 1").limit(1).count()
     texts = stored(texts.dropDuplicates(["key"]), "join-texts") if again else texts
-    edges = stored(verified(pairs, texts), "join-edges")
+    labels = components(stored(verified(pairs, texts), "join-edges"))
     lo = 1
     while True:
-        labels = components(edges)
         rows = open_rows.join(labels, "node", "left").select("shingle", "node", "place", "idx", F.coalesce("label", "node").alias("label"))
         apart = (rows.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("idx").alias("z"))
                  .where(f"x <> y and z > {lo}").select("shingle"))
         rows = stored(rows.join(apart, "shingle", "left_semi"), "join-open")
         if rows.isEmpty():
             return docs, labels
-        heads = rows.where(f"idx >= {lo} and idx < {2 * lo}").select(
+        heads = rows.where(f"idx >= {lo} and idx < {GROWTH * lo}").select(
             "shingle", F.col("node").alias("h_node"), F.col("place").alias("h_place"), F.col("idx").alias("h_idx"), F.col("label").alias("h_label"))
         na, nb = F.shiftright("place", 32), F.shiftright("h_place", 32)
         i, j = F.col("place").bitwiseAND(0xFFFFFFFF), F.col("h_place").bitwiseAND(0xFFFFFFFF)
         near = ((100 * F.least(na, nb) >= SHARE * F.greatest(na, nb))
-                & ((100 + SHARE) * (F.least(i, j) + 1 + F.least(na - i - 1, nb - j - 1)) >= SHARE * (na + nb)))
+                & ((100 + SHARE) * (1 + F.least(na - i - 1, nb - j - 1)) >= SHARE * (na + nb)))
         more = (heads.join(rows, "shingle").where((F.col("idx") > F.col("h_idx")) & (F.col("label") != F.col("h_label")) & near)
                 .select(F.least("node", "h_node").alias("a"), F.greatest("node", "h_node").alias("b")).distinct()
                 .join(pairs, ["a", "b"], "left_anti"))
         more = stored(more, "join-pairs")
         pairs = pairs.unionByName(more)
         if not more.isEmpty():
-            edges = edges.unionByName(stored(verified(more, texts), "join-edges"))
-        open_rows, lo = rows.drop("label"), 2 * lo
+            edges = stored(verified(more, texts), "join-edges")
+            if not edges.isEmpty():
+                labels = joined_labels(labels, edges)
+        open_rows, lo = rows.drop("label"), GROWTH * lo
 
 
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
