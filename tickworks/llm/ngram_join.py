@@ -47,7 +47,7 @@ from .common import partitions, rebatch, stored
 
 WORDS = 5
 SHARE = 75  # of 100
-HEAVY = 1 << 20
+HEAVY = 1 << 18
 BATCH_CHARS, COUNTED = 2_000_000, 4_000_000
 PIVOTS = 256
 GROWTH = 4
