@@ -15,7 +15,7 @@ def test_three_named_queries(spark, tmpdir_fresh):
     spark.streams.addListener(log)
     ticks = parse_ticks(replay_stream(spark, glob))
     qs = jobs.start_tick_jobs(ticks, f"{tmpdir_fresh}/out", trigger=jobs.AVAILABLE_NOW)
-    assert sorted(q.name for q in qs.values()) == ["raw_ticks", "volume_alerts",
+    assert sorted(q.name for q in qs.values()) == ["raw_ticks", "tick_channel", "volume_alerts",
                                                    "window_aggregates"]
     for q in qs.values():
         q.awaitTermination()
@@ -30,6 +30,8 @@ def test_three_named_queries(spark, tmpdir_fresh):
     seen = sum(p["observedMetrics"]["raw_ticks_rows"]["rows"] for p in q.recentProgress
                if p.get("observedMetrics"))
     assert seen == 4
+    assert spark.read.parquet(f"{tmpdir_fresh}/out/channel").count() == 4
+    assert jobs.partition_lag(spark, q).count() == 0     # file source
     lag = jobs.source_lag(spark, q).collect()
     assert len(lag) == 1 and lag[0].query == "raw_ticks"
     spark.streams.removeListener(log)

@@ -2,7 +2,8 @@ from tickworks.operators.alerts import volume_alerts
 from tickworks.operators.windows import window_aggregates
 from tickworks.schema import TICK_COLUMNS
 from tickworks.streaming.sinks import (AlertAppendSink, SnapshotSink, WindowUpsertSink,
-                                       history_fold, latest_fold, read_snapshot, stats_fold)
+                                       compact_window_date, history_fold, latest_fold,
+                                       read_snapshot, read_window_table, stats_fold)
 from tests.conftest import tick_rows
 
 
@@ -16,14 +17,20 @@ def test_window_upsert_replay_and_update(spark, tmpdir_fresh):
     b0 = window_aggregates(tick_rows(spark, [("A", "2024-01-01 00:01:00", 1.0, 1, 0),
                                              ("B", "2024-01-02 00:01:00", 4.0, 1, 1)]))
     sink(b0, 0)
-    first = _rows(spark.read.parquet(path).drop("created_at"))
+    first = _rows(read_window_table(spark, path).drop("created_at", "changed_at"))
     sink(b0, 0)                                   # replay: same batch id
-    assert _rows(spark.read.parquet(path).drop("created_at")) == first
+    assert _rows(read_window_table(spark, path).drop("created_at", "changed_at")) == first
     b1 = window_aggregates(tick_rows(spark, [("A", "2024-01-01 00:01:00", 1.0, 1, 0),
                                              ("A", "2024-01-01 00:02:00", 3.0, 1, 2)]))
-    created = spark.read.parquet(path).where("symbol = 'A'").first().created_at
+    created = read_window_table(spark, path).where("symbol = 'A'").first().created_at
     sink(b1, 1)
-    t = {r.symbol: r for r in spark.read.parquet(path).collect()}
+    t = {r.symbol: r for r in read_window_table(spark, path).collect()}
+    compact_window_date(spark, path, "2024-01-01")
+    assert {r.symbol: r for r in read_window_table(spark, path).collect()} == t
+    late = read_window_table(spark, path, since="2024-01-02")
+    assert [r.symbol for r in late.collect()] == ["B"]
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "window_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert len(t) == 2 and t["A"].avg_price == 2.0 and t["A"].tick_count == 2
     assert t["A"].created_at == created           # created_at untouched on update
     assert t["B"].avg_price == 4.0                # other dates untouched
@@ -80,3 +87,54 @@ def test_empty_batches_write_nothing(spark, tmpdir_fresh):
     SnapshotSink(f"{tmpdir_fresh}/s", latest_fold(list(TICK_COLUMNS)))(t, 0)
     assert not path_exists(spark, f"{tmpdir_fresh}/w")
     assert not path_exists(spark, f"{tmpdir_fresh}/s")
+
+
+def test_new_checkpoint_keeps_what_was_written(spark, tmpdir_fresh):
+    """Two streams that both start at batch 0, and a batch delivered again."""
+    cols = list(TICK_COLUMNS)
+    b = [tick_rows(spark, [("A", f"2024-01-01 00:0{i + 1}:00", 1.0 + i, 2_000_000, i)]) for i in range(2)]
+    for query, batch in zip("xy", b):
+        for _ in range(2):
+            AlertAppendSink(f"{tmpdir_fresh}/a", query=query)(volume_alerts(batch), 0)
+            WindowUpsertSink(f"{tmpdir_fresh}/w", query=query)(window_aggregates(batch, "1 minute"), 0)
+            SnapshotSink(f"{tmpdir_fresh}/l", latest_fold(cols), query=query)(batch, 0)
+            SnapshotSink(f"{tmpdir_fresh}/h", history_fold(cols, 5), query=query)(batch, 0)
+    assert spark.read.parquet(f"{tmpdir_fresh}/a").count() == 2
+    assert read_window_table(spark, f"{tmpdir_fresh}/w").count() == 2
+    assert read_snapshot(spark, f"{tmpdir_fresh}/l").first().price == 2.0
+    assert read_snapshot(spark, f"{tmpdir_fresh}/h").count() == 2
+
+
+def test_streams_write_under_their_own_id(spark, tmpdir_fresh):
+    from tickworks.streaming import jobs
+    tick_rows(spark, [("A", "2024-01-01 00:01:00", 1.0, 2_000_000, 0)]).write.parquet(f"{tmpdir_fresh}/in")
+    schema = spark.read.parquet(f"{tmpdir_fresh}/in").schema
+    for i in range(2):
+        ticks = spark.readStream.schema(schema).parquet(f"{tmpdir_fresh}/in")
+        jobs.start_volume_alerts(ticks, f"{tmpdir_fresh}/a", f"{tmpdir_fresh}/c{i}",
+                                 trigger=jobs.AVAILABLE_NOW).awaitTermination()
+    ids = {r.query_id for r in spark.read.parquet(f"{tmpdir_fresh}/a").collect()}
+    assert len(ids) == 2 and "direct" not in ids
+
+
+def test_fixed_text_of_any_double(spark):
+    from tickworks.functions.format import fixed
+    values = [37.8125, 0.5, 1.5, 2.5, -0.00005, 0.99999, 123456789012345.678, 4503599627370497.5, 1e16,
+              float("nan"), float("inf"), float("-inf"), 1e300]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    for k in (0, 3, 4):
+        got = [r.t for r in df.select("i", fixed("v", k).alias("t")).orderBy("i").collect()]
+        assert got[:-1] == [f"%.{k}f" % v for v in values[:-1]]
+        assert got[-1].startswith("1")
+
+
+def test_key_mode_splits_records(spark):
+    from tickworks.operators.ingest import parse_rejects, parse_ticks
+    rows = [(b"A", b"<html>"), (b"A", b'{"price": 1.0}'), (None, b'{"symbol": "A"}'), (b"A", None)]
+    recs = spark.createDataFrame([(k, v, "t", 0, i) for i, (k, v) in enumerate(rows)],
+                                 "key binary, value binary, topic string, partition int, offset bigint")
+    recs = recs.selectExpr("*", "current_timestamp() AS timestamp")
+    for mode, kept in (("key", [1]), ("value", [2])):
+        assert [r.offset for r in parse_ticks(recs, symbol_from=mode).collect()] == kept
+        gone = {r.offset for r in parse_rejects(recs, symbol_from=mode).collect()}
+        assert gone == {0, 1, 2, 3} - set(kept)

@@ -37,12 +37,17 @@ def fixed(x: Column | str, k: int) -> Column:
     ``format_string`` (java.util.Formatter) rounds the shortest decimal text of
     the double half-up, so 37.8125 prints as 37.813 where C and Python print
     37.812 (they round the exact binary value, half-even on exact ties). Here
-    the product x·10^k is computed with its exact rounding error (Dekker's
-    split; 10^k has few significant bits so only x is split), which decides on
-    which side of the half the exact value lies. For |x|·10^k < 2^52; k <= 6.
+    product f·10^k of the fraction f is computed with its exact rounding error
+    (Dekker's split; 10^k has few significant bits so only f is split), which
+    decides on which side of the half the exact value lies (k <= 6). NaN and
+    infinities print as ``nan`` and ``inf``; from 2^53 on, where doubles have no
+    fraction, the shortest digits are printed, filled with zeros.
     """
-    x = _c(x)
-    a = F.abs(x)
+    x = _c(x).cast("double")
+    size = F.abs(x)
+    exact = F.when(size < F.lit(2.0 ** 53), size)
+    whole = F.floor(exact)
+    a = exact - whole
     scale = float(10 ** k)
     p = a * F.lit(scale)
     t = a * F.lit(_SPLIT)
@@ -51,16 +56,19 @@ def fixed(x: Column | str, k: int) -> Column:
     err = (hi * F.lit(scale) - p) + lo * F.lit(scale)
     n = F.floor(p)
     d = p - n - F.lit(0.5)
-    up = (d > 0) | ((d == 0) & ((err > 0) | ((err == 0) & (n % 2 == 1))))
+    up = (d > 0) | ((d == 0) & ((err > 0) | ((err == 0) & ((n if k else whole) % 2 == 1))))
     m = n + F.when(up, F.lit(1)).otherwise(F.lit(0))
-    ip = F.floor(m / F.lit(10 ** k)).cast("bigint").cast("string")
+    ip = (whole + F.when(m >= 10 ** k, F.lit(1)).otherwise(F.lit(0))).cast("string")
     sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
     if k == 0:
         body = ip
     else:
         frac = F.lpad((m % F.lit(10 ** k)).cast("bigint").cast("string"), k, "0")
         body = F.concat(ip, F.lit("."), frac)
-    return F.when(x.isNotNull(), F.concat(sign, body))
+    return (F.when(F.isnan(x), F.lit("nan"))
+            .when(size == F.lit(float("inf")), F.concat(sign, F.lit("inf")))
+            .when(exact.isNotNull(), F.concat(sign, body))
+            .when(x.isNotNull(), F.format_string(f"%.{k}f", x)))
 
 
 def dollars(p: Column | str) -> Column:

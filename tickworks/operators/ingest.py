@@ -37,6 +37,8 @@ def parse_ticks(records: DataFrame, symbol_from: str = "value",
     symbol_from="key":   symbol from the record key (stand-alone consumer).
     Rows whose symbol is null (malformed, truncated, empty or null payload,
     missing symbol) are dropped; a bad timestamp becomes null, not an error.
+    By key, a payload must hold at least one wire field (it may lack the symbol)
+    and the key must not be null.
     ``keep`` names record columns to carry along (e.g. "key", "topic").
     The whole parsed struct goes through the generator and its fields are read
     only after it: a field read directly on ``from_json`` is rewritten by the
@@ -44,28 +46,41 @@ def parse_ticks(records: DataFrame, symbol_from: str = "value",
     """
     schema = TICK_WIRE_SCHEMA_LENIENT if lenient_volume else TICK_WIRE_SCHEMA
     p = F.from_json(decode_text(F.col("value")), schema)
-    if symbol_from == "key":
-        p = p.withField("symbol", decode_text(F.col("key")))
-    elif symbol_from != "value":
-        raise ValueError(f"symbol_from must be 'value' or 'key', not {symbol_from!r}")
-    kept = F.filter(F.array(p), lambda x: x["symbol"].isNotNull())
+    by_key = _by_key(symbol_from)
+    kept = F.filter(F.array(p), _any_field if by_key else lambda x: x["symbol"].isNotNull())
+    if by_key:
+        records = records.where(decode_text(F.col("key")).isNotNull())
     exploded = records.select(F.col("timestamp").alias("kafka_timestamp"),
                               F.col("partition").cast("int").alias("partition"),
                               F.col("offset").cast("bigint").alias("offset"),
                               *[F.col(c).alias(f"_keep_{c}") for c in keep],
+                              *([decode_text(F.col("key")).alias("_key")] if by_key else []),
                               F.inline(kept))
     volume = F.col("volume").try_cast("bigint") if lenient_volume else F.col("volume")
     return exploded.select(
-        "symbol", iso_to_timestamp(F.col("timestamp")).alias("timestamp"), "price",
+        F.col("_key" if by_key else "symbol").alias("symbol"),
+        iso_to_timestamp(F.col("timestamp")).alias("timestamp"), "price",
         volume.alias("volume"), "source", "kafka_timestamp", "partition", "offset",
         *[F.col(f"_keep_{c}").alias(c) for c in keep])
 
 
-def parse_rejects(records: DataFrame) -> DataFrame:
+def _by_key(symbol_from: str) -> bool:
+    if symbol_from not in ("value", "key"):
+        raise ValueError(f"symbol_from must be 'value' or 'key', not {symbol_from!r}")
+    return symbol_from == "key"
+
+
+def _any_field(tick: Column) -> Column:
+    return F.coalesce(*[tick[f.name].cast("string") for f in TICK_WIRE_SCHEMA.fields]).isNotNull()
+
+
+def parse_rejects(records: DataFrame, symbol_from: str = "value") -> DataFrame:
     """Records that ``parse_ticks`` drops, with their raw text (for a reject table)."""
     p = _parsed(records, False)
+    kept = (_any_field(p) & decode_text(F.col("key")).isNotNull() if _by_key(symbol_from)
+            else p["symbol"].isNotNull())
     return (records
-            .where(p["symbol"].isNull())
+            .where(~kept)
             .select("topic", "partition", "offset",
                     F.col("timestamp").alias("kafka_timestamp"),
                     decode_text(F.col("value")).alias("raw")))
@@ -108,12 +123,14 @@ def unpack_envelopes(envelopes: DataFrame, raw_col: str = "raw",
     )
 
 
-def to_kafka_records(wire: DataFrame) -> DataFrame:
+def to_kafka_records(wire: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Wire ticks → producer records: key = symbol bytes, value = JSON bytes.
 
-    The result is what ``write.format("kafka")`` expects (key, value columns).
+    The result is what ``write.format("kafka")`` expects (key, value columns),
+    plus the columns named by ``keep``. Null fields are written as ``null``.
     """
     value = F.to_json(F.struct(*[F.col(c) for c in
-                                 ("symbol", "timestamp", "price", "volume", "source")]))
+                                 ("symbol", "timestamp", "price", "volume", "source")]),
+                      {"ignoreNullFields": "false"})
     return wire.select(F.col("symbol").cast("binary").alias("key"),
-                       value.cast("binary").alias("value"))
+                       value.cast("binary").alias("value"), *keep)

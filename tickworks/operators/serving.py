@@ -43,10 +43,10 @@ def symbol_cards(dim: DataFrame, overlay: DataFrame) -> DataFrame:
 
     Symbols outside the dimension are dropped, missing ones shown as '—'.
     """
-    # Semi join first (dimension = broadcast build side): at most one overlay
+    # Semi join first (a small dimension is broadcast by its size): at most one overlay
     # row per dimension symbol survives, so the outer join below is between
     # two inputs bounded by the dimension size.
-    hits = overlay.join(F.broadcast(dim.select("symbol")), "symbol", "left_semi")
+    hits = overlay.join(dim.select("symbol"), "symbol", "left_semi")
     j = dim.join(hits, "symbol", "left")
     return j.select("ord", "symbol", "price",
                     F.coalesce(F.col("is_live"), F.lit(False)).alias("is_live"),
@@ -55,7 +55,7 @@ def symbol_cards(dim: DataFrame, overlay: DataFrame) -> DataFrame:
 
 def live_detail(dim: DataFrame, live_ticks: DataFrame) -> DataFrame:
     """Live tick of each dimension symbol with display texts; missing symbols skipped."""
-    j = live_ticks.join(F.broadcast(dim), "symbol", "inner")
+    j = live_ticks.join(dim, "symbol", "inner")
     return j.select("ord", "symbol", "price", "volume", "timestamp",
                     fmt.dollars("price").alias("price_text"),
                     fmt.grouped_int("volume").alias("volume_text"),

@@ -202,6 +202,15 @@ def parse_key_symbol(spark, sf_dir):
     return parse_ticks(kafka_records_from_ticks(event_ticks(spark, sf_dir)), symbol_from="key")
 
 
+@register("parse_key_mixed", f"WITH {_ticks_sql()} SELECT {_TICK_OUT} FROM ticks")
+def parse_key_mixed(spark, sf_dir):
+    """P13 on the mixed topic, every record keyed: junk payloads are dropped whatever their key."""
+    from ..operators.ingest import parse_ticks
+    keyed = mixed_topic(spark, sf_dir).withColumn(
+        "key", F.coalesce("key", F.lit("junk").cast("binary")))
+    return parse_ticks(keyed, symbol_from="key")
+
+
 @register("kafka_key_value", f"""WITH {_ticks_sql()}
 SELECT symbol AS key, symbol, timestamp, price, volume, source, partition, "offset" FROM ticks""")
 def kafka_key_value(spark, sf_dir):

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parse import timestamp_to_iso
+from ..operators.ingest import to_kafka_records
 
 VOLUME_SCALE = 20000
 
@@ -76,19 +77,10 @@ def kafka_records_from_ticks(ticks: DataFrame, topic: str = "ticks") -> DataFram
 
     key = symbol, value = the wire JSON (ISO-8601 timestamp with offset).
     """
-    wire = F.to_json(F.struct(
-        F.col("symbol"),
-        timestamp_to_iso(F.col("timestamp")).alias("timestamp"),
-        F.col("price"),
-        F.col("volume"),
-        F.col("source"),
-    ))
-    return ticks.select(
-        F.col("symbol").cast("binary").alias("key"),
-        wire.cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        F.col("partition"),
-        F.col("offset"),
+    wire = ticks.withColumn("timestamp", timestamp_to_iso(F.col("timestamp")))
+    records = to_kafka_records(wire, keep=("partition", "offset", "kafka_timestamp"))
+    return records.select(
+        "key", "value", F.lit(topic).alias("topic"), "partition", "offset",
         F.col("kafka_timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

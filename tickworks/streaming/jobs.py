@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import sys
+from collections import deque
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,7 +35,7 @@ from ..operators.rolling import DEFAULT_CHUNK, rolling_alerts
 from ..operators.windows import window_aggregates
 from ..schema import SMA_WINDOW, TICK_COLUMNS, WATERMARK_DELAY, WINDOW_DURATION
 from .sinks import (AlertAppendSink, SnapshotSink, WindowUpsertSink, fan_out,
-                    history_fold, latest_fold, stats_fold)
+                    history_fold, latest_fold, start_channel_publish, stats_fold)
 from .stateful import (LATEST_OUTPUT, ROLLING_OUTPUT, RollingMeanProcessor,
                        TickStateProcessor)
 
@@ -213,10 +214,10 @@ class RollingHaloBatch:
             res = rolling_alerts(batch_df, n=self.n, chunk_size=self.chunk_size,
                                  exact4=True, prior=prior)
             if self.stats is None:
-                self.out(res, batch_id)
+                self.out.append(res, batch_id)   # not empty: tested above
             else:
                 res = res.persist()
-                self.out(res, batch_id)
+                self.out.append(res, batch_id)
                 self.stats(res, batch_id)
                 res.unpersist()
             self.tails(batch_df.where(F.col("price").isNotNull()), batch_id)
@@ -236,8 +237,10 @@ def start_tick_jobs(ticks: DataFrame, root: str, trigger: dict | None = None) ->
     """The three original queries, concurrently, each named and checkpointed.
 
     raw_ticks (latest + history, every 3 s), window_aggregates (upsert, every
-    10 s) and volume_alerts (append, every 5 s) under ``root``. Each query reads
-    the source on its own (independent triggers); ``trigger`` overrides all three.
+    10 s) and volume_alerts (append, every 5 s) under ``root``, and the per-symbol
+    publish of every tick (tick_channel, every 3 s). Alerts without a timestamp go
+    to ``alert_rejects``. Each query reads the source on its own (independent
+    triggers); ``trigger`` overrides all four.
     """
     return {
         "raw_ticks": start_tick_fanout(ticks, f"{root}/latest", f"{root}/history",
@@ -246,7 +249,10 @@ def start_tick_jobs(ticks: DataFrame, root: str, trigger: dict | None = None) ->
                                                  f"{root}/ckpt/windows",
                                                  trigger or WINDOW_TRIGGER),
         "volume_alerts": start_volume_alerts(ticks, f"{root}/alerts", f"{root}/ckpt/alerts",
-                                             trigger or ALERT_TRIGGER),
+                                             trigger or ALERT_TRIGGER,
+                                             reject_table=f"{root}/alert_rejects"),
+        "tick_channel": start_channel_publish(ticks, f"{root}/channel", f"{root}/ckpt/channel",
+                                              trigger or RAW_TRIGGER),
     }
 
 
@@ -286,15 +292,34 @@ def source_lag(spark: SparkSession, query) -> DataFrame:
               "num_input_rows bigint")
 
 
+def partition_lag(spark: SparkSession, query) -> DataFrame:
+    """(query, topic, partition, lag) = latest - end offset of the last progress.
+
+    For sources whose offsets are {topic: {partition: offset}} (Kafka); others
+    give no rows. One row per topic partition, from driver-side metadata.
+    """
+    def offsets(x) -> dict:
+        return x if isinstance(x, dict) and all(isinstance(v, dict) for v in x.values()) else {}
+
+    rows = []
+    last_progress = query.lastProgress
+    for s in json.loads(last_progress.json)["sources"] if last_progress else []:
+        end, latest = offsets(s.get("endOffset")), offsets(s.get("latestOffset"))
+        rows += [(query.name, topic, int(p), int(last) - int(end.get(topic, {}).get(p, 0)))
+                 for topic, parts in latest.items() for p, last in parts.items()]
+    return spark.createDataFrame(rows, "query string, topic string, partition int, lag bigint")
+
+
 class ProgressLog(StreamingQueryListener):
     """Per-batch log of all queries of a session (rows written, batch id, timings).
 
     ``spark.streams.addListener(log)``; ``log.to_df(spark)`` returns the events
-    so far as rows. Progress events are driver-side metadata, one per batch.
+    so far as rows. Progress events are driver-side metadata, one per batch; the
+    newest ``max_events`` are held.
     """
 
-    def __init__(self):
-        self.rows: list[tuple] = []
+    def __init__(self, max_events: int = 10_000):
+        self.rows: deque[tuple] = deque(maxlen=max_events)
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -315,5 +340,5 @@ class ProgressLog(StreamingQueryListener):
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
-            self.rows, "query string, batch_id bigint, input_rows bigint, output_rows bigint, "
+            list(self.rows), "query string, batch_id bigint, input_rows bigint, output_rows bigint, "
                        "add_batch_ms bigint, trigger_ms bigint")

@@ -11,16 +11,15 @@ K4  start_channel_publish  per-symbol channel of tick JSON messages
 K1/K4 kafka_sink_options / start_kafka_publish  keyed JSON records to a topic
 
 Every write is set-based and runs on the executors; nothing is collected to
-the driver except directory listings and the handful of touched partition
-values. A batch re-delivered with the same ``batch_id`` (restart after a
-crash between the write and the commit log) leaves the tables unchanged:
-upserts rewrite the same keys, appends overwrite their own ``batch_id``
-partition, and snapshot version N is always rebuilt from the newest version
-*below* N plus batch N.
+the driver except directory listings. Rows are keyed by the stream's id (kept
+in its checkpoint) and the batch id: a batch re-delivered after a crash rewrites
+only its own folder or finds its snapshot version committed, and a stream that
+starts again at batch 0 with a new checkpoint touches nothing written before.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +27,11 @@ from pyspark.sql import functions as F
 
 from ..operators.history import last_n_ticks
 from ..operators.latest import latest_tick
-from ..session import work_dir
+
+
+def query_id(spark: SparkSession) -> str:
+    """Id of the stream that runs this batch; ``direct`` for a sink called by hand."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
 
 # ---------------------------------------------------------------------------
@@ -46,8 +49,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def committed_versions(spark: SparkSession, path: str) -> list[int]:
-    """Snapshot versions under ``path`` whose write job committed (``_SUCCESS``)."""
+def committed_versions(spark: SparkSession, path: str) -> list[tuple[int, str, int]]:
+    """(number, folder, commit time in ms) of the snapshot versions whose job committed."""
     fs, p, jvm = _fs(spark, path)
     if not fs.exists(p):
         return []
@@ -55,8 +58,10 @@ def committed_versions(spark: SparkSession, path: str) -> list[int]:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("version="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name.split("=", 1)[1]))
+            mark = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
+            if fs.exists(mark):
+                out.append((int(name.split("=", 1)[1].split(".")[0]), name,
+                            fs.getFileStatus(mark).getModificationTime()))
     return sorted(out)
 
 
@@ -75,65 +80,74 @@ def _skip(batch_df: DataFrame) -> bool:
 # ---------------------------------------------------------------------------
 
 class WindowUpsertSink:
-    """Upsert window rows keyed by (window_start, symbol) into a parquet table.
-
-    The table is partitioned by ``window_date``. A batch touches the dates of
-    its windows only (the watermark keeps them recent); those partitions are
-    read, merged with the batch (batch values win, ``created_at`` of existing
-    keys is kept), staged as a table in the shared work folder to cut the
-    read-from-self lineage, and written back with dynamic partition overwrite.
-    Untouched dates are never read.
+    """Upsert window rows keyed by (window_start, symbol), kept as a log of changes.
+
+    A batch writes only its own rows, under (``window_date``, query_id, batch_id);
+    no earlier row is read or moved, so a crash loses nothing and the batch that
+    is delivered again rewrites its own folders. ``read_window_table`` takes each
+    key's newest change; ``compact_window_date`` folds a past date's log.
     """
 
-    def __init__(self, path: str, key: tuple[str, ...] = ("window_start", "symbol"),
-                 time_col: str = "window_start"):
+    def __init__(self, path: str, time_col: str = "window_start", query: str | None = None):
         self.path = path
-        self.key = list(key)
         self.time_col = time_col
+        self.query = query
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-        new = (batch_df
-               .withColumn("window_date", F.to_date(self.time_col))
-               .withColumn("updated_batch", F.lit(batch_id).cast("bigint")))
-        # Touched partitions: a handful of dates per batch (bounded by its time span).
-        dates = [r[0] for r in new.select("window_date").distinct().collect()]
-        if not dates:                       # K7: empty batch
-            return
-        value_cols = [c for c in new.columns if c not in self.key + ["window_date"]]
-        # Only the touched partition folders are listed and read, never the
-        # whole table (whose partition count grows with history).
-        touched = [f"{self.path}/window_date={d}" for d in dates]
-        touched = [t for t in touched if path_exists(spark, t)]
-        if touched:
-            old = spark.read.option("basePath", self.path).parquet(*touched)
-            keys = ["window_date"] + self.key
-            j = old.alias("o").join(new.alias("n"), keys, "full_outer")
-            in_new = F.col("n.updated_batch").isNotNull()
-            merged = j.select(
-                *keys,
-                *[F.when(in_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c)
-                  for c in value_cols],
-                F.coalesce(F.col("o.created_at"), F.current_timestamp()).alias("created_at")
-            ).select(*new.columns, "created_at")
-            # Cut the read-from-self lineage with a staged table in the shared
-            # work folder (removed once the overwrite committed; an RDD
-            # checkpoint would leave a copy behind for every micro-batch).
-            stage = work_dir(spark, "upsert-stage")
-            merged.write.mode("overwrite").parquet(stage)
-            (spark.read.parquet(stage).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy("window_date").parquet(self.path))
-            _delete(spark, stage)
+        if _skip(batch_df):
             return
-        merged = new.withColumn("created_at", F.current_timestamp())
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("window_date").parquet(self.path))
+        rows = (batch_df.withColumn("created_at", F.current_timestamp())
+                .withColumn("changed_at", F.current_timestamp())
+                .withColumn("window_date", F.to_date(self.time_col))
+                .withColumn("query_id", F.lit(self.query or query_id(batch_df.sparkSession)))
+                .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        _write_changes(rows, self.path)
+
+
+def _write_changes(rows: DataFrame, path: str) -> None:
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("window_date", "query_id", "batch_id").parquet(path))
+
+
+def _since(df: DataFrame, since, time_col: str, date_col: str) -> DataFrame:
+    """Rows at or after ``since``; the bound on the partition date prunes the scan."""
+    if since is None:
+        return df
+    at = F.lit(since).cast("timestamp")
+    return df.where((F.col(date_col) >= F.to_date(at)) & (F.col(time_col) >= at))
+
 
+def _newest_changes(log: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """One row per key: its newest values and its first ``created_at`` (a hash aggregate)."""
+    keys = ["window_date", *key]
+    rest = [c for c in log.columns if c not in [*keys, "query_id", "batch_id", "created_at", "changed_at"]]
+    return log.groupBy(*keys).agg(*[F.max_by(c, "changed_at").alias(c) for c in rest],
+                                  F.min("created_at").alias("created_at"),
+                                  F.max("changed_at").alias("changed_at"))
 
-def read_window_table(spark: SparkSession, path: str) -> DataFrame:
-    """The upserted window table (one row per window and symbol)."""
-    return spark.read.parquet(path)
+
+def read_window_table(spark: SparkSession, path: str, since=None,
+                      key: tuple[str, ...] = ("window_start", "symbol")) -> DataFrame:
+    """The upserted window table (one row per window and symbol), or its windows from ``since`` on."""
+    log = _since(spark.read.parquet(path), since, "window_start", "window_date")
+    return _newest_changes(log, key)
+
+
+def compact_window_date(spark: SparkSession, path: str, day: str,
+                        key: tuple[str, ...] = ("window_start", "symbol")) -> None:
+    """Fold the log of one date that no stream writes any more.
+
+    The folded rows are written beside the log before its folders are deleted, so
+    a crash in between leaves rows twice, which readers fold to the same values.
+    """
+    fs, folder, _ = _fs(spark, f"{path}/window_date={day}")
+    old = [st.getPath().toString() for st in fs.listStatus(folder)]
+    log = spark.read.option("basePath", path).parquet(f"{path}/window_date={day}")
+    _write_changes(_newest_changes(log, key)
+                   .withColumn("query_id", F.lit(f"compacted-{int(time.time() * 1000)}"))
+                   .withColumn("batch_id", F.lit(0).cast("bigint")), path)
+    for folder in old:
+        _delete(spark, folder)
 
 
 # ---------------------------------------------------------------------------
@@ -143,31 +157,35 @@ def read_window_table(spark: SparkSession, path: str) -> DataFrame:
 class AlertAppendSink:
     """Append each batch under its own ``batch_id`` (re-delivery replaces exactly it).
 
-    Partitioned by (``<time_col>`` date, batch_id): a replayed batch rewrites
+    Partitioned by (``<time_col>`` date, query_id, batch_id): a replayed batch rewrites
     only its own folders, and readers of recent alerts prune by date instead of
     listing every batch ever written. With ``reject_path``, rows whose time is
     null (an alert table keyed by time cannot hold them) go to that table.
     """
 
     def __init__(self, path: str, reject_path: str | None = None,
-                 time_col: str = "timestamp"):
+                 time_col: str = "timestamp", query: str | None = None):
         self.path = path
         self.reject_path = reject_path
         self.time_col = time_col
+        self.query = query
 
     def _write(self, df: DataFrame, path: str, batch_id: int) -> None:
-        parts = ["batch_id"]
+        parts = ["query_id", "batch_id"]
         if self.time_col in df.columns:
             df = df.withColumn("alert_date", F.to_date(self.time_col))
-            parts = ["alert_date", "batch_id"]
+            parts = ["alert_date", *parts]
         (df.withColumn("created_at", F.current_timestamp())
+         .withColumn("query_id", F.lit(self.query or query_id(df.sparkSession)))
          .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*parts).parquet(path))
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        if _skip(batch_df):
-            return
+        if not _skip(batch_df):
+            self.append(batch_df, batch_id)
+
+    def append(self, batch_df: DataFrame, batch_id: int) -> None:
         if self.reject_path is None or self.time_col not in batch_df.columns:
             self._write(batch_df, self.path, batch_id)
             return
@@ -177,9 +195,10 @@ class AlertAppendSink:
             self._write(bad, self.reject_path, batch_id)
 
 
-def read_appended(spark: SparkSession, path: str) -> DataFrame:
-    """All appended rows."""
-    return spark.read.parquet(path)
+def read_appended(spark: SparkSession, path: str, since=None,
+                  time_col: str = "timestamp") -> DataFrame:
+    """All appended rows, or those at or after ``since`` (other dates are not read)."""
+    return _since(spark.read.parquet(path), since, time_col, "alert_date")
 
 
 # ---------------------------------------------------------------------------
@@ -192,35 +211,51 @@ Fold = Callable[[DataFrame | None, DataFrame], DataFrame]
 class SnapshotSink:
     """Keep a small per-symbol state table as numbered versions.
 
-    Version N = ``fold(version below N, batch N)``, written to ``version=N``.
-    The state is bounded per symbol (latest tick, N ticks, one stats row), so
-    a version is small; ``keep`` versions are retained for readers in flight.
+    A batch's version = ``fold(newest version, batch)``; its folder is named by a
+    running number, the stream's id and the batch id, so a batch delivered again
+    is found committed and a stream with a new checkpoint goes on from the newest
+    version. The state is bounded per symbol (latest tick, N ticks, one stats
+    row), so a version is small. Versions go when they are older than ``keep_s``
+    seconds, for readers in flight, and never the two newest.
     """
 
-    def __init__(self, path: str, fold: Fold, keep: int = 3):
+    def __init__(self, path: str, fold: Fold, keep_s: float = 600.0, query: str | None = None):
         self.path = path
         self.fold = fold
-        self.keep = keep
+        self.keep_s = keep_s
+        self.query = query
+
+    def _mark(self, spark: SparkSession, batch_id: int) -> str:
+        return f".{self.query or query_id(spark)}.{batch_id}"
 
     def previous(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        older = [v for v in committed_versions(spark, self.path) if v < batch_id]
-        return spark.read.parquet(f"{self.path}/version={older[-1]}") if older else None
+        """The version that ``batch_id`` is folded into."""
+        older, mark = [], self._mark(spark, batch_id)
+        for _, name, _ in committed_versions(spark, self.path):
+            if name.endswith(mark):
+                break
+            older.append(name)
+        return spark.read.parquet(f"{self.path}/{older[-1]}") if older else None
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         if _skip(batch_df):
             return
         spark = batch_df.sparkSession
+        versions, mark = committed_versions(spark, self.path), self._mark(spark, batch_id)
+        if any(name.endswith(mark) for _, name, _ in versions):
+            return
+        number = versions[-1][0] + 1 if versions else 0
         snap = self.fold(self.previous(spark, batch_id), batch_df)
-        snap.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
-        versions = committed_versions(spark, self.path)
-        for v in versions[:-self.keep]:
-            _delete(spark, f"{self.path}/version={v}")
+        snap.write.mode("overwrite").parquet(f"{self.path}/version={number:010d}{mark}")
+        for _, name, committed in versions[:-1]:
+            if committed < (time.time() - self.keep_s) * 1000:
+                _delete(spark, f"{self.path}/{name}")
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
     """Newest committed version of a snapshot table (None before the first batch)."""
     versions = committed_versions(spark, path)
-    return spark.read.parquet(f"{path}/version={versions[-1]}") if versions else None
+    return spark.read.parquet(f"{path}/{versions[-1][1]}") if versions else None
 
 
 def _union(prev: DataFrame | None, batch: DataFrame, cols: list[str]) -> DataFrame:
