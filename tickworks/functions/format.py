@@ -45,9 +45,8 @@ def fixed(x: Column | str, k: int) -> Column:
     """
     x = _c(x).cast("double")
     size = F.abs(x)
-    exact = F.when(size < F.lit(2.0 ** 53), size)
-    whole = F.floor(exact)
-    a = exact - whole
+    whole = F.floor(size)
+    a = size % 1        # exact
     scale = float(10 ** k)
     p = a * F.lit(scale)
     t = a * F.lit(_SPLIT)
@@ -67,7 +66,7 @@ def fixed(x: Column | str, k: int) -> Column:
         body = F.concat(ip, F.lit("."), frac)
     return (F.when(F.isnan(x), F.lit("nan"))
             .when(size == F.lit(float("inf")), F.concat(sign, F.lit("inf")))
-            .when(exact.isNotNull(), F.concat(sign, body))
+            .when(size < F.lit(2.0 ** 53), F.concat(sign, body))
             .when(x.isNotNull(), F.format_string(f"%.{k}f", x)))
 
 
