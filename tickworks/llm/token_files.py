@@ -27,11 +27,15 @@ Very long texts stay whole; memory is one range's ids.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -39,11 +43,14 @@ from pyspark.sql import functions as F
 
 from tickworks.session import work_dir
 
-from .common import empty_text, partitions
+from .bpe import byte_alphabet
+from .common import empty_text, partitions, rebatch
 
 MAGIC = 0x5338_4944_5331_0001
 BLOCK = 65_536
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS, BATCH_CHARS = 300_000, 2_000_000
+#: What the library's pattern takes for white space, as a class of Arrow's regular expressions.
+WHITE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: Fixed values of the coding: ids per word by selector; the width is 60 // count.
 COUNTS = {2: 60, 3: 30, 4: 20, 5: 15, 6: 12, 7: 10, 8: 8, 9: 7, 10: 6, 11: 5, 12: 4, 13: 3, 14: 2, 15: 1}
 ZEROS = 120
@@ -175,40 +182,84 @@ class ByteBpe:
         self.added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.double = regex.compile(r"[\s\x1c-\x1f\x85]{2}")
         self.lone = regex.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
+        # two generations: words met since the last turn, and those of the turn before
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.marks = frozenset(".,;:!?")
         self.split, self.merge = self.lib.pre_tokenizer.pre_tokenize_str, self.lib.model.tokenize
-        self.space = self.split(" a")[0][0][0]  # how the vocabulary writes a space
+        self.spelling = dict(enumerate(byte_alphabet()))  # how the vocabulary writes a byte
 
     def chunks(self, text: str) -> list[str]:
         parts = self.lone.split(text) if self.double.search(text) else text.split(" ")
         return [parts[0], *[" " + p for p in parts[1:]]]
 
+    def known(self, chunk: str) -> bytes:
+        ids = self.cache.get(chunk)
+        if ids is None:
+            ids = self.old.get(chunk)
+            if ids is None:
+                ids = self.chunk_ids(chunk)
+            if len(self.cache) >= CACHE_CHUNKS:
+                self.old, self.cache = self.cache, {}
+            self.cache[chunk] = ids
+        return ids
+
     def encode(self, text: str) -> np.ndarray:
         if any(a in text for a in self.added):
             return np.array(self.lib.encode(text, add_special_tokens=False).ids, np.uint32)
-        parts = self.chunks(text)
-        cache = self.cache
-        if len(cache) > CACHE_CHUNKS:
-            cache.clear()
-        for p in parts:
-            if p not in cache:
-                cache[p] = self.chunk_ids(p)
-        return np.frombuffer(b"".join(map(cache.__getitem__, parts)), "<u4")
+        return np.frombuffer(b"".join(map(self.known, self.chunks(text))), "<u4")
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, number of ids of each); a batch's distinct chunks are looked up once."""
+        column = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(column, WHITE + "{2}")
+        for a in self.added:
+            odd = pc.or_(odd, pc.match_substring(column, a))
+        ids, sizes = self.encode_plain(column.filter(pc.invert(odd)))
+        if not pc.any(odd, min_count=0).as_py():
+            return ids, sizes
+        plain = iter(np.split(ids, np.cumsum(sizes)[:-1]))
+        each = [self.encode(t) if o else next(plain) for t, o in zip(texts, odd.to_pylist())]
+        return np.concatenate(each), np.array([len(x) for x in each])
+
+    def encode_plain(self, column: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode_all`` of texts without added tokens and without two white spaces in a row."""
+        if not len(column):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        parts = pc.split_pattern(column, " ")
+        bounds = parts.offsets.to_numpy()
+        first = np.zeros(bounds[-1], bool)
+        first[bounds[:-1]] = True
+        words = parts.flatten().dictionary_encode()
+        codes, spelled = words.indices.to_numpy(), words.dictionary.to_pylist()
+        # a text's first chunk has no space before it, so it is a chunk of its own
+        starts, own = np.unique(codes[first], return_inverse=True)
+        codes = codes.astype(np.int64)
+        codes[first] = len(spelled) + own
+        chunks = [" " + w for w in spelled] + [spelled[k] for k in starts]
+        got = list(map(self.cache.get, chunks))
+        got = [self.known(c) if g is None else g for c, g in zip(chunks, got)]
+        size = np.array([len(g) // 4 for g in got])
+        begin = np.cumsum(size) - size
+        sizes = size[codes]
+        ends = np.cumsum(sizes)
+        at = np.repeat(begin[codes] - (ends - sizes), sizes) + np.arange(ends[-1])
+        return np.frombuffer(b"".join(got), "<u4")[at], np.diff(np.append(0, ends)[bounds])
 
     def chunk_ids(self, chunk: str) -> bytes:
         """The library's split and merges of one chunk, little-endian."""
-        if chunk[1:].isalpha() and chunk.isascii() and chunk[0] == " ":
-            pieces = [self.space + chunk[1:]]  # one piece whatever its letters
-        elif chunk[-1:] in self.marks and chunk[1:-1].isalpha() and chunk.isascii() and chunk[0] == " ":
+        # a space and letters are one piece; letters below U+0500 are the same in all versions of Unicode in use
+        if chunk[:1] == " " and chunk[1:].isalpha() and max(chunk) < "\u0500":
+            pieces = [chunk.encode().decode("latin-1").translate(self.spelling)]
+        elif chunk[:1] == " " and chunk[-1] in self.marks and chunk[1:-1].isalpha() and max(chunk) < "\u0500":
             # letters, then one mark: two pieces, of which the word is often known already
-            for part in (chunk[:-1], chunk[-1]):
-                if part not in self.cache:
-                    self.cache[part] = self.chunk_ids(part)
-            return self.cache[chunk[:-1]] + self.cache[chunk[-1]]
+            return self.known(chunk[:-1]) + self.known(chunk[-1])
         else:
             pieces = [p for p, _ in self.split(chunk)]
-        return np.array([t.id for p in pieces for t in self.merge(p)], "<u4").tobytes()
+        ids = array("I", [t.id for p in pieces for t in self.merge(p)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
 
 # -- Spark ----------------------------------------------------------------
@@ -216,28 +267,32 @@ def write_token_files(docs: DataFrame, path: str, vocab_path: str, end_id: int =
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write ``docs`` under ``path``; the result lists (file, n_docs, n_ids), and must be run once."""
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), empty_text(text_col).alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast({})  # a Python worker keeps its copy, so its tasks share one coder
     ranged = src.repartitionByRange(partitions(docs), "doc_id", "text").sortWithinPartitions("doc_id", "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         task = TaskContext.get()
-        coder, doc_ids, sizes, blocks, rest, n_ids = None, [], [], [], [], 0
-        for pdf in frames:
-            coder = coder or ByteBpe(vocab_path)
-            for i, text in zip(pdf["doc_id"].astype(object).where(pdf["doc_id"].notna(), None), pdf["text"]):
-                ids = coder.encode(text)
-                doc_ids.append(None if i is None else int(i))
-                sizes.append(len(ids) + 1)
-                rest += [ids, np.array([end_id], np.uint32)]
-            flat = np.concatenate(rest).astype(np.uint64)
+        coder, doc_ids, sizes, blocks, rest = None, [], [], [], np.zeros(0, np.uint64)
+        for pdf in rebatch(frames, "text", BATCH_CHARS):
+            if coder is None:
+                coder = shared.value.get(vocab_path) or shared.value.setdefault(vocab_path, ByteBpe(vocab_path))
+            ids, n = coder.encode_all(pdf["text"].tolist())
+            doc_ids += [None if i is None else int(i) for i in pdf["doc_id"].astype(object).where(pdf["doc_id"].notna(), None)]
+            sizes += (n + 1).tolist()
+            ended = np.full(len(ids) + len(n), end_id, np.uint64)
+            inner = np.ones(len(ended), bool)
+            inner[np.cumsum(n + 1) - 1] = False
+            ended[inner] = ids
+            flat = np.concatenate([rest, ended])
             cut = len(flat) // BLOCK * BLOCK
             blocks += [pack_block(flat[k:k + BLOCK]) for k in range(0, cut, BLOCK)]
-            rest = [flat[cut:]]
-            n_ids = sum(sizes)
+            rest = flat[cut:]
         if not doc_ids:
             return
-        if len(rest[0]):
-            blocks.append(pack_block(rest[0]))
+        if len(rest):
+            blocks.append(pack_block(rest))
+        n_ids = sum(sizes)
         name = f"part-{task.partitionId():06d}.s8b"
         put_file(path, name, file_bytes(doc_ids, sizes, blocks, n_ids), task.taskAttemptId())
         yield pd.DataFrame({"file": [name], "n_docs": [len(doc_ids)], "n_ids": [n_ids]})
