@@ -96,3 +96,33 @@ def test_channel_latest_and_lag(spark):
     t = tick_rows(spark, [("A", "2024-01-01 00:00:00", 1.0, 1, 0)]).withColumn(
         "kafka_timestamp", F.lit("2024-01-01 00:00:01.5").cast("timestamp"))
     assert ingest_lag(t).first().lag_seconds == 1.5
+
+
+def test_latest_tick_ties_nulls_and_plan(spark):
+    t = tick_rows(spark, [("A", "2024-01-01 00:00:00", 1.0, 1, 9, 0),
+                          ("A", "2024-01-01 00:00:00", 2.0, 1, 3, 1),
+                          ("A", "2024-01-01 00:00:00", 2.0, 1, 3, 1),     # delivered twice
+                          (None, "2024-01-01 00:00:00", 4.0, 1, 5, 0),
+                          (None, "2024-01-01 00:00:00", 5.0, 1, 6, 0)])
+    out = latest_tick(t)
+    assert sorted((r.symbol or "", r.price, r.offset) for r in out.collect()) == [("", 5.0, 6), ("A", 2.0, 3)]
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_replay_parts_have_several_files(spark, tmpdir_fresh):
+    import glob
+    import pytest
+    from tickworks.sources.fixtures import kafka_records_from_ticks
+    from tickworks.sources.streams import replay_stream, write_replay_files
+    recs = kafka_records_from_ticks(tick_rows(
+        spark, [("A", "2024-01-01 00:00:00", float(i), 1, i) for i in range(40)]))
+    path = write_replay_files(recs, f"{tmpdir_fresh}/in", 2, files_per_part=4)
+    assert [len(glob.glob(f"{p}/**/*.parquet", recursive=True)) for p in sorted(glob.glob(path))] == [4, 4]
+    q = (replay_stream(spark, path, max_files_per_trigger=4).select("offset").writeStream
+         .foreachBatch(lambda df, i: df.selectExpr(f"{i} AS batch", "offset").write.parquet(f"{tmpdir_fresh}/b{i}"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    seen = [sorted(r.offset for r in spark.read.parquet(f"{tmpdir_fresh}/b{i}").collect()) for i in range(2)]
+    assert seen == [list(range(20)), list(range(20, 40))]
+    with pytest.raises(ValueError, match="no record"):
+        write_replay_files(recs.where("offset < 3"), f"{tmpdir_fresh}/few", 1, files_per_part=4)

@@ -3,8 +3,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tickworks.operators.history import last_n_ticks
-from tickworks.operators.rolling import rolling_mean, rolling_mean_plain
+from tickworks.operators.rolling import rolling_mean
 from tests.conftest import tick_rows
+from tests.plain import rolling_mean_plain
 from tests.test_rolling import deque_model
 
 ticks_strategy = st.lists(

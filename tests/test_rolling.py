@@ -5,9 +5,10 @@ import numpy as np
 import pytest
 
 from tickworks.operators.rolling import (price_alerts, rolling_alerts, rolling_mean,
-                                         rolling_mean_plain, session_stats)
+                                         session_stats)
 from tickworks.streaming.stateful import rolling_frame
 from tests.conftest import tick_rows
+from tests.plain import rolling_mean_plain
 
 
 def deque_model(rows, n=10, thr=0.005):
@@ -142,3 +143,12 @@ def test_halo_plan_shuffles_full_data_once(spark):
     plan = rolling_mean(tick_rows(spark, rows), chunk_size=8)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "WindowGroupLimit" in plan          # tails cut before their shuffle
+
+
+def test_halo_plan_scans_twice(spark):
+    """One scan of the ticks and one for the tails that the halo comes from."""
+    from tickworks.plans import catalog
+    plan = catalog.queries()["rolling_mean_alerts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan

@@ -8,22 +8,16 @@ S8  channel_latest latest tick per symbol from channel messages (bad ones skippe
 
 ``max_by`` is an ordinary aggregate: each map task reduces its rows to one
 per symbol before the shuffle, so a hot symbol costs nothing extra.
-``latest_tick`` carries a struct value, so Spark runs it as a sort-based
-aggregate (map-side sort per task, still partial before the shuffle).
+``latest_tick`` finds the last (partition, offset) per symbol with hash
+aggregates over those three columns, then takes the matching rows by a semi
+join with that one row per symbol; no task sorts its input.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SEQ_STRUCT = ("partition", "offset")
-
-
-def _seq() -> Column:
-    return F.struct(*[F.col(c) for c in SEQ_STRUCT])
-
-
 def latest_price(ticks: DataFrame) -> DataFrame:
     """symbol, price of the last-arrived tick (its price may be null).
 
@@ -40,10 +34,16 @@ def latest_price(ticks: DataFrame) -> DataFrame:
 
 def latest_tick(ticks: DataFrame) -> DataFrame:
     """The last-arrived tick per symbol, all columns."""
-    rest = [c for c in ticks.columns if c != "symbol"]
-    best = F.max_by(F.struct(*rest), _seq())
-    return (ticks.groupBy("symbol").agg(best.alias("t"))
-            .select("symbol", *[F.col(f"t.{c}").alias(c) for c in rest]))
+    per_part = ticks.groupBy("symbol", "partition").agg(F.max("offset").alias("offset"))
+    best = (per_part.groupBy("symbol").agg(F.max_by("offset", F.coalesce("partition", F.lit(-1))).alias("_offset"),
+                                           F.max("partition").alias("_partition"))
+            .withColumnRenamed("symbol", "_symbol"))
+    rows = ticks.join(best, F.col("symbol").eqNullSafe(F.col("_symbol"))
+                      & F.col("partition").eqNullSafe(F.col("_partition"))
+                      & F.col("offset").eqNullSafe(F.col("_offset")), "left_semi")
+    # a record delivered twice has two such rows
+    nth = F.row_number().over(Window.partitionBy("symbol").orderBy("partition"))
+    return rows.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
 
 
 def freshness(ticks: DataFrame, as_of: Column | str, by_symbol: bool = False) -> DataFrame:

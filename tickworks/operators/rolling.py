@@ -47,22 +47,16 @@ def halo_rows(ticks: DataFrame, h: int, chunk_size: int) -> DataFrame:
     key = ["symbol", "partition", "_chunk"]
     wt = Window.partitionBy(*key).orderBy(F.col("offset").desc())
     tails = (t.select(*key, "offset", "price", F.row_number().over(wt).alias("_tr"))
-             .where(F.col("_tr") <= h))
-    src = tails.select("symbol", F.col("partition").alias("_sp"),
-                       F.col("_chunk").alias("_sc"), "offset", "price")
+             .where(F.col("_tr") <= h)
+             .groupBy(*key)
+             .agg(F.array_sort(F.collect_list(F.struct(F.col("partition").alias("_sp"), "offset", "price")))
+                  .alias("_tail")))
     # Up to h preceding non-empty chunks of the symbol: each holds >= 1 tick,
     # so together they hold the h ticks just before the chunk.
-    chunks = tails.where(F.col("_tr") == 1).select(*key)
-    prev = F.collect_list(F.struct(F.col("partition").alias("_sp"),
-                                   F.col("_chunk").alias("_sc")))
-    wprev = Window.partitionBy("symbol").orderBy("partition", "_chunk").rowsBetween(-h, -1)
-    requests = (chunks.select(*key, prev.over(wprev).alias("_prev"))
-                .select(*key, F.inline("_prev")))
-    wh = Window.partitionBy(*key).orderBy(F.col("_sp").desc(), F.col("offset").desc())
-    return (requests.join(src, ["symbol", "_sp", "_sc"])
-            .select(*key, "_sp", "offset", "price", F.row_number().over(wh).alias("_hr"))
-            .where(F.col("_hr") <= h)
-            .drop("_hr"))
+    w = Window.partitionBy("symbol").orderBy("partition", "_chunk").rowsBetween(-h, -1)
+    before = tails.select(*key, F.flatten(F.collect_list("_tail").over(w)).alias("_before"))
+    last = F.slice("_before", F.greatest(F.size("_before") - h, F.lit(0)) + 1, F.lit(h))
+    return before.select(*key, F.inline(last))
 
 
 def rolling_mean(ticks: DataFrame, n: int = SMA_WINDOW, min_ticks: int = SMA_MIN_TICKS,
@@ -115,19 +109,6 @@ def rolling_mean(ticks: DataFrame, n: int = SMA_WINDOW, min_ticks: int = SMA_MIN
     return main.where(F.col("_emit")).select(*cols, *out)
 
 
-def rolling_mean_plain(ticks: DataFrame, n: int = SMA_WINDOW,
-                       min_ticks: int = SMA_MIN_TICKS, out_col: str = "sma") -> DataFrame:
-    """Reference form: one window per symbol. Exact, but a hot symbol is one task.
-
-    Kept for small inputs and as the equality baseline of ``rolling_mean``.
-    """
-    w = Window.partitionBy("symbol").orderBy("partition", "offset")
-    t = ticks.where(F.col("price").isNotNull() & F.col("offset").isNotNull())
-    mean = F.when(F.row_number().over(w) >= min_ticks,
-                  F.avg("price").over(w.rowsBetween(-(n - 1), 0)))
-    return t.withColumn(out_col, mean)
-
-
 def deviation(price: str = "price", sma: str = "sma"):
     """|price - sma| / sma; null when sma is null or 0 (no division error)."""
     return F.try_divide(F.abs(F.col(price) - F.col(sma)), F.col(sma))

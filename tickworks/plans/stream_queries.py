@@ -1,23 +1,22 @@
 """Registered streaming queries.
 
-Each one replays the whole ``events`` table as Kafka-shaped records (4 files,
-one per trigger, in offset order), runs a Structured Streaming query with
+Each one replays the whole ``events`` table as Kafka-shaped records (4 parts of
+several files, one part per trigger, in offset order), runs a Structured Streaming query with
 ``availableNow`` through the real sink, waits for it, and returns the sink
 table read back as a batch DataFrame. With in-order files no row is late, so
-the oracle is the batch SQL of the same operator.
+the oracle is the batch SQL of the same operator. The session's shuffle
+partitions hold: set them before the first run of a stateful stream.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import functions as F
 
 from ..operators.ingest import parse_ticks
 from ..operators.windows import WINDOW_COLUMNS, window_aggregates
 from ..session import checkpoint_root, work_dir
 from ..sources.fixtures import kafka_records_from_ticks
-from ..sources.streams import replay_stream, write_replay_files
+from ..sources.streams import archive_read, replay_stream, write_replay_files
 from ..streaming import jobs
 from ..streaming.sinks import (AlertAppendSink, SnapshotSink, history_fold, read_appended,
                                read_snapshot, read_window_table, start_archive,
@@ -25,21 +24,29 @@ from ..streaming.sinks import (AlertAppendSink, SnapshotSink, history_fold, read
 from .catalog import (_AVG_EXACT, _TS_TEXT, _VOLUME_ALERTS_SQL, _WINDOW_SQL, _history_sql,
                       _rolling_sql, _ROLLING_SELECT, _ticks_sql, event_ticks, register)
 
-REPLAY_FILES = 4
-_replays: dict[tuple[str, str], str] = {}
+REPLAY_PARTS = 4
+RECORDS_PER_FILE = 1 << 20
+_replays: dict[tuple[str, str], tuple[str, int]] = {}
+
 
+def replay_records(spark, sf_dir: str) -> tuple[str, int]:
+    """(glob, files per part) of the events ticks' replay, written once per process and checkpoint root.
 
-def replay_records(spark, sf_dir: str) -> str:
-    """Replay files of the events ticks (written once per process and checkpoint root)."""
+    Each part has at least two writers, and one per ``RECORDS_PER_FILE`` offsets beyond.
+    """
     key = (checkpoint_root(spark), sf_dir)
     if key not in _replays:
         records = kafka_records_from_ticks(event_ticks(spark, sf_dir))
-        _replays[key] = write_replay_files(records, work_dir(spark, "replay"), REPLAY_FILES)
+        lo, hi = records.select(F.min("offset"), F.max("offset")).first()
+        files = max(2, (hi - lo) // (REPLAY_PARTS * RECORDS_PER_FILE) + 1)
+        _replays[key] = (write_replay_files(records, work_dir(spark, "replay"), REPLAY_PARTS,
+                                            files_per_part=files), files)
     return _replays[key]
 
 
 def stream_ticks(spark, sf_dir: str):
-    return parse_ticks(replay_stream(spark, replay_records(spark, sf_dir)))
+    glob, files = replay_records(spark, sf_dir)
+    return parse_ticks(replay_stream(spark, glob, max_files_per_trigger=files))
 
 
 def _run(query) -> None:
@@ -48,34 +55,14 @@ def _run(query) -> None:
         raise RuntimeError(f"stream {query.name} failed: {query.exception()}")
 
 
-@contextmanager
-def fixture_partitions(spark):
-    """Cap the shuffle partitions of a fixture stream at the session's parallelism.
-
-    A stateful query fixes its state partition count at its first batch (AQE is
-    off for stateful streams); the default of 200 would give 200 state
-    partitions to a few thousand fixture rows. Restored when the stream is done.
-    """
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    cap = max(1, spark.sparkContext.defaultParallelism)
-    if int(old) > cap:
-        spark.conf.set(key, str(cap))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
-
-
 @register("window_agg_stream",
           _WINDOW_SQL.format(d="5 minutes", sym="event_type", avg=_AVG_EXACT))
 def window_agg_stream(spark, sf_dir):
     """Watermarked 5-minute windows in update mode, upserted per batch."""
     root = work_dir(spark, "window_agg_stream")
-    with fixture_partitions(spark):
-        q = jobs.start_window_upsert(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
-                                     trigger=jobs.AVAILABLE_NOW, mode="exact")
-        _run(q)
+    q = jobs.start_window_upsert(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
+                                 trigger=jobs.AVAILABLE_NOW, mode="exact")
+    _run(q)
     return read_window_table(spark, f"{root}/table").select(*WINDOW_COLUMNS)
 
 
@@ -85,10 +72,9 @@ WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 minute'""")
 def window_agg_stream_final(spark, sf_dir):
     """T4 append mode: only windows closed by the final watermark (max event time - 1 min)."""
     root = work_dir(spark, "window_agg_final")
-    with fixture_partitions(spark):
-        q = jobs.start_window_final(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
-                                    trigger=jobs.AVAILABLE_NOW, mode="exact")
-        _run(q)
+    q = jobs.start_window_final(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
+                                trigger=jobs.AVAILABLE_NOW, mode="exact")
+    _run(q)
     return spark.read.parquet(f"{root}/table").select(*WINDOW_COLUMNS)
 
 
@@ -96,20 +82,18 @@ def window_agg_stream_final(spark, sf_dir):
 def volume_alerts_stream(spark, sf_dir):
     """Append-mode volume alerts, one idempotent partition per batch."""
     root = work_dir(spark, "volume_alerts_stream")
-    with fixture_partitions(spark):
-        q = jobs.start_volume_alerts(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
-                                     trigger=jobs.AVAILABLE_NOW)
-        _run(q)
+    q = jobs.start_volume_alerts(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
+                                 trigger=jobs.AVAILABLE_NOW)
+    _run(q)
     return read_appended(spark, f"{root}/table").select(
         "symbol", "price", "volume", "alert_type", "timestamp", "partition", "offset")
 
 
 def _fanout(spark, sf_dir):
     root = work_dir(spark, "tick_fanout")
-    with fixture_partitions(spark):
-        q = jobs.start_tick_fanout(stream_ticks(spark, sf_dir), f"{root}/latest",
-                                   f"{root}/history", f"{root}/ckpt", trigger=jobs.AVAILABLE_NOW)
-        _run(q)
+    q = jobs.start_tick_fanout(stream_ticks(spark, sf_dir), f"{root}/latest",
+                               f"{root}/history", f"{root}/ckpt", trigger=jobs.AVAILABLE_NOW)
+    _run(q)
     return root
 
 
@@ -133,9 +117,8 @@ def history_stream(spark, sf_dir):
 def rolling_alerts_stream(spark, sf_dir):
     """T5: stateful rolling mean + alerts (transformWithStateInPandas, RocksDB state)."""
     root = work_dir(spark, "rolling_alerts_stream")
-    with fixture_partitions(spark):
-        q = jobs.start_rolling_state(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/ckpt")
-        _run(q)
+    q = jobs.start_rolling_state(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/ckpt")
+    _run(q)
     out = spark.read.parquet(f"{root}/out")
     return out.select("symbol", "offset", "price", F.col("sma4").alias("sma"), "alert_type")
 
@@ -144,10 +127,9 @@ def rolling_alerts_stream(spark, sf_dir):
 def rolling_alerts_stream_halo(spark, sf_dir):
     """T5 on the chunked batch operator: tails snapshot carries the last 9 ticks."""
     root = work_dir(spark, "rolling_alerts_halo")
-    with fixture_partitions(spark):
-        q = jobs.start_rolling_halo(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/tails",
-                                    f"{root}/ckpt", chunk_size=64)
-        _run(q)
+    q = jobs.start_rolling_halo(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/tails",
+                                f"{root}/ckpt", chunk_size=64)
+    _run(q)
     out = read_appended(spark, f"{root}/out")
     return out.select("symbol", "offset", "price", F.col("sma4").alias("sma"), "alert_type")
 
@@ -159,10 +141,9 @@ FROM a GROUP BY symbol""")
 def session_stats_stream(spark, sf_dir):
     """A2 in streaming: running stats merged batch by batch into a snapshot."""
     root = work_dir(spark, "session_stats_stream")
-    with fixture_partitions(spark):
-        q = jobs.start_rolling_halo(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/tails",
-                                    f"{root}/ckpt", stats_path=f"{root}/stats")
-        _run(q)
+    q = jobs.start_rolling_halo(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/tails",
+                                f"{root}/ckpt", stats_path=f"{root}/stats")
+    _run(q)
     return read_snapshot(spark, f"{root}/stats").select(
         "symbol", "ticks", "min_price", "max_price", "alerts")
 
@@ -171,13 +152,10 @@ def session_stats_stream(spark, sf_dir):
 def archive_replay(spark, sf_dir):
     """K8 + S9: archive raw ticks (date-partitioned file sink), replay them into windows."""
     root = work_dir(spark, "archive")
-    with fixture_partitions(spark):
-        q = start_archive(stream_ticks(spark, sf_dir), f"{root}/ticks", f"{root}/ckpt",
-                          trigger=jobs.AVAILABLE_NOW)
-        _run(q)
-    archived = (spark.read.parquet(f"{root}/ticks")
-                .select("symbol", F.col("event_time").alias("timestamp"), "price"))
-    return window_aggregates(archived, "1 hour", mode="exact")
+    q = start_archive(stream_ticks(spark, sf_dir), f"{root}/ticks", f"{root}/ckpt",
+                      trigger=jobs.AVAILABLE_NOW)
+    _run(q)
+    return window_aggregates(archive_read(spark, f"{root}/ticks"), "1 hour", mode="exact")
 
 
 @register("channel_stream", f"""
@@ -191,10 +169,9 @@ def channel_stream(spark, sf_dir):
     """K4 + S8: ticks published per symbol channel, read back by a channel reader."""
     from ..operators.latest import channel_latest
     root = work_dir(spark, "channel")
-    with fixture_partitions(spark):
-        q = start_channel_publish(stream_ticks(spark, sf_dir), f"{root}/chan", f"{root}/ckpt",
-                                  trigger=jobs.AVAILABLE_NOW)
-        _run(q)
+    q = start_channel_publish(stream_ticks(spark, sf_dir), f"{root}/chan", f"{root}/ckpt",
+                              trigger=jobs.AVAILABLE_NOW)
+    _run(q)
     msgs = spark.read.parquet(f"{root}/chan")
     return channel_latest(msgs).select("symbol", "price", "volume", "timestamp", "source",
                                        "last_update")
@@ -235,9 +212,8 @@ def history_sink(spark, sf_dir):
 
 def _tick_state(spark, sf_dir):
     root = work_dir(spark, "tick_state")
-    with fixture_partitions(spark):
-        q = jobs.start_tick_state(stream_ticks(spark, sf_dir), f"{root}/changes", f"{root}/ckpt")
-        _run(q)
+    q = jobs.start_tick_state(stream_ticks(spark, sf_dir), f"{root}/changes", f"{root}/ckpt")
+    _run(q)
     return jobs.read_tick_state(spark, f"{root}/ckpt")
 
 
@@ -263,8 +239,7 @@ FROM a GROUP BY symbol""")
 def session_stats_state(spark, sf_dir):
     """A2 as keyed state of the stateful rolling mean, read from its state store."""
     root = work_dir(spark, "rolling_state_stats")
-    with fixture_partitions(spark):
-        q = jobs.start_rolling_state(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/ckpt")
-        _run(q)
+    q = jobs.start_rolling_state(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/ckpt")
+    _run(q)
     return jobs.read_rolling_state(spark, f"{root}/ckpt").select(
         "symbol", "ticks", "min_price", "max_price", "alerts")

@@ -2,8 +2,8 @@
 
 S1  kafka_stream        subscribe a topic (default: start at latest, tolerate lost data)
 S2  kafka_batch         bounded read earliest → latest (replay)
-    replay_stream       the same record shape from parquet files, one file per trigger
-    write_replay_files  split a record table into ordered files for ``replay_stream``
+    replay_stream       the same record shape from parquet files, one part per trigger
+    write_replay_files  split a record table into ordered parts for ``replay_stream``
 S9  archive_stream/read the raw-tick archive as a source
 
 The Kafka connector jar is not bundled; the Kafka readers are plain
@@ -48,27 +48,40 @@ def kafka_batch(spark: SparkSession, bootstrap: str, topic: str,
             .load())
 
 
-def write_replay_files(records: DataFrame, out_dir: str, n_files: int,
+def write_replay_files(records: DataFrame, out_dir: str, n_parts: int,
                        order_col: str = "offset", min_gap_s: float = 1.05,
-                       first_index: int = 0) -> str:
-    """Write ``records`` as ``n_files`` parquet parts, split by ranges of ``order_col``.
+                       first_index: int = 0, files_per_part: int = 1) -> str:
+    """Write ``records`` as ``n_parts`` parts of ``files_per_part`` files, split by ranges of ``order_col``.
 
     A file stream takes files oldest first, so the parts are written by
     separate jobs at least ``min_gap_s`` apart: part i holds the i-th range and
-    is older than part i+1. Returns the glob to stream from.
+    is older than part i+1. Within a part each file is a slice of its range,
+    written by a task of its own; every slice needs a record, so that
+    ``replay_stream(max_files_per_trigger=files_per_part)`` takes one part per
+    batch (a part with fewer files is an error). Returns the glob to stream from.
     """
     lo, hi = records.select(F.min(order_col), F.max(order_col)).first()
     if lo is None:
         raise ValueError("no records to replay")
-    step = (hi - lo) // n_files + 1
-    for i in range(n_files):
+    step = (hi - lo) // n_parts + 1
+    place = F.col(order_col) - F.lit(lo)
+    sliced = (records.withColumn("_part", F.expr(f"(`{order_col}` - {lo}) div {step}"))
+              .withColumn("_slice", F.expr(f"((`{order_col}` - {lo}) % {step}) * {files_per_part} div {step}")))
+    if files_per_part > 1:
+        met = sliced.groupBy("_part").agg(F.count_distinct("_slice").alias("n")).where(f"n <> {files_per_part}")
+        if not met.isEmpty():
+            raise ValueError(f"a part has no record for one of its {files_per_part} files")
+    for i in range(n_parts):
         start = time.time()
-        part = records.where((F.col(order_col) >= lo + i * step)
-                             & (F.col(order_col) < lo + (i + 1) * step))
-        (part.coalesce(1).write.mode("overwrite")
-         .parquet(f"{out_dir}/part{first_index + i:04d}.parquet"))
+        part = records.where((place >= i * step) & (place < (i + 1) * step))
+        if files_per_part > 1:
+            part = (sliced.where((place >= i * step) & (place < (i + 1) * step)).drop("_part")
+                    .repartition(files_per_part, "_slice"))
+            part.write.mode("overwrite").partitionBy("_slice").parquet(f"{out_dir}/part{first_index + i:04d}.parquet")
+        else:
+            part.repartition(1).write.mode("overwrite").parquet(f"{out_dir}/part{first_index + i:04d}.parquet")
         wait = min_gap_s - (time.time() - start)
-        if i + 1 < n_files and wait > 0:
+        if i + 1 < n_parts and wait > 0:
             time.sleep(wait)
     return f"{out_dir}/part*.parquet"
 
@@ -78,18 +91,19 @@ def replay_stream(spark: SparkSession, path_glob: str, schema=KAFKA_RECORD_SCHEM
     """A streaming DataFrame over replay files, ``max_files_per_trigger`` per batch."""
     return (spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", str(max_files_per_trigger))
+            .option("recursiveFileLookup", "true")
             .parquet(path_glob))
 
 
 def archive_read(spark: SparkSession, path: str) -> DataFrame:
-    """The raw-tick archive (partitioned by event_date) as a batch source."""
-    return spark.read.parquet(path)
+    """The raw-tick archive (partitioned by event_date) as ticks, ready for every tick operator."""
+    return spark.read.parquet(path).withColumnRenamed("event_time", "timestamp")
 
 
 def archive_stream(spark: SparkSession, path: str, schema,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Replay the archive as a stream (same transforms as the live topic)."""
+    """Replay the archive as a stream of ticks; ``schema`` is that of the stored files."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(path)
+    return reader.parquet(path).withColumnRenamed("event_time", "timestamp")
