@@ -412,3 +412,14 @@ def test_simple8b_round_trip():
     raw = token_files.file_bytes([1, None], [2, 1], [token_files.pack_block(np.array([5, 6, 7], np.uint64))], 3)
     with pytest.raises(ValueError):
         token_files.read_file(raw[:-8])
+
+
+def test_batched_byte_bpe_equals_the_library():
+    rng = random.Random(3)
+    letters = "ab .,\n\t '1é　\x1c\x85s"
+    texts = ["", " ", "a ", " a", "a  b", "a <|endoftext|> b", "can't  won't", "été. ñ,", "a​ b", "\x00 a"]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 20))) for _ in range(1000)]
+    coder = token_files.ByteBpe(tokenizer_file("byte_bpe_50k.json"))
+    ids, n = coder.encode_all(texts)
+    for t, got in zip(texts, np.split(ids, np.cumsum(n)[:-1])):
+        assert got.tolist() == coder.lib.encode(t, add_special_tokens=False).ids

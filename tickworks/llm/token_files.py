@@ -48,7 +48,9 @@ from .common import empty_text, partitions, rebatch
 
 MAGIC = 0x5338_4944_5331_0001
 BLOCK = 65_536
-CACHE_CHUNKS, BATCH_CHARS = 300_000, 2_000_000
+CACHE_CHUNKS, BATCH_CHARS = 300_000, 4_000_000
+#: The driver samples rows' sort keys for the range bounds, so a key holds a text's beginning only; order within a range is by whole texts.
+BOUND_CHARS = 64
 #: What the library's pattern takes for white space, as a class of Arrow's regular expressions.
 WHITE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 #: Fixed values of the coding: ids per word by selector; the width is 60 // count.
@@ -67,7 +69,9 @@ def pack_block(ids: np.ndarray) -> np.ndarray:
     chosen = np.zeros(n, bool)
     for sel, count, top in [(1, ZEROS, 0), *((s, c, (1 << (60 // c)) - 1) for s, c in COUNTS.items())]:
         fits = ids <= np.uint64(top)
-        if not fits.any():
+        breaks = np.flatnonzero(~fits)
+        # the longest run of ids that fit; a run up to the end may be padded
+        if len(breaks) and max(breaks[0], np.diff(breaks).max(initial=1) - 1) < count and breaks[-1] == n - 1:
             continue
         # how far from each place all ids fit; a short last word is padded with zeros
         far = np.minimum.accumulate(np.where(fits, n + ZEROS, place)[::-1])[::-1] - place
@@ -231,7 +235,7 @@ class ByteBpe:
         first = np.zeros(bounds[-1], bool)
         first[bounds[:-1]] = True
         words = parts.flatten().dictionary_encode()
-        codes, spelled = words.indices.to_numpy(), words.dictionary.to_pylist()
+        codes, spelled = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
         # a text's first chunk has no space before it, so it is a chunk of its own
         starts, own = np.unique(codes[first], return_inverse=True)
         codes = codes.astype(np.int64)
@@ -239,7 +243,7 @@ class ByteBpe:
         chunks = [" " + w for w in spelled] + [spelled[k] for k in starts]
         got = list(map(self.cache.get, chunks))
         got = [self.known(c) if g is None else g for c, g in zip(chunks, got)]
-        size = np.array([len(g) // 4 for g in got])
+        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
         begin = np.cumsum(size) - size
         sizes = size[codes]
         ends = np.cumsum(sizes)
@@ -268,7 +272,7 @@ def write_token_files(docs: DataFrame, path: str, vocab_path: str, end_id: int =
     """Write ``docs`` under ``path``; the result lists (file, n_docs, n_ids), and must be run once."""
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), empty_text(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast({})  # a Python worker keeps its copy, so its tasks share one coder
-    ranged = src.repartitionByRange(partitions(docs), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ranged = src.repartitionByRange(partitions(docs), "doc_id", F.substring("text", 1, BOUND_CHARS)).sortWithinPartitions("doc_id", "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
