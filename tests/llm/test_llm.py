@@ -152,6 +152,29 @@ def test_near_documents(docs):
     assert links[(13, 0)] >= 0.75 and all(v >= 0.75 for v in links.values())
 
 
+def brute_near(items):
+    """All pairs of documents whose fingerprints are alike."""
+    walk = edit_embedding.EditWalk()
+    prints = [walk.fingerprint(c, walk.walk(c)) for c in (walk.codes(norm(t)) for _, t in items)]
+    return {(items[j][0], items[i][0]) for j in range(len(items)) for i in range(j) if walk.likeness(prints[i], prints[j]) >= 0.75}
+
+
+def letters(rng, n):
+    """Words that share nothing by chance."""
+    return ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(n)]
+
+
+def test_near_documents_edited_at_the_start_only(spark):
+    rng, items = random.Random(21), []
+    for k in range(60):
+        words = letters(rng, rng.choice((540, 1_080, 1_100, 1_120)))
+        cut = len(words) * rng.choice((20, 21, 22, 23)) // 100
+        items += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*letters(rng, cut), *words[cut:]]))]
+    want = brute_near(items)
+    got = {(r.doc_id, r.near_id) for r in edit_embedding.near_documents(spark.createDataFrame(items, "doc_id bigint, text string")).collect()}
+    assert len(want) > 5 and (len(got & want), len(got - want)) == (len(want), 0)
+
+
 # -- 3 -----------------------------------------------------------------------
 def test_mixing(rows, docs, empty):
     got = mixing.mix(docs).collect()
