@@ -175,6 +175,39 @@ def test_near_documents_edited_at_the_start_only(spark):
     assert len(want) > 5 and (len(got & want), len(got - want)) == (len(want), 0)
 
 
+def brute_classes(items):
+    """Smallest id of each document's component over all pairs."""
+    walk = edit_embedding.EditWalk()
+    prints = [walk.fingerprint(c, walk.walk(c)) for c in (walk.codes(norm(t)) for _, t in items)]
+    label = list(range(len(items)))
+    for i in range(len(items)):
+        for j in range(i):
+            if label[i] != label[j] and walk.likeness(prints[i], prints[j]) >= 0.75:
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    least = {}
+    for (d, _), x in zip(items, label):
+        if d is not None:
+            least[x] = min(d, least.get(x, d))
+    return Counter((d, least.get(x)) for (d, _), x in zip(items, label))
+
+
+def boilerplate_items(rng):
+    """Unlike texts that share a long passage, and so bands, with near copies and exact copies among them."""
+    passage, items = prose(rng, 60), []
+    for k in range(60):
+        text = prose(rng, 30, " ") + passage + prose(rng, 30)
+        items += [(7 * k % 61 + 100 * c, text.replace("ta", "to", c % 2)) for c in range(k % 4)]
+    return [*items, (None, items[5][1]), (None, "alone"), (900, None), (901, ""), items[8]]
+
+
+def test_near_members_in_shared_bands(spark, docs, rows, empty):
+    items = boilerplate_items(random.Random(5))
+    df = spark.createDataFrame(items, "doc_id bigint, text string").repartition(3)
+    assert Counter(tuple(r) for r in edit_embedding.near_members(df).collect()) == brute_classes(items)
+    assert edit_embedding.near_members(empty).count() == 0
+
+
 # -- 3 -----------------------------------------------------------------------
 def test_mixing(rows, docs, empty):
     got = mixing.mix(docs).collect()

@@ -19,6 +19,8 @@ candidate is verified once by its likeness. Each byte of a band is drawn from al
 samples of a level by shared random ranks (the sample of the smallest rank), so two
 texts agree in a byte with probability equal to their likeness, wherever they
 differ, and share one of the bands with 1 - (1 - likeness^4)^16 (99.8 % at 0.75).
+Links join documents into classes, named by their smallest id (null without any);
+equal fingerprints (by a 64-bit key) are one class from the start.
 
 Nulls: a null text is the empty text (fingerprint "0."). A null id sorts first
 where documents are ordered. Repeated ids are ordered by text, equal rows stay
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import empty_text, partitions, stored
+from .ngram_join import GROWTH, components, first_pairs, joined_labels
 
 SEED, CLASSES, PERIOD, SAMPLES, GRAM = 20_261, 64, 8_191, 256, 3
 NEAR = 0.75
@@ -245,35 +248,96 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                   "edited_fingerprint string, near_edited double, near_next double")
 
 
-def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   threshold: float = NEAR) -> DataFrame:
-    """(doc_id, near_id, likeness): links to the smallest id of a shared band, verified once a pair.
+def linked_prints(prints: DataFrame, threshold: float = NEAR) -> tuple[DataFrame, DataFrame]:
+    """(a, b, likeness) of verified links and (node, label) of the linked prints, by ``key``, of (key, fingerprint).
 
     A band is ``BAND_BYTES`` sampled bytes at shared places all over the text; a text gives
     its bands at its own level and the next, so that lengths near a level's edge still meet.
-    A band's documents are linked to its smallest id only, never pairwise.
+    Of a band's prints the first is paired with every other; bands whose prints then lie in
+    different components go on with the next 3, 12, 48, ... heads, as in ``ngram_join``.
     """
-    prints = stored(fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
-                    .groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id")), "edit-prints")
-    id_type = dict(prints.dtypes)["doc_id"]
-
     def bands(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        walk = EditWalk()
+        walk, seen = EditWalk(), set()
         for pdf in frames:
-            keys = [walk.bands(from_text(s), threshold) for s in pdf["fingerprint"]]
+            own = pdf[np.array([k not in seen and not seen.add(k) for k in pdf["key"].tolist()], bool)]
+            keys = [walk.bands(from_text(s), threshold) for s in own["fingerprint"]]
             if keys:
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].repeat([len(k) for k in keys]), "band": np.concatenate(keys)})
-
-    rows = prints.mapInPandas(bands, f"doc_id {id_type}, band bigint")
-    heads = rows.groupBy("band").agg(F.min("doc_id").alias("near_id"), F.count("*").alias("n")).where("n > 1")
-    pairs = rows.join(heads, "band").where("doc_id <> near_id").select("doc_id", "near_id").distinct()
-    both = (pairs.join(prints.withColumnRenamed("fingerprint", "a"), "doc_id")
-            .join(prints.select(F.col("doc_id").alias("near_id"), F.col("fingerprint").alias("b")), "near_id"))
+                yield pd.DataFrame({"shingle": np.concatenate(keys), "node": own["key"].repeat([len(k) for k in keys]), "place": 1 << 32})
 
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         walk = EditWalk()
         for pdf in frames:
-            like = [walk.likeness(from_text(a), from_text(b)) for a, b in zip(pdf["a"], pdf["b"])]
-            yield pdf[["doc_id", "near_id"]].assign(likeness=like)
+            like = [walk.likeness(from_text(a), from_text(b)) for a, b in zip(pdf["print_a"], pdf["print_b"])]
+            yield pdf[["a", "b"]].assign(likeness=like)
+
+    met = stored(first_pairs(prints.mapInPandas(bands, "shingle bigint, node bigint, place bigint")), "edit-met")
+    pairs = stored(met.where("kind = 0").select("a", "b").distinct(), "edit-pairs")
+    open_rows = met.where("kind = 1").select("shingle", F.col("a").alias("node"), "idx")
+    involved = (pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
+                .unionByName(open_rows.select(F.col("node").alias("key"))).distinct())
+    wanted = stored(prints.join(involved, "key", "left_semi").dropDuplicates(["key"]), "edit-prints")
+    left, right = (wanted.select(F.col("key").alias(x), F.col("fingerprint").alias(f"print_{x}")) for x in "ab")
+
+    def verified(some: DataFrame) -> DataFrame:
+        return stored(some.join(left, "a").join(right, "b").mapInPandas(verify, "a bigint, b bigint, likeness double")
+                      .where(F.col("likeness") >= threshold), "edit-links")
+
+    links = verified(pairs)
+    labels, lo = components(links.select("a", "b")), 1
+    while True:
+        rows = open_rows.join(labels, "node", "left").select("shingle", "node", "idx", F.coalesce("label", "node").alias("label"))
+        apart = (rows.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("idx").alias("z"))
+                 .where(f"x <> y and z > {lo}").select("shingle"))
+        rows = stored(rows.join(apart, "shingle", "left_semi"), "edit-open")
+        if rows.isEmpty():
+            return links, labels
+        heads = rows.where(f"idx >= {lo} and idx < {GROWTH * lo}").select(
+            "shingle", F.col("node").alias("h_node"), F.col("idx").alias("h_idx"), F.col("label").alias("h_label"))
+        more = (heads.join(rows, "shingle").where((F.col("idx") > F.col("h_idx")) & (F.col("label") != F.col("h_label")))
+                .select(F.least("node", "h_node").alias("a"), F.greatest("node", "h_node").alias("b")).distinct()
+                .join(pairs, ["a", "b"], "left_anti"))
+        more = stored(more, "edit-pairs")
+        pairs = pairs.unionByName(more)
+        if not more.isEmpty():
+            found = verified(more)
+            if not found.isEmpty():
+                links, labels = links.unionByName(found), joined_labels(labels, found.select("a", "b"))
+        open_rows, lo = rows.drop("label"), GROWTH * lo
+
+
+def near_classes(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, near_class) of prints that are linked or repeat: the smallest id of the component of ``rows`` (doc_id, key)."""
+    keys = (rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+            .join(labels.withColumnRenamed("node", "key"), "key", "left").where("n > 1 or label is not null")
+            .select("key", "least", F.coalesce("label", "key").alias("label")))
+    best = keys.groupBy("label").agg(F.min("least").alias("near_class"))
+    return stored(keys.join(best, "label").select("key", "near_class"), "edit-classes")
+
+
+def with_near_class(rows: DataFrame, threshold: float = NEAR) -> DataFrame:
+    """``rows`` (doc_id, key, fingerprint, ...; read twice) with ``near_class``, the smallest id of the row's component."""
+    _, labels = linked_prints(rows.select("key", "fingerprint"), threshold)
+    classes = near_classes(rows, labels).withColumn("_in", F.lit(True))
+    return rows.join(classes, "key", "left").withColumn(
+        "near_class", F.when(F.col("_in"), F.col("near_class")).otherwise(F.col("doc_id"))).drop("_in")
+
+
+def near_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = NEAR) -> DataFrame:
+    """(doc_id, near_class) of every document; exact copies are in one class."""
+    prints = stored(fingerprints(docs, id_col, text_col).withColumn("key", F.xxhash64("fingerprint")), "edit-rows")
+    return with_near_class(prints, threshold).select("doc_id", "near_class")
 
-    return both.mapInPandas(verify, f"doc_id {id_type}, near_id {id_type}, likeness double").where(F.col("likeness") >= threshold)
+
+def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   threshold: float = NEAR) -> DataFrame:
+    """(doc_id, near_id, likeness): verified links between the smallest ids of equal fingerprints.
+
+    The links join every component; pairs inside a component are not all among them.
+    """
+    prints = stored(fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
+                    .groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
+                    .withColumn("key", F.xxhash64("fingerprint")), "edit-rows")
+    links, _ = linked_prints(prints.select("key", "fingerprint"), threshold)
+    a, b = (prints.select(F.col("key").alias(x), F.col("doc_id").alias(f"id_{x}")) for x in "ab")
+    return links.join(a, "a").join(b, "b").select(
+        F.greatest("id_a", "id_b").alias("doc_id"), F.least("id_a", "id_b").alias("near_id"), "likeness")
