@@ -322,6 +322,20 @@ def with_near_class(rows: DataFrame, threshold: float = NEAR) -> DataFrame:
         "near_class", F.when(F.col("_in"), F.col("near_class")).otherwise(F.col("doc_id"))).drop("_in")
 
 
+def classed_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``edited_fingerprints`` with ``near_class``: the banded and verified class of every document.
+
+    The rows wait in the shared folder with hex digits packed.
+    """
+    prints = ["fingerprint", "edited_fingerprint"]
+    rows = edited_fingerprints(docs, id_col, text_col)
+    packed = {p: F.struct(F.substring_index(p, ".", 1).alias("level"), F.unhex(F.substring_index(p, ".", -1)).alias("samples")) for p in prints}
+    rows = stored(rows.withColumns(packed | {"edited_sha256": F.unhex("edited_sha256")}), "edit-rows")
+    whole = {p: F.concat(f"{p}.level", F.lit("."), F.lower(F.hex(f"{p}.samples"))) for p in prints}
+    rows = rows.withColumns(whole | {"edited_sha256": F.lower(F.hex("edited_sha256"))}).withColumn("key", F.xxhash64("fingerprint"))
+    return with_near_class(rows).drop("key")
+
+
 def near_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = NEAR) -> DataFrame:
     """(doc_id, near_class) of every document; exact copies are in one class."""
     prints = stored(fingerprints(docs, id_col, text_col).withColumn("key", F.xxhash64("fingerprint")), "edit-rows")

@@ -21,7 +21,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_embedding.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return edit_embedding.classed_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def op3_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
