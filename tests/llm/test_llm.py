@@ -3,6 +3,7 @@ import hashlib
 import io
 import math
 import random
+import tempfile
 import zlib
 from collections import Counter
 
@@ -194,10 +195,10 @@ def brute_classes(items):
 
 def boilerplate_items(rng):
     """Unlike texts that share a long passage, and so bands, with near copies and exact copies among them."""
-    passage, items = prose(rng, 60), []
+    passage, items = letters(rng, 70), []
     for k in range(60):
-        text = prose(rng, 30, " ") + passage + prose(rng, 30)
-        items += [(7 * k % 61 + 100 * c, text.replace("ta", "to", c % 2)) for c in range(k % 4)]
+        text = passage + letters(rng, 11)
+        items += [(7 * k % 61 + 100 * c, " ".join(text + letters(rng, 19))) for c in range(k % 4)]
     return [*items, (None, items[5][1]), (None, "alone"), (900, None), (901, ""), items[8]]
 
 
@@ -208,6 +209,17 @@ def test_near_members_in_shared_bands(spark, docs, rows, empty):
     assert edit_embedding.near_members(empty).count() == 0
 
 
+def test_op2_carries_the_near_class(spark, docs, rows, empty):
+    from tickworks.llm import queries
+    path = tempfile.mkdtemp(prefix="tickworks-op2-")
+    docs.select("doc_id", "text").write.parquet(f"{path}/documents.parquet")
+    got = queries.op2_edit_fingerprints(spark, path)
+    assert Counter((r.doc_id, r.near_class) for r in got.collect()) == brute_classes([r[:2] for r in rows])
+    plain = edit_embedding.edited_fingerprints(docs)
+    assert Counter(map(tuple, got.select(plain.columns).collect())) == Counter(map(tuple, plain.collect()))
+    assert edit_embedding.classed_fingerprints(empty).count() == 0
+
+
 # -- 3 -----------------------------------------------------------------------
 def test_mixing(rows, docs, empty):
     got = mixing.mix(docs).collect()
