@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, edit_embedding, lbl_model, line_templates, mixing, ngram_join, quality_cnn, token_files, topk, warc
+from . import (bpe, edit_embedding, lbl_model, line_templates, merkle, mixing, ngram_join, quality_cnn, shards, spelling,
+               token_files, topk, warc)
 from .common import table
 
 
@@ -56,12 +57,26 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_leaves(table(spark, sf_dir, "documents"))
+
+
+def op13_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_warc, op2_edit_fingerprints, op3_pivotal_mix, op4_word_bpe, op5_histogram_top_k, op6_line_templates,
-        op7_lbl_scores, op8_quality_cnn, op9_ngram_jaccard, op10_token_files)}
+        op7_lbl_scores, op8_quality_cnn, op9_ngram_jaccard, op10_token_files, op11_spelling_variants,
+        op12_merkle_manifest, op13_uniform_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_warc": warc.pages_sql(), "op5_histogram_top_k": topk.ORACLE_SQL, "op6_line_templates": line_templates.ORACLE_SQL,
-            "op9_ngram_jaccard": ngram_join.ORACLE_SQL}
+            "op9_ngram_jaccard": ngram_join.ORACLE_SQL, "op11_spelling_variants": spelling.ORACLE_SQL,
+            "op12_merkle_manifest": merkle.ORACLE_SQL}
