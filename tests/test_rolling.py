@@ -4,8 +4,8 @@ from collections import deque
 import numpy as np
 import pytest
 
-from tickworks.operators.rolling import (price_alerts, rolling_alerts, rolling_mean,
-                                         session_stats)
+from tickworks.operators.rolling import (HEAVY, Pieces, halo_rows, price_alerts, rolling_alerts,
+                                         rolling_mean, session_stats)
 from tickworks.streaming.stateful import rolling_frame
 from tests.conftest import tick_rows
 from tests.plain import rolling_mean_plain
@@ -138,17 +138,68 @@ def test_session_stats(spark):
     assert out["B"].min_price == min(r[2] for r in rows if r[0] == "B")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_halo_plan_shuffles_full_data_once(spark):
     rows = make_rows({"A": 50, "B": 50}, seed=1)
-    plan = rolling_mean(tick_rows(spark, rows), chunk_size=8)._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "WindowGroupLimit" in plan          # tails cut before their shuffle
+    assert "WindowGroupLimit" in plan_of(rolling_mean(tick_rows(spark, rows), chunk_size=8))   # tails cut before their shuffle
+
+
+def test_plan_without_busy_symbols(spark):
+    """One scan, one exchange, no join and no halo; with busy symbols the halo takes a second scan."""
+    from tickworks.plans import catalog
+    plan = plan_of(catalog.queries()["rolling_mean_alerts"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange") == 1
+    assert "Join" not in plan and "Union" not in plan
+    plan = plan_of(catalog.queries()["rolling_mean_alerts_chunked"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("events.parquet") == 2
+
+
+def halo_share(ticks, chunk_size, n=10):
+    pieces = Pieces(ticks, chunk_size)
+    return halo_rows(ticks, n - 1, pieces).count() / ticks.count(), pieces
 
 
-def test_halo_plan_scans_twice(spark):
-    """One scan of the ticks and one for the tails that the halo comes from."""
+def test_halo_stays_small(spark):
     from tickworks.plans import catalog
-    plan = catalog.queries()["rolling_mean_alerts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert plan.count("FileScan parquet") == 2
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+    for sf in ("sf0.01", "sf0.1"):
+        share, _ = halo_share(catalog.event_ticks(spark, f"/root/testdata/{sf}", "user_id"), catalog.USER_CHUNK)
+        assert share <= 0.1
+    # 50,000 sparse symbols far apart, alone and beside one that holds a third of all ticks
+    sparse = spark.range(200_000).selectExpr(
+        "concat('s', id % 50000) AS symbol", "0 AS partition", "id * 100000 AS offset", "CAST(id % 97 AS double) AS price")
+    share, pieces = halo_share(sparse, 128)
+    assert share == 0 and not pieces.levels
+    hot = spark.range(100_000).selectExpr("'hot' AS symbol", "0 AS partition", "id * 3 + 1 AS offset", "CAST(id % 89 AS double) AS price")
+    both = sparse.unionByName(hot)
+    share, pieces = halo_share(both, 1_000)
+    assert 0 < share <= 0.01
+    sizes = [r["count"] for r in pieces.of(both).where("_piece is not null").groupBy("_piece").count().collect()]
+    assert len(sizes) >= 90 and max(sizes) <= HEAVY * 1_000
+    assert both.count() == rolling_mean(both, chunk_size=1_000).count()
+
+
+def test_burst_is_cut_again(spark):
+    """A symbol that is sparse but for one dense range: no piece keeps more than a few chunks."""
+    sparse = [("A", "2024-01-01 00:00:00", float(k % 7), 1, k * 1_000_000) for k in range(200)]
+    burst = [("A", "2024-01-01 00:00:00", float(k % 5), 1, 50_000_001 + k) for k in range(600)]
+    t = tick_rows(spark, sparse + burst)
+    pieces = Pieces(t, 20)
+    assert len(pieces.levels) > 1
+    sizes = [r["count"] for r in pieces.of(t).groupBy("_piece").count().collect()]
+    assert max(sizes) <= HEAVY * 20
+    got = {r.offset: r.sma for r in rolling_mean(t, chunk_size=20).collect()}
+    assert got == {r.offset: r.sma for r in rolling_mean_plain(t).collect()}
+
+
+def test_same_offset_delivered_many_times(spark):
+    t = tick_rows(spark, [("A", "2024-01-01 00:00:00", 1.0, 1, 5)] * 50 + [("A", "2024-01-01 00:00:00", 1.0, 1, 6)])
+    assert [r.sma for r in rolling_mean(t, chunk_size=4).where("sma is not null").collect()] == [1.0] * 50
+
+
+def test_null_symbol_and_partition_are_a_symbol(spark):
+    t = spark.range(60).selectExpr("CAST(NULL AS string) AS symbol", "CAST(NULL AS int) AS partition", "id AS offset", "CAST(id AS double) AS price")
+    got = {r.offset: r.sma for r in rolling_mean(t, chunk_size=8).collect()}
+    assert got == {k: None if k == 0 else sum(range(max(0, k - 9), k + 1)) / min(10, k + 1) for k in range(60)}

@@ -8,15 +8,16 @@ A2  session_stats    per symbol: ticks, min, max, alert count
 
 Skew. A plain ``avg over (partition by symbol order by seq rows 9 preceding)``
 sends every tick of a symbol to one task; with a handful of symbols, one of
-them may carry a third of all rows. ``rolling_mean`` therefore windows over
-(symbol, partition, chunk), chunk = offset div ``chunk_size``, so a hot symbol
-is spread over as many tasks as it has chunks. Only the first ``n - 1`` rows of
-a chunk miss part of their frame; they get it from a *halo*: the last ``n - 1``
-ticks of the symbol before the chunk, gathered from the per-chunk tails of up
-to ``n - 1`` preceding non-empty chunks (each contributes at least one tick, so
-``n - 1`` of them always suffice, however sparse the symbol). The halo work
-touches at most n - 1 rows per chunk and is unioned into the input, so the
-full data is shuffled, sorted and windowed once.
+them may carry a third of all rows. ``rolling_mean`` therefore counts the ticks
+per (symbol, partition) first. Symbols of at most ``chunk_size`` ticks are
+windowed whole. A busier symbol is cut into *pieces*, ranges of offsets of one
+partition whose width follows from its own density, so that a piece has about
+``chunk_size`` ticks however dense or sparse they are; ranges that hold far more
+(a burst) are cut again. Only the first ``n - 1`` rows of a piece miss part of
+their frame; they get it from a *halo*: the last ``n - 1`` ticks of the symbol
+before the piece, from the tails of up to ``n - 1`` preceding pieces. The halo is
+at most n - 1 rows per piece of a busy symbol, and nothing where no symbol is
+busy: then the plan is one scan, one exchange, one window.
 """
 
 from __future__ import annotations
@@ -26,34 +27,85 @@ from pyspark.sql import functions as F
 
 from ..schema import (ALERT_THRESHOLD, PRICE_DROP, PRICE_SURGE, SMA_MIN_TICKS,
                       SMA_WINDOW)
+from ..session import stored
 
-DEFAULT_CHUNK = 1 << 20     # offsets per chunk: ~1M ticks of one symbol per task
+DEFAULT_CHUNK = 1 << 20     # ticks of one symbol per task, about
+HEAVY = 4                   # a piece of more than so many chunks is cut again
+BROADCAST_ROWS = 100_000    # pieces tables up to this many rows (a few MB) are broadcast
 
 
-def _chunked(ticks: DataFrame, chunk_size: int) -> DataFrame:
-    return (ticks.where(F.col("price").isNotNull() & F.col("offset").isNotNull())
-            .withColumn("_chunk", F.expr(f"`offset` div {int(chunk_size)}")))
+def _usable(ticks: DataFrame) -> DataFrame:
+    return ticks.where(F.col("price").isNotNull() & F.col("offset").isNotNull())
 
 
-def halo_rows(ticks: DataFrame, h: int, chunk_size: int) -> DataFrame:
-    """For every (symbol, partition, chunk): the last ``h`` ticks of the symbol before it.
+def _joined(ticks: DataFrame, table: DataFrame, rows: int, on: list[str], how: str = "left") -> DataFrame:
+    """``ticks`` with the columns of a small table whose keys are named ``_k_<key>``; nulls match."""
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in on]
+    small = F.broadcast(table) if rows <= BROADCAST_ROWS else table
+    return ticks.join(small, same, how).drop(*[f"_k_{k}" for k in on])
 
-    Output: symbol, partition, _chunk (the requesting chunk), _sp (source
-    partition), offset, price. Built only from per-chunk tails (``h`` newest
-    ticks of each chunk, cut map-side by a partial window-group limit), so its
-    size is at most ``h`` rows per chunk whatever the input size.
+
+def _start(lo: str, width: str):
+    """First offset of the range of ``width`` offsets, counted from ``lo``, that holds a tick."""
+    return F.expr(f"`{lo}` + ((`offset` - `{lo}`) div `{width}`) * `{width}`")
+
+
+def _ranges(counts: DataFrame, chunk_size: int, keys: list[str]) -> DataFrame:
+    """Rows of (keys, n, lo, hi) with the width that gives a range about ``chunk_size`` ticks."""
+    width = F.greatest(F.lit(1), F.floor((F.col("hi") - F.col("lo") + 1) * (chunk_size / F.col("n")))).cast("bigint")
+    return counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("lo").alias("_lo"), width.alias("_width"))
+
+
+class Pieces:
+    """How busy symbols are cut: tables of ranges, from coarse to fine, and their numbers of rows.
+
+    Built from counts: at most rows / chunk_size symbols are busy, and a finer
+    table has a row per range that held too much.
+    """
+
+    def __init__(self, ticks: DataFrame, chunk_size: int):
+        self.levels: list[tuple[DataFrame, int]] = []
+        ticks = _usable(ticks).select("symbol", "partition", "offset")
+        per = ticks.groupBy("symbol", "partition").agg(F.count(F.lit(1)).alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi"))
+        total = F.sum("n").over(Window.partitionBy("symbol"))
+        counts = stored(per.withColumn("_total", total).where(F.col("_total") > chunk_size), "busy-symbols")
+        keys = ["symbol", "partition"]
+        while rows := counts.count():
+            self.levels.append((_ranges(counts, chunk_size, keys), rows))
+            keys = ["symbol", "partition", "_piece"]
+            found = self.of(ticks).where("_piece is not null")
+            heavy = (found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi"))
+                     .where((F.col("n") > HEAVY * chunk_size) & (F.col("hi") > F.col("lo"))))  # one offset cannot be cut
+            counts = stored(heavy, "busy-pieces")
+
+    def of(self, ticks: DataFrame) -> DataFrame:
+        """``ticks`` with ``_piece``: the first offset of its range, null where the symbol is whole."""
+        out = ticks.withColumn("_piece", F.lit(None).cast("bigint"))
+        for k, (table, rows) in enumerate(self.levels):
+            out = _joined(out, table, rows, ["symbol", "partition"] + ["_piece"] * (k > 0))
+            out = out.withColumn("_piece", F.when(F.col("_lo").isNotNull(), _start("_lo", "_width")).otherwise(F.col("_piece"))).drop("_lo", "_width")
+        return out
+
+
+def halo_rows(ticks: DataFrame, h: int, pieces: Pieces) -> DataFrame:
+    """For every piece of a busy symbol: the last ``h`` ticks of the symbol before it.
+
+    Output: symbol, partition, _piece (the requesting piece), _sp (source
+    partition), offset, price. Built only from the tails of the pieces (their
+    ``h`` newest ticks, cut map-side by a partial window-group limit), so its size
+    is at most ``h`` rows per piece.
     """
-    t = _chunked(ticks, chunk_size)
-    key = ["symbol", "partition", "_chunk"]
+    key = ["symbol", "partition", "_piece"]
+    t = pieces.of(_usable(ticks).select("symbol", "partition", "offset", "price")).where("_piece is not null")
     wt = Window.partitionBy(*key).orderBy(F.col("offset").desc())
     tails = (t.select(*key, "offset", "price", F.row_number().over(wt).alias("_tr"))
              .where(F.col("_tr") <= h)
              .groupBy(*key)
              .agg(F.array_sort(F.collect_list(F.struct(F.col("partition").alias("_sp"), "offset", "price")))
                   .alias("_tail")))
-    # Up to h preceding non-empty chunks of the symbol: each holds >= 1 tick,
-    # so together they hold the h ticks just before the chunk.
-    w = Window.partitionBy("symbol").orderBy("partition", "_chunk").rowsBetween(-h, -1)
+    # Up to h preceding pieces of the symbol: each holds >= 1 tick,
+    # so together they hold the h ticks just before the piece.
+    w = Window.partitionBy("symbol").orderBy("partition", "_piece").rowsBetween(-h, -1)
     before = tails.select(*key, F.flatten(F.collect_list("_tail").over(w)).alias("_before"))
     last = F.slice("_before", F.greatest(F.size("_before") - h, F.lit(0)) + 1, F.lit(h))
     return before.select(*key, F.inline(last))
@@ -74,9 +126,10 @@ def rolling_mean(ticks: DataFrame, n: int = SMA_WINDOW, min_ticks: int = SMA_MIN
 
     Order is (partition, offset). Ticks without a price are left out (they have
     no mean and do not enter anyone's window), as are ticks without an offset.
-    Plan: ticks ∪ halo rows → one exchange on (symbol, partition, chunk) → sort
-    → window → drop halo rows. The frame sum runs in the same order as the plain
-    per-symbol window, so the means are identical to it.
+    The ticks are counted when the frame is built (one scan of three columns).
+    Plan: ticks ∪ halo rows → one exchange on (symbol, piece) → sort → window →
+    drop halo rows. The frame sum runs in the same order as the plain per-symbol
+    window, so the means are identical to it.
     """
     if not 1 <= min_ticks <= n:
         raise ValueError("need 1 <= min_ticks <= n")
@@ -87,13 +140,18 @@ def rolling_mean(ticks: DataFrame, n: int = SMA_WINDOW, min_ticks: int = SMA_MIN
         src = src.unionByName(
             prior.select("symbol", "partition", "offset", "price")
             .withColumn("_emit", F.lit(False)), allowMissingColumns=True)
-    main = (_chunked(src, chunk_size)
-            .withColumn("_sp", F.col("partition")))
-    if h > 0:
-        halo = (halo_rows(src, h, chunk_size)
-                .withColumn("_emit", F.lit(False)))
-        main = main.unionByName(halo, allowMissingColumns=True)
-    w = Window.partitionBy("symbol", "partition", "_chunk").orderBy("_sp", "offset")
+    pieces = Pieces(src, chunk_size)
+    main = pieces.of(_usable(src)).withColumn("_sp", F.col("partition"))
+    keys = ["symbol"]
+    if pieces.levels:
+        # the partition of a piece; a symbol that is whole spans all of its partitions
+        keys += ["_in", "_piece"]
+        inside = F.when(F.col("_piece").isNotNull(), F.col("partition"))
+        main = main.withColumn("_in", inside)
+        if h > 0:
+            halo = halo_rows(src, h, pieces).withColumn("_in", inside).withColumn("_emit", F.lit(False))
+            main = main.unionByName(halo, allowMissingColumns=True)
+    w = Window.partitionBy(*keys).orderBy("_sp", "offset")
     frame = w.rowsBetween(-h, 0)
     valid = F.row_number().over(w) >= min_ticks
     main = main.withColumn(out_col, F.when(valid, F.avg("price").over(frame)))

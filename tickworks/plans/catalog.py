@@ -156,6 +156,7 @@ _USER = "CAST(user_id AS VARCHAR)"
 # Small chunks make the chunked operators (halo, two-level top-N) do real work
 # on the test scales; results must not depend on the chunk size.
 SMALL_CHUNK = 64
+USER_CHUNK = 256            # ticks: only users with more are cut into pieces
 
 
 # ---------------------------------------------------------------------------
@@ -355,7 +356,7 @@ def rolling_alerts_users(spark, sf_dir):
     """W1-W3 over sparse symbols with small chunks (halo gathered across empty chunks)."""
     from ..operators.rolling import rolling_alerts
     return _rolling_out(rolling_alerts(event_ticks(spark, sf_dir, "user_id"),
-                                       chunk_size=SMALL_CHUNK, exact4=True))
+                                       chunk_size=USER_CHUNK, exact4=True))
 
 
 _ORDERS_TICKS = """ticks AS (

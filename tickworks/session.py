@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on. Time zone: every bucket boundary and every
 # timestamp text is defined in UTC (session zone pinned, never the host's).
@@ -81,3 +81,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder for one job under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/tickworks/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a work folder and read back: lineage ends at files that outlive an executor."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
