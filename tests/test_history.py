@@ -111,18 +111,34 @@ def test_latest_tick_ties_nulls_and_plan(spark):
 
 def test_replay_parts_have_several_files(spark, tmpdir_fresh):
     import glob
-    import pytest
     from tickworks.sources.fixtures import kafka_records_from_ticks
     from tickworks.sources.streams import replay_stream, write_replay_files
     recs = kafka_records_from_ticks(tick_rows(
         spark, [("A", "2024-01-01 00:00:00", float(i), 1, i) for i in range(40)]))
-    path = write_replay_files(recs, f"{tmpdir_fresh}/in", 2, files_per_part=4)
-    assert [len(glob.glob(f"{p}/**/*.parquet", recursive=True)) for p in sorted(glob.glob(path))] == [4, 4]
-    q = (replay_stream(spark, path, max_files_per_trigger=4).select("offset").writeStream
+    path, n = write_replay_files(recs, f"{tmpdir_fresh}/in", 2, files_per_part=4)
+    # a file of its own for each writing task
+    assert n == 4 and [len(glob.glob(f"{p}/*.parquet")) for p in sorted(glob.glob(path))] == [4, 4]
+    q = (replay_stream(spark, path, max_files_per_trigger=n).select("offset").writeStream
          .foreachBatch(lambda df, i: df.selectExpr(f"{i} AS batch", "offset").write.parquet(f"{tmpdir_fresh}/b{i}"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
     seen = [sorted(r.offset for r in spark.read.parquet(f"{tmpdir_fresh}/b{i}").collect()) for i in range(2)]
     assert seen == [list(range(20)), list(range(20, 40))]
-    with pytest.raises(ValueError, match="no record"):
-        write_replay_files(recs.where("offset < 3"), f"{tmpdir_fresh}/few", 1, files_per_part=4)
+
+
+def test_replay_of_few_gappy_or_no_records(spark, tmpdir_fresh):
+    import glob
+    from tickworks.sources.fixtures import kafka_records_from_ticks
+    from tickworks.sources.streams import replay_stream, write_replay_files
+    for k, offsets in enumerate(([0, 1, 2], [0, 1, 2, 1_000_000], [7], [])):
+        recs = kafka_records_from_ticks(tick_rows(spark, [("A", "2024-01-01 00:00:00", 1.0, 1, i) for i in [*offsets, -1]])).where("offset >= 0")
+        path, n = write_replay_files(recs, f"{tmpdir_fresh}/in{k}", 3, files_per_part=4, min_gap_s=0)
+        parts = sorted(glob.glob(path))
+        assert all(len(glob.glob(f"{p}/*.parquet")) == n for p in parts)
+        q = (replay_stream(spark, path, max_files_per_trigger=n).select("offset").writeStream.format("parquet")
+             .option("path", f"{tmpdir_fresh}/out{k}").option("checkpointLocation", f"{tmpdir_fresh}/c{k}")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert q.exception() is None
+        if offsets:
+            assert sorted(r.offset for r in spark.read.parquet(f"{tmpdir_fresh}/out{k}").collect()) == offsets

@@ -9,7 +9,7 @@ from tests.conftest import tick_rows
 def test_three_named_queries(spark, tmpdir_fresh):
     rows = [("A", "2024-01-01 00:01:00", 1.0, 10, 0), ("B", "2024-01-01 00:02:00", 2.0, 2_000_000, 1),
             ("A", "2024-01-01 00:03:00", 3.0, 10, 2), ("A", "2024-01-01 00:06:00", 5.0, 3_000_000, 3)]
-    glob = write_replay_files(kafka_records_from_ticks(tick_rows(spark, rows)),
+    glob, _ = write_replay_files(kafka_records_from_ticks(tick_rows(spark, rows)),
                               f"{tmpdir_fresh}/in", 2)
     log = jobs.ProgressLog()
     spark.streams.addListener(log)

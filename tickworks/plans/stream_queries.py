@@ -37,13 +37,16 @@ def replay_records(spark, sf_dir: str) -> tuple[str, int]:
     key = (checkpoint_root(spark), sf_dir)
     if key not in _replays:
         records = kafka_records_from_ticks(event_ticks(spark, sf_dir))
-        lo, hi = records.select(F.min("offset"), F.max("offset")).first()
-        files = max(2, (hi - lo) // (REPLAY_PARTS * RECORDS_PER_FILE) + 1)
-        _replays[key] = (write_replay_files(records, work_dir(spark, "replay"), REPLAY_PARTS,
-                                            files_per_part=files), files)
+        _replays[key] = write_replay_files(records, work_dir(spark, "replay"), REPLAY_PARTS,
+                                           files_per_part=_files(records))
     return _replays[key]
 
 
+def _files(records) -> int:
+    lo, hi = records.select(F.min("offset"), F.max("offset")).first()
+    return 2 if lo is None else max(2, (hi - lo) // (REPLAY_PARTS * RECORDS_PER_FILE) + 1)
+
+
 def stream_ticks(spark, sf_dir: str):
     glob, files = replay_records(spark, sf_dir)
     return parse_ticks(replay_stream(spark, glob, max_files_per_trigger=files))

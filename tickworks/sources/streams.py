@@ -50,40 +50,42 @@ def kafka_batch(spark: SparkSession, bootstrap: str, topic: str,
 
 def write_replay_files(records: DataFrame, out_dir: str, n_parts: int,
                        order_col: str = "offset", min_gap_s: float = 1.05,
-                       first_index: int = 0, files_per_part: int = 1) -> str:
-    """Write ``records`` as ``n_parts`` parts of ``files_per_part`` files, split by ranges of ``order_col``.
+                       first_index: int = 0, files_per_part: int = 1) -> tuple[str, int]:
+    """Write ``records`` as up to ``n_parts`` parts of several files, split by ranges of ``order_col``.
 
     A file stream takes files oldest first, so the parts are written by
     separate jobs at least ``min_gap_s`` apart: part i holds the i-th range and
-    is older than part i+1. Within a part each file is a slice of its range,
-    written by a task of its own; every slice needs a record, so that
-    ``replay_stream(max_files_per_trigger=files_per_part)`` takes one part per
-    batch (a part with fewer files is an error). Returns the glob to stream from.
+    is older than part i+1. Ranges without a record give no part. Within a part
+    records are dealt over the files by a hash of their offset, and each file is
+    written by a task of its own. All parts have the same number of files:
+    ``files_per_part``, or the largest halving of it that leaves no file empty
+    (small or gappy inputs). Returns (glob to stream from, files per part), so that
+    ``replay_stream(max_files_per_trigger=files)`` takes one part per batch. An
+    empty table writes nothing; its glob is an empty stream.
     """
+    glob = f"{out_dir}/part*.parquet"
     lo, hi = records.select(F.min(order_col), F.max(order_col)).first()
     if lo is None:
-        raise ValueError("no records to replay")
+        return glob, files_per_part
     step = (hi - lo) // n_parts + 1
-    place = F.col(order_col) - F.lit(lo)
-    sliced = (records.withColumn("_part", F.expr(f"(`{order_col}` - {lo}) div {step}"))
-              .withColumn("_slice", F.expr(f"((`{order_col}` - {lo}) % {step}) * {files_per_part} div {step}")))
-    if files_per_part > 1:
-        met = sliced.groupBy("_part").agg(F.count_distinct("_slice").alias("n")).where(f"n <> {files_per_part}")
-        if not met.isEmpty():
-            raise ValueError(f"a part has no record for one of its {files_per_part} files")
-    for i in range(n_parts):
+    dealt = (records.withColumn("_part", F.expr(f"(`{order_col}` - {lo}) div {step}"))
+             .withColumn("_hash", F.xxhash64(order_col, "offset")))
+    files = files_per_part
+    while True:
+        slices = dealt.withColumn("_slice", F.pmod("_hash", F.lit(files)).cast("int"))
+        met = {r["_part"]: r["n"] for r in slices.groupBy("_part").agg(F.count_distinct("_slice").alias("n")).collect()}
+        if files == 1 or all(n == files for n in met.values()):
+            break
+        files //= 2
+    parts = sorted(p for p in met if p is not None)     # at most n_parts numbers
+    for i, p in enumerate(parts):
         start = time.time()
-        part = records.where((place >= i * step) & (place < (i + 1) * step))
-        if files_per_part > 1:
-            part = (sliced.where((place >= i * step) & (place < (i + 1) * step)).drop("_part")
-                    .repartition(files_per_part, "_slice"))
-            part.write.mode("overwrite").partitionBy("_slice").parquet(f"{out_dir}/part{first_index + i:04d}.parquet")
-        else:
-            part.repartition(1).write.mode("overwrite").parquet(f"{out_dir}/part{first_index + i:04d}.parquet")
+        (slices.where(F.col("_part") == p).repartitionById(files, "_slice").select(*records.columns)
+         .write.mode("overwrite").parquet(f"{out_dir}/part{first_index + i:04d}.parquet"))
         wait = min_gap_s - (time.time() - start)
-        if i + 1 < n_parts and wait > 0:
+        if i + 1 < len(parts) and wait > 0:
             time.sleep(wait)
-    return f"{out_dir}/part*.parquet"
+    return glob, files
 
 
 def replay_stream(spark: SparkSession, path_glob: str, schema=KAFKA_RECORD_SCHEMA,

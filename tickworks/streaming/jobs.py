@@ -36,8 +36,8 @@ from ..operators.windows import window_aggregates
 from ..schema import SMA_WINDOW, TICK_COLUMNS, WATERMARK_DELAY, WINDOW_DURATION
 from .sinks import (AlertAppendSink, SnapshotSink, WindowUpsertSink, fan_out,
                     history_fold, latest_fold, start_channel_publish, stats_fold)
-from .stateful import (LATEST_OUTPUT, ROLLING_OUTPUT, RollingMeanProcessor,
-                       TickStateProcessor)
+from .stateful import (LATEST_OUTPUT, ROLLING_OUTPUT, SEGMENT, SEGMENT_OUTPUT,
+                       RollingMeanProcessor, TickStateProcessor, newest_of_segment, segment_means)
 
 # Trigger intervals of the three original queries.
 RAW_TRIGGER = {"processingTime": "3 seconds"}
@@ -132,14 +132,24 @@ def _use_rocksdb(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
 
 
+def by_segment(ticks: DataFrame, segment: int):
+    """The ticks of a micro-batch, grouped by symbol and a range of ``segment`` offsets of a partition."""
+    return ticks.groupBy("symbol", "partition", F.expr(f"`offset` div {int(segment)}").alias("segment"))
+
+
 def start_rolling_state(ticks: DataFrame, path: str, checkpoint: str,
                         trigger: dict = AVAILABLE_NOW, n: int = SMA_WINDOW,
-                        name: str = "rolling_alerts"):
-    """T5: keyed state (RocksDB) carries the last n-1 prices of each symbol."""
+                        name: str = "rolling_alerts", segment: int = SEGMENT):
+    """T5: keyed state (RocksDB) carries the last n-1 prices of each symbol.
+
+    A symbol's ticks of a micro-batch are cut by ``segment`` offsets; only the
+    ends of a segment meet in the symbol's state (see ``stateful``).
+    """
     spark = ticks.sparkSession
     _use_rocksdb(spark)
-    out = (ticks.select("symbol", "partition", "offset", "timestamp", "price")
-           .groupBy("symbol")
+    cols = ticks.select("symbol", "partition", "offset", "timestamp", "price")
+    out = (by_segment(cols, segment).applyInPandas(segment_means(n), SEGMENT_OUTPUT)
+           .groupBy("symbol", "lane")
            .transformWithStateInPandas(RollingMeanProcessor(n=n), ROLLING_OUTPUT,
                                        "Append", "None"))
     return _start(out, name, checkpoint, trigger, "append", fmt="parquet", path=path)
@@ -147,16 +157,18 @@ def start_rolling_state(ticks: DataFrame, path: str, checkpoint: str,
 
 def start_tick_state(ticks: DataFrame, path: str, checkpoint: str,
                      trigger: dict = AVAILABLE_NOW, history_len: int = 100,
-                     name: str = "tick_state"):
+                     name: str = "tick_state", segment: int = SEGMENT):
     """K2 + K3 as keyed state: latest tick and bounded history per symbol.
 
     The change stream (new latest tick of each touched symbol) is appended to
     ``path``; the full state is read with ``read_tick_state(spark, checkpoint)``.
+    A segment of a hot symbol passes on its newest ``history_len`` ticks only.
     """
     spark = ticks.sparkSession
     _use_rocksdb(spark)
-    out = (ticks.select("symbol", "partition", "offset", "timestamp", "price", "volume", "source")
-           .groupBy("symbol")
+    cols = ticks.select("symbol", "partition", "offset", "timestamp", "price", "volume", "source")
+    newest = by_segment(cols, segment).applyInPandas(newest_of_segment(history_len), cols.schema)
+    out = (newest.groupBy("symbol")
            .transformWithStateInPandas(TickStateProcessor(history_len), LATEST_OUTPUT,
                                        "Append", "None"))
     return _start(out, name, checkpoint, trigger, "append", fmt="parquet", path=path)
@@ -182,7 +194,7 @@ def read_tick_state(spark: SparkSession, checkpoint: str) -> tuple[DataFrame, Da
 
 def read_rolling_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """A2 from the state store of ``start_rolling_state``: ticks, min, max, alerts per symbol."""
-    df = spark.read.format("statestore").option("stateVarName", "stats").load(checkpoint)
+    df = spark.read.format("statestore").option("stateVarName", "stats").load(checkpoint)  # boundary lanes only
     return df.select(F.col("key.symbol").alias("symbol"), "value.*")
 
 

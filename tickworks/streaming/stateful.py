@@ -1,20 +1,25 @@
 """T5: keyed, stateful rolling mean and alerts for streams.
 
-``RollingMeanProcessor`` runs under ``groupBy("symbol").transformWithStateInPandas``.
-State per symbol: the last ``n - 1`` prices (ListState), the number of ticks
-seen and the session stats (ValueState), kept in the checkpointed state store
-(RocksDB), so a restarted query continues where it stopped.
-``TickStateProcessor`` keeps the latest tick and the bounded history (K2, K3).
-
-Within a micro-batch the rows of a key arrive as several frames in no promised
-order; they are concatenated and sorted by (partition, offset). The frame sums
-are accumulated oldest-first, the order the batch window uses, so stream and
-batch give identical means.
-
-Scale note: one symbol's rows of one micro-batch are handled by one task.
-Bound micro-batches (``maxOffsetsPerTrigger``) for hot symbols, or use
-``start_rolling_halo`` (foreachBatch + the chunked batch operator), which
-splits a hot symbol's batch across tasks.
+A micro-batch is cut into *segments*: a symbol's ticks within ``SEGMENT`` offsets
+of one partition. A segment is one group of a stateless grouping
+(``segment_means``), so a hot symbol runs in as many tasks as it has segments,
+and none holds more than ``SEGMENT`` ticks. It finishes all means but those of its
+first n - 1 ticks, whose frames reach back before it. Those *heads*, its last
+n - 1 ticks (*tails*) and a row of sums go on to the symbol's state; finished rows
+go on by (symbol, lane) and pass through.
+
+``RollingMeanProcessor`` runs under ``groupBy("symbol", "lane").transformWithStateInPandas``.
+In the boundary lane it has at most 2 (n - 1) + 1 rows per segment; with the last
+n - 1 prices of the state it finishes the heads. State per symbol: those prices
+(ListState) and the session stats (ValueState), kept in the checkpointed state store
+(RocksDB), so a restarted query continues where it stopped. Other lanes have no
+state; their frames are passed on one by one.
+``TickStateProcessor`` keeps the latest tick and the bounded history (K2, K3) of
+what ``newest_of_segment`` left of each segment.
+
+Order within a symbol is (partition, offset). The frame sums are accumulated
+oldest-first, the order the batch window uses, so stream and batch give identical
+means.
 """
 
 from __future__ import annotations
@@ -76,8 +81,49 @@ def rolling_frame(prev: np.ndarray, prices: np.ndarray, seen: int, n: int, min_t
     return {"sma": sma, "sma4": sma4, "deviation": dev, "alert_type": alert}
 
 
+#: Rows between the segments and the state: the result's columns, and what a segment sums up.
+SEGMENT_OUTPUT = ROLLING_OUTPUT + (", lane int, kind string, ticks bigint, min_price double, max_price double, "
+                                   "alerts bigint")
+RESULT_COLUMNS = [c.split()[0] for c in ROLLING_OUTPUT.split(", ")]
+SEGMENT = 1 << 16           # offsets; a segment holds no more ticks than that
+LANES = 64                  # groups of finished rows per symbol
+BOUNDARY = -1
+
+
+def _in_order(df: pd.DataFrame) -> pd.DataFrame:
+    return df.sort_values(["partition", "offset"], kind="mergesort")
+
+
+def segment_means(n: int = SMA_WINDOW, min_ticks: int = SMA_MIN_TICKS, threshold: float = ALERT_THRESHOLD):
+    """The function of one segment: (symbol, partition, segment number), its ticks → SEGMENT_OUTPUT."""
+    h = n - 1
+
+    def run(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
+        df = _in_order(df[df["price"].notna() & df["offset"].notna()])
+        k = len(df)
+        if not k:
+            return pd.DataFrame(columns=[c.split()[0] for c in SEGMENT_OUTPUT.split(", ")])
+        out = df[["symbol", "partition", "offset", "timestamp", "price"]].copy()
+        out["kind"], out["lane"] = "head", BOUNDARY
+        for c in ("sma", "sma4", "deviation"):
+            out[c] = np.nan
+        out["alert_type"] = None
+        first = out.iloc[:h]
+        if k <= h:
+            return first.reindex(columns=[*RESULT_COLUMNS, "lane", "kind", "ticks", "min_price", "max_price", "alerts"])
+        prices = df["price"].to_numpy(dtype=float)
+        done = out.iloc[h:].assign(kind="done", lane=int(key[2]) % LANES,
+                                   **rolling_frame(prices[:h], prices[h:], h, n, min_ticks, threshold))
+        tails = out.iloc[max(h, k - h):].assign(kind="tail")
+        total = out.iloc[-1:].assign(kind="sum", ticks=k - h, min_price=prices[h:].min(), max_price=prices[h:].max(),
+                                     alerts=int(pd.notna(done["alert_type"]).sum()))
+        return pd.concat([first, done, tails, total], ignore_index=True)
+
+    return run
+
+
 class RollingMeanProcessor(StatefulProcessor):
-    """Per-symbol rolling mean of the last ``n`` ticks with deviation alerts."""
+    """Per-symbol rolling mean of the last ``n`` ticks with deviation alerts, over segments."""
 
     def __init__(self, n: int = SMA_WINDOW, min_ticks: int = SMA_MIN_TICKS,
                  threshold: float = ALERT_THRESHOLD):
@@ -87,43 +133,43 @@ class RollingMeanProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.prices = handle.getListState("prices", "price double")
-        self.seen = handle.getValueState("seen", "n bigint")
         self.stats = handle.getValueState("stats", STATS_STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame],
                         timerValues) -> Iterator[pd.DataFrame]:
-        df = pd.concat(list(rows), ignore_index=True)
-        df = df[df["price"].notna() & df["offset"].notna()]
-        if df.empty:
+        if key[1] != BOUNDARY:
+            for frame in rows:
+                yield frame[RESULT_COLUMNS]
             return
-        df = df.sort_values(["partition", "offset"], kind="mergesort")
+        # at most 2 (n - 1) + 1 rows a segment
+        df = _in_order(pd.concat(list(rows), ignore_index=True))
+        sums, df = df[df["kind"] == "sum"], df[df["kind"] != "sum"]
         prev = np.array([r[0] for r in self.prices.get()], dtype=float) \
             if self.prices.exists() else np.zeros(0)
-        seen = int(self.seen.get()[0]) if self.seen.exists() else 0
         prices = df["price"].to_numpy(dtype=float)
-        res = rolling_frame(prev, prices, seen, self.n, self.min_ticks, self.threshold)
+        res = rolling_frame(prev, prices, len(prev), self.n, self.min_ticks, self.threshold)
         tail = np.concatenate([prev, prices])[-(self.n - 1):] if self.n > 1 else []
         self.prices.put([(float(x),) for x in tail])
-        self.seen.update((seen + len(prices),))
+        head = (df["kind"] == "head").to_numpy()
+        out = df.assign(**res)[head]
         # A2 session stats, kept per symbol in the state store.
         st = self.stats.get() if self.stats.exists() else (0, None, None, 0)
-        n_alerts = int(pd.notna(res["alert_type"]).sum())
-        lo, hi = float(prices.min()), float(prices.max())
-        self.stats.update((st[0] + len(prices), lo if st[1] is None else min(st[1], lo),
-                           hi if st[2] is None else max(st[2], hi), st[3] + n_alerts))
-        yield pd.DataFrame({
-            "symbol": key[0],
-            "partition": df["partition"].to_numpy(),
-            "offset": df["offset"].to_numpy(),
-            "timestamp": df["timestamp"].to_numpy(),
-            "price": prices,
-            **res,
-        })
+        low = [st[1], *sums["min_price"], *out["price"]]
+        high = [st[2], *sums["max_price"], *out["price"]]
+        known = lambda xs: [float(x) for x in xs if x is not None]
+        self.stats.update((st[0] + len(out) + int(sums["ticks"].sum()), min(known(low)), max(known(high)),
+                           st[3] + int(pd.notna(out["alert_type"]).sum()) + int(sums["alerts"].sum())))
+        yield out[RESULT_COLUMNS]
 
     def close(self) -> None:
         pass
 
 
+def newest_of_segment(n: int):
+    """The function of one segment that keeps its newest ``n`` ticks."""
+    return lambda df: _in_order(df[df["offset"].notna()]).tail(n)
+
+
 def _micros(ts: pd.Series) -> pd.Series:
     """Timestamps (any pandas datetime unit or zone) → epoch microseconds (NaN for NaT)."""
     t = pd.to_datetime(ts, utc=True)
@@ -148,13 +194,13 @@ class TickStateProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame],
                         timerValues) -> Iterator[pd.DataFrame]:
-        df = pd.concat(list(rows), ignore_index=True)
-        df = df[df["offset"].notna()]
-        if df.empty:
+        # frame by frame: no more than history_len rows and one frame are held
+        df = None
+        for frame in rows:
+            frame = frame if df is None else pd.concat([df, frame], ignore_index=True)
+            df = _in_order(frame[frame["offset"].notna()]).tail(self.history_len)
+        if df is None or df.empty:
             return
-        # Only the newest history_len ticks of the batch can survive: the Python
-        # work per key and batch is bounded by history_len, not by the batch size.
-        df = df.sort_values(["partition", "offset"], kind="mergesort").tail(self.history_len)
         ts_us = _micros(df["timestamp"])
         new = [(None if pd.isna(p) else float(p), None if pd.isna(v) else int(v),
                 None if pd.isna(t) else int(t), s, int(pt), int(o))
