@@ -4,7 +4,7 @@ A3  latest_price   last price per symbol in arrival order (last write wins)
     latest_tick    the whole last tick per symbol
 A5  freshness      newest broker timestamp and its age at ``as_of``
 P5  ingest_lag     broker time minus event time, per tick
-S8  channel_latest latest tick per symbol from channel messages (bad ones skipped)
+S8  channel_latest latest tick per symbol from channel messages (bad ones skipped), batch or stream
 
 ``max_by`` is an ordinary aggregate: each map task reduces its rows to one
 per symbol before the shuffle, so a hot symbol costs nothing extra.
@@ -68,15 +68,27 @@ def ingest_lag(ticks: DataFrame) -> DataFrame:
 _CHANNEL_SCHEMA = "symbol string, price double, volume bigint, timestamp string, source string"
 
 
-def channel_latest(messages: DataFrame) -> DataFrame:
-    """Messages (type, data JSON text, received_at, partition, offset) → live ticks.
+def channel_ticks(messages: DataFrame) -> DataFrame:
+    """Messages (type, data JSON text, received_at, partition, offset) → ticks, each parsed once.
 
     Frames whose type is not ``message`` are ignored; a message that does not
-    parse or has a null or empty symbol is skipped. Result: the last message
-    per symbol (by arrival) and the time the reader last got any message of it.
+    parse or has a null or empty symbol is skipped.
     """
     m = F.from_json(F.col("data"), _CHANNEL_SCHEMA)
     ok = F.filter(F.array(m), lambda x: x["symbol"].isNotNull() & (x["symbol"] != F.lit("")))
-    ticks = (messages.where(F.col("type") == F.lit("message"))
-             .select("received_at", "partition", "offset", F.inline(ok)))
-    return latest_tick(ticks).withColumnRenamed("received_at", "last_update")
+    return (messages.where(F.col("type") == F.lit("message"))
+            .select("received_at", "partition", "offset", F.inline(ok)))
+
+
+def channel_latest(messages: DataFrame) -> DataFrame:
+    """The last message per symbol (by arrival) and when the reader last got any message of it.
+
+    One aggregate over one scan, so it is also the streaming reader in update mode
+    (``jobs.start_channel_reader``). Arrival order is (partition, offset), as one number:
+    topics have fewer than 2^15 partitions and 2^48 records in one.
+    """
+    order = F.call_function("shiftleft", F.coalesce("partition", F.lit(0)).cast("bigint"), F.lit(48)) + F.col("offset")
+    cols = ["price", "volume", "timestamp", "source", "partition", "offset"]
+    return (channel_ticks(messages).groupBy("symbol")
+            .agg(F.max_by(F.struct(*cols), order).alias("_last"), F.max("received_at").alias("last_update"))
+            .select("symbol", "_last.*", "last_update"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, ByteType, DateType, DoubleType, FloatType,
+from pyspark.sql.types import (BooleanType, ByteType, DateType, DecimalType, DoubleType, FloatType,
                                IntegerType, LongType, ShortType, TimestampNTZType,
                                TimestampType)
 
@@ -80,6 +80,10 @@ _FIXED_WIDTH = (BooleanType, ByteType, ShortType, IntegerType, LongType, FloatTy
                 DateType, TimestampType, TimestampNTZType)
 
 
+def _fixed_width(kind) -> bool:
+    return isinstance(kind, _FIXED_WIDTH) or isinstance(kind, DecimalType) and kind.precision <= 18
+
+
 def latest_window(windows: DataFrame) -> DataFrame:
     """Newest window row per symbol (``DISTINCT ON (symbol) ORDER BY window_start DESC``).
 
@@ -90,7 +94,7 @@ def latest_window(windows: DataFrame) -> DataFrame:
     """
     rest = [f for f in windows.schema.fields if f.name != "symbol"]
     order = F.col("window_start")
-    if all(isinstance(f.dataType, _FIXED_WIDTH) for f in rest):
+    if all(_fixed_width(f.dataType) for f in rest):
         aggs = [(F.max(order) if f.name == "window_start" else F.max_by(f.name, order)).alias(f.name)
                 for f in rest]
         return windows.groupBy("symbol").agg(*aggs).select(windows.columns)

@@ -10,17 +10,22 @@ partitions hold: set them before the first run of a stateful stream.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, LongType, StructField, StructType
 
 from ..operators.ingest import parse_ticks
-from ..operators.windows import WINDOW_COLUMNS, window_aggregates
+from ..operators.windows import WINDOW_COLUMNS, window_aggregates, windows_since
+from ..schema import ALERT_SCHEMA, CHANNEL_SCHEMA, TICK_SCHEMA, WINDOW_AGG_SCHEMA
 from ..session import checkpoint_root, work_dir
 from ..sources.fixtures import kafka_records_from_ticks
-from ..sources.streams import archive_read, replay_stream, write_replay_files
+from ..sources.streams import archive_read, archive_stream, replay_stream, write_replay_files
 from ..streaming import jobs
 from ..streaming.sinks import (AlertAppendSink, SnapshotSink, history_fold, read_appended,
-                               read_snapshot, read_window_table, start_archive,
-                               start_channel_publish)
+                               path_exists, read_channel, read_snapshot, read_table,
+                               read_window_table, start_archive, start_channel_publish)
+from ..streaming.stateful import ROLLING_OUTPUT
 from .catalog import (_AVG_EXACT, _TS_TEXT, _VOLUME_ALERTS_SQL, _WINDOW_SQL, _history_sql,
                       _rolling_sql, _ROLLING_SELECT, _ticks_sql, event_ticks, register)
 
@@ -52,6 +57,31 @@ def stream_ticks(spark, sf_dir: str):
     return parse_ticks(replay_stream(spark, glob, max_files_per_trigger=files))
 
 
+FINAL_SCHEMA = StructType([*WINDOW_AGG_SCHEMA.fields, StructField("window_date", DateType())])
+HISTORY_SCHEMA = StructType([*TICK_SCHEMA.fields, StructField("rank", LongType())])
+APPENDED_SCHEMA = StructType([*ALERT_SCHEMA.fields, StructField("partition", IntegerType()), StructField("offset", LongType())])
+STATS_SCHEMA = "symbol string, ticks bigint, min_price double, max_price double, alerts bigint"
+
+
+def _or_empty(spark, path, read, schema):
+    """``read()`` of a sink's table, or no rows where no batch has written it."""
+    found = read() if path_exists(spark, path) else None
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def _snapshot(spark, path, schema):
+    return _or_empty(spark, path, lambda: read_snapshot(spark, path), schema)
+
+
+def _appended(spark, path, schema=APPENDED_SCHEMA):
+    return _or_empty(spark, path, lambda: read_appended(spark, path), schema)
+
+
+def _stored_windows(table):
+    """Rows of the stored window table with prices as doubles."""
+    return table.select(*[F.col(c).cast("double").alias(c) if c.endswith("_price") else F.col(c) for c in WINDOW_COLUMNS])
+
+
 def _run(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -66,7 +96,7 @@ def window_agg_stream(spark, sf_dir):
     q = jobs.start_window_upsert(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
                                  trigger=jobs.AVAILABLE_NOW, mode="exact")
     _run(q)
-    return read_window_table(spark, f"{root}/table").select(*WINDOW_COLUMNS)
+    return _stored_windows(read_window_table(spark, f"{root}/table"))
 
 
 @register("window_agg_stream_final", f"""
@@ -78,7 +108,61 @@ def window_agg_stream_final(spark, sf_dir):
     q = jobs.start_window_final(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
                                 trigger=jobs.AVAILABLE_NOW, mode="exact")
     _run(q)
-    return spark.read.parquet(f"{root}/table").select(*WINDOW_COLUMNS)
+    return read_table(spark, f"{root}/table", FINAL_SCHEMA).select(*WINDOW_COLUMNS)
+
+
+LATE_PARTS = 6
+LATE_EVERY, LATE_BY = 11, 4
+
+_LATE_SQL = f"""
+WITH e AS (
+  SELECT *, least({LATE_PARTS - 1}, (event_id - lo) // step
+    + CASE WHEN event_id % {LATE_EVERY} = 0 THEN 1 + event_id % {LATE_BY} ELSE 0 END) AS part
+  FROM (SELECT min(event_id) AS lo, (max(event_id) - min(event_id)) // {LATE_PARTS} + 1 AS step FROM events) s, events),
+b AS (SELECT *, dense_rank() OVER (ORDER BY part) AS batch FROM e),
+tops AS (SELECT batch, max(ts) AS top FROM b GROUP BY batch),
+marks AS (SELECT x.batch, (SELECT max(top) FROM tops y WHERE y.batch <= x.batch - 2) - INTERVAL '1 minute' AS mark FROM tops x),
+kept AS (
+  SELECT b.* FROM b JOIN marks USING (batch)
+  WHERE mark IS NULL OR time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' > mark)
+""" + _WINDOW_SQL.format(d="5 minutes", sym="event_type", avg=_AVG_EXACT).replace("FROM events", "FROM kept")
+
+
+@register("window_agg_late", _LATE_SQL)
+def window_agg_late(spark, sf_dir):
+    """Every 11th record arrives one to four parts late.
+
+    A late row whose window still is open is merged, one whose window ended before the
+    watermark of the batch before its own is dropped. That watermark is a minute
+    behind the newest event time of the batches before.
+    """
+    root = work_dir(spark, "window_agg_late")
+    records = kafka_records_from_ticks(event_ticks(spark, sf_dir))
+    lo, hi = records.select(F.min("offset"), F.max("offset")).first()
+    step = 1 if lo is None else (hi - lo) // LATE_PARTS + 1
+    late = F.when(F.col("offset") % LATE_EVERY == 0, 1 + F.col("offset") % LATE_BY).otherwise(0)
+    part = F.least(F.lit(LATE_PARTS - 1), F.floor((F.col("offset") - (lo or 0)) / step) + late)
+    glob, files = write_replay_files(records.withColumn("delivered", part), f"{root}/in", LATE_PARTS,
+                                     order_col="delivered", files_per_part=_files(records))
+    ticks = parse_ticks(replay_stream(spark, glob, max_files_per_trigger=files))
+    _run(jobs.start_window_upsert(ticks, f"{root}/table", f"{root}/ckpt", trigger=jobs.AVAILABLE_NOW, mode="exact"))
+    return _stored_windows(read_window_table(spark, f"{root}/table"))
+
+
+@register("windows_last_hour_stored", f"""
+SELECT * FROM ({_WINDOW_SQL.format(d="5 minutes", sym="event_type", avg=_AVG_EXACT)}) w
+WHERE window_start > (SELECT max(ts) FROM events) - INTERVAL '1 hour' AND symbol = (SELECT min(event_type) FROM events)""")
+def windows_last_hour_stored(spark, sf_dir):
+    """A symbol's windows of the last hour, read from the stored table: other dates and symbols are not read."""
+    root = work_dir(spark, "windows_stored")
+    ticks = event_ticks(spark, sf_dir)
+    _run(jobs.start_window_upsert(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
+                                  trigger=jobs.AVAILABLE_NOW, mode="exact"))
+    as_of, symbol = ticks.agg(F.max("timestamp"), F.min("symbol")).first()
+    if as_of is None:
+        return _stored_windows(read_window_table(spark, f"{root}/table"))
+    since = as_of - timedelta(hours=1)
+    return _stored_windows(windows_since(read_window_table(spark, f"{root}/table", since=since, symbol=symbol), F.lit(since)))
 
 
 @register("volume_alerts_stream", _VOLUME_ALERTS_SQL)
@@ -88,7 +172,7 @@ def volume_alerts_stream(spark, sf_dir):
     q = jobs.start_volume_alerts(stream_ticks(spark, sf_dir), f"{root}/table", f"{root}/ckpt",
                                  trigger=jobs.AVAILABLE_NOW)
     _run(q)
-    return read_appended(spark, f"{root}/table").select(
+    return _appended(spark, f"{root}/table").select(
         "symbol", "price", "volume", "alert_type", "timestamp", "partition", "offset")
 
 
@@ -105,14 +189,14 @@ SELECT symbol, arg_max(price, "offset") AS price FROM ticks GROUP BY symbol""")
 def latest_price_stream(spark, sf_dir):
     """K2: latest price per symbol kept as a versioned snapshot across batches."""
     root = _fanout(spark, sf_dir)
-    return read_snapshot(spark, f"{root}/latest").select("symbol", "price")
+    return _snapshot(spark, f"{root}/latest", TICK_SCHEMA).select("symbol", "price")
 
 
 @register("history_stream", _history_sql(100))
 def history_stream(spark, sf_dir):
     """K3: newest 100 ticks per symbol, bounded snapshot rebuilt per batch."""
     root = _fanout(spark, sf_dir)
-    return read_snapshot(spark, f"{root}/history").select(
+    return _snapshot(spark, f"{root}/history", HISTORY_SCHEMA).select(
         "symbol", "offset", "timestamp", "price", "rank")
 
 
@@ -122,7 +206,7 @@ def rolling_alerts_stream(spark, sf_dir):
     root = work_dir(spark, "rolling_alerts_stream")
     q = jobs.start_rolling_state(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/ckpt")
     _run(q)
-    out = spark.read.parquet(f"{root}/out")
+    out = read_table(spark, f"{root}/out", StructType.fromDDL(ROLLING_OUTPUT))
     return out.select("symbol", "offset", "price", F.col("sma4").alias("sma"), "alert_type")
 
 
@@ -133,7 +217,7 @@ def rolling_alerts_stream_halo(spark, sf_dir):
     q = jobs.start_rolling_halo(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/tails",
                                 f"{root}/ckpt", chunk_size=64)
     _run(q)
-    out = read_appended(spark, f"{root}/out")
+    out = _appended(spark, f"{root}/out", ROLLING_OUTPUT)
     return out.select("symbol", "offset", "price", F.col("sma4").alias("sma"), "alert_type")
 
 
@@ -147,7 +231,7 @@ def session_stats_stream(spark, sf_dir):
     q = jobs.start_rolling_halo(stream_ticks(spark, sf_dir), f"{root}/out", f"{root}/tails",
                                 f"{root}/ckpt", stats_path=f"{root}/stats")
     _run(q)
-    return read_snapshot(spark, f"{root}/stats").select(
+    return _snapshot(spark, f"{root}/stats", STATS_SCHEMA).select(
         "symbol", "ticks", "min_price", "max_price", "alerts")
 
 
@@ -161,13 +245,29 @@ def archive_replay(spark, sf_dir):
     return window_aggregates(archive_read(spark, f"{root}/ticks"), "1 hour", mode="exact")
 
 
-@register("channel_stream", f"""
+@register("archive_stream_replay", _WINDOW_SQL.format(d="5 minutes", sym="event_type", avg=_AVG_EXACT))
+def archive_stream_replay(spark, sf_dir):
+    """The archive streamed through its commit log into the upserted window table."""
+    root = work_dir(spark, "archive_stream")
+    _run(start_archive(stream_ticks(spark, sf_dir), f"{root}/ticks", f"{root}/ckpt", trigger=jobs.AVAILABLE_NOW))
+    # one batch: files of one date come in no order of event time, which later batches could call late
+    _run(jobs.start_window_upsert(archive_stream(spark, f"{root}/ticks"), f"{root}/table", f"{root}/ckpt2",
+                                  trigger=jobs.AVAILABLE_NOW, mode="exact"))
+    return _stored_windows(read_window_table(spark, f"{root}/table"))
+
+
+_CHANNEL_SQL = f"""
 SELECT symbol, arg_max(value, event_id) AS price,
        arg_max(CAST(json_extract_string(props, '$.k') AS BIGINT) * 20000, event_id) AS volume,
        arg_max({_TS_TEXT}, event_id) AS timestamp,
        'synthetic' AS source, max(ts) AS last_update
 FROM (SELECT *, event_type AS symbol FROM events) e
-GROUP BY symbol""")
+GROUP BY symbol"""
+_LIVE_COLUMNS = ["symbol", "price", "volume", "timestamp", "source", "last_update"]
+LIVE_FILES = 256
+
+
+@register("channel_stream", _CHANNEL_SQL)
 def channel_stream(spark, sf_dir):
     """K4 + S8: ticks published per symbol channel, read back by a channel reader."""
     from ..operators.latest import channel_latest
@@ -175,14 +275,27 @@ def channel_stream(spark, sf_dir):
     q = start_channel_publish(stream_ticks(spark, sf_dir), f"{root}/chan", f"{root}/ckpt",
                               trigger=jobs.AVAILABLE_NOW)
     _run(q)
-    msgs = spark.read.parquet(f"{root}/chan")
-    return channel_latest(msgs).select("symbol", "price", "volume", "timestamp", "source",
-                                       "last_update")
+    return channel_latest(read_channel(spark, f"{root}/chan")).select(*_LIVE_COLUMNS)
+
+
+@register("channel_live_stream", _CHANNEL_SQL)
+def channel_live_stream(spark, sf_dir):
+    """The channel reader as a stream, several batches into one live table."""
+    root = work_dir(spark, "channel_live")
+    _run(start_channel_publish(stream_ticks(spark, sf_dir), f"{root}/chan", f"{root}/ckpt",
+                               trigger=jobs.AVAILABLE_NOW))
+    messages = (spark.readStream.schema(CHANNEL_SCHEMA).option("maxFilesPerTrigger", LIVE_FILES)
+                .parquet(f"{root}/chan"))
+    _run(jobs.start_channel_reader(messages, f"{root}/live", f"{root}/ckpt2", trigger=jobs.AVAILABLE_NOW))
+    return _snapshot(spark, f"{root}/live", "symbol string, price double, volume bigint, timestamp string, "
+                                            "source string, last_update timestamp").select(*_LIVE_COLUMNS)
 
 
 def _batches(df, n: int = 4):
     """Split a table into ``n`` delivery batches by offset range (each one a DataFrame)."""
     lo, hi = df.select(F.min("offset"), F.max("offset")).first()
+    if lo is None:
+        return []
     step = (hi - lo) // n + 1
     return [df.where((F.col("offset") >= lo + i * step) & (F.col("offset") < lo + (i + 1) * step))
             for i in range(n)]
@@ -197,7 +310,7 @@ def alert_sink_replay(spark, sf_dir):
     for i, b in enumerate(_batches(event_ticks(spark, sf_dir))):
         sink(volume_alerts(b), i)
         sink(volume_alerts(b), i)
-    return read_appended(spark, path).select(
+    return _appended(spark, path).select(
         "symbol", "price", "volume", "alert_type", "timestamp", "partition", "offset")
 
 
@@ -210,7 +323,7 @@ def history_sink(spark, sf_dir):
     for i, b in enumerate(_batches(event_ticks(spark, sf_dir))):
         sink(b, i)
         sink(b, i)
-    return read_snapshot(spark, path).select("symbol", "offset", "timestamp", "price", "rank")
+    return _snapshot(spark, path, HISTORY_SCHEMA).select("symbol", "offset", "timestamp", "price", "rank")
 
 
 def _tick_state(spark, sf_dir):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, BinaryType, DecimalType, DoubleType, IntegerType, LongType,
+    ArrayType, BinaryType, DateType, DecimalType, DoubleType, IntegerType, LongType,
     StringType, StructField, StructType, TimestampType,
 )
 
@@ -88,6 +88,43 @@ SEQ = ["partition", "offset"]
 
 PRICE_DECIMAL = DecimalType(12, 4)
 
+# Stored tables: prices are decimal(12,4), rows carry the time they were first written.
+STORED_WINDOW_SCHEMA = StructType([
+    StructField("window_start", TimestampType()),
+    StructField("window_end", TimestampType()),
+    StructField("symbol", StringType()),
+    StructField("avg_price", PRICE_DECIMAL),
+    StructField("min_price", PRICE_DECIMAL),
+    StructField("max_price", PRICE_DECIMAL),
+    StructField("tick_count", LongType()),
+    StructField("created_at", TimestampType()),
+    StructField("changed_at", TimestampType()),
+    StructField("seq", LongType()),
+    StructField("window_date", DateType()),
+    StructField("change", StringType()),
+])
+ARCHIVE_SCHEMA = StructType([
+    StructField("symbol", StringType()),
+    StructField("price", PRICE_DECIMAL),
+    StructField("volume", LongType()),
+    StructField("source", StringType()),
+    StructField("event_time", TimestampType()),
+    StructField("created_at", TimestampType()),
+    StructField("partition", IntegerType()),
+    StructField("offset", LongType()),
+    StructField("event_date", DateType()),
+])
+CHANNEL_SCHEMA = StructType([
+    StructField("type", StringType()),
+    StructField("data", StringType()),
+    StructField("received_at", TimestampType()),
+    StructField("partition", IntegerType()),
+    StructField("offset", LongType()),
+    StructField("channel", StringType()),
+    StructField("received_date", DateType()),
+    StructField("bucket", IntegerType()),
+])
+
 WINDOW_AGG_SCHEMA = StructType([
     StructField("window_start", TimestampType()),
     StructField("window_end", TimestampType()),

@@ -19,7 +19,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import KAFKA_RECORD_SCHEMA
+from ..schema import ARCHIVE_SCHEMA, KAFKA_RECORD_SCHEMA
 
 
 def kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
@@ -97,15 +97,24 @@ def replay_stream(spark: SparkSession, path_glob: str, schema=KAFKA_RECORD_SCHEM
             .parquet(path_glob))
 
 
+def _archived_ticks(rows: DataFrame) -> DataFrame:
+    """Stored rows as ticks: the stored decimal prices become doubles again."""
+    return rows.withColumnRenamed("event_time", "timestamp").withColumn("price", F.col("price").cast("double"))
+
+
 def archive_read(spark: SparkSession, path: str) -> DataFrame:
     """The raw-tick archive (partitioned by event_date) as ticks, ready for every tick operator."""
-    return spark.read.parquet(path).withColumnRenamed("event_time", "timestamp")
+    return _archived_ticks(spark.read.schema(ARCHIVE_SCHEMA).parquet(path))
 
 
-def archive_stream(spark: SparkSession, path: str, schema,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Replay the archive as a stream of ticks; ``schema`` is that of the stored files."""
-    reader = spark.readStream.schema(schema)
+def archive_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The archive as a stream of ticks.
+
+    The archive's file sink keeps a commit log; the stream reads it, so files of a
+    batch that did not commit are never seen, and a stream that runs on follows the
+    archive as it grows.
+    """
+    reader = spark.readStream.schema(ARCHIVE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(path).withColumnRenamed("event_time", "timestamp")
+    return _archived_ticks(reader.parquet(path))

@@ -9,6 +9,7 @@ T5     start_rolling_state   transformWithStateInPandas rolling mean (keyed stat
 K2,K3  start_tick_state      latest tick + bounded history as keyed state; read_tick_state
        start_rolling_halo    foreachBatch rolling mean on the chunked batch operator,
                              last n-1 ticks per symbol kept as a snapshot between batches
+S8     start_channel_reader  live table of the channels: last tick and last update per symbol
 T7-T9  named queries, processing-time or available-now triggers, one checkpoint each
 T10    await_any             wait for any query to end (with timeout)
 T11    drain_and_stop        process everything available, then stop
@@ -31,12 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators.alerts import volume_alerts
+from ..operators.latest import channel_latest
 from ..operators.rolling import DEFAULT_CHUNK, rolling_alerts
 from ..operators.windows import window_aggregates
-from ..schema import SMA_WINDOW, TICK_COLUMNS, WATERMARK_DELAY, WINDOW_DURATION
-from .sinks import (AlertAppendSink, SnapshotSink, WindowUpsertSink, fan_out,
-                    history_fold, latest_fold, start_channel_publish, stats_fold)
-from .stateful import (LATEST_OUTPUT, ROLLING_OUTPUT, SEGMENT, SEGMENT_OUTPUT,
+from ..schema import SMA_WINDOW, TICK_COLUMNS, TICK_SCHEMA, WATERMARK_DELAY, WINDOW_DURATION
+from .sinks import (AlertAppendSink, SnapshotSink, WindowUpsertSink, _names, fan_out,
+                    history_fold, latest_fold, replace_fold, start_channel_publish, stats_fold)
+from .stateful import (LATEST_OUTPUT, ROLLING_OUTPUT, SEGMENT, SEGMENT_OUTPUT, STATS_STATE,
                        RollingMeanProcessor, TickStateProcessor, newest_of_segment, segment_means)
 
 # Trigger intervals of the three original queries.
@@ -174,12 +176,21 @@ def start_tick_state(ticks: DataFrame, path: str, checkpoint: str,
     return _start(out, name, checkpoint, trigger, "append", fmt="parquet", path=path)
 
 
+def _ran(spark: SparkSession, checkpoint: str) -> bool:
+    """Has the query of this checkpoint finished a batch?"""
+    return any(name.isdigit() for name in _names(spark, f"{checkpoint}/commits"))
+
+
 def read_tick_state(spark: SparkSession, checkpoint: str) -> tuple[DataFrame, DataFrame]:
     """(latest, history) per symbol from the state store of ``start_tick_state``.
 
     history carries ``rank`` (1 = newest); the ranking window runs over at most
     ``history_len`` rows per symbol.
     """
+    if not _ran(spark, checkpoint):
+        none = spark.createDataFrame([], TICK_SCHEMA).drop("kafka_timestamp")
+        return none, none.withColumn("rank", F.lit(0).cast("bigint"))
+
     def ticks(df: DataFrame, col: str) -> DataFrame:
         return df.select(F.col("key.symbol").alias("symbol"), f"{col}.*").select(
             "symbol", "price", "volume", F.timestamp_micros("ts_us").alias("timestamp"),
@@ -194,10 +205,23 @@ def read_tick_state(spark: SparkSession, checkpoint: str) -> tuple[DataFrame, Da
 
 def read_rolling_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """A2 from the state store of ``start_rolling_state``: ticks, min, max, alerts per symbol."""
+    if not _ran(spark, checkpoint):
+        return spark.createDataFrame([], f"symbol string, {STATS_STATE}")
     df = spark.read.format("statestore").option("stateVarName", "stats").load(checkpoint)  # boundary lanes only
     return df.select(F.col("key.symbol").alias("symbol"), "value.*")
 
 
+def start_channel_reader(messages: DataFrame, path: str, checkpoint: str,
+                         trigger: dict = RAW_TRIGGER, name: str = "channel_reader"):
+    """Listen to the channels; the live table has each symbol's last tick and last update.
+
+    One aggregate over messages parsed once, in update mode: a batch emits the
+    symbols it touched, whose rows replace those of the snapshot under ``path``.
+    """
+    return _start(channel_latest(messages), name, checkpoint, trigger, "update",
+                  SnapshotSink(path, replace_fold("symbol")))
+
+
 class RollingHaloBatch:
     """foreachBatch body of ``start_rolling_halo``.
 
