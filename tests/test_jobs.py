@@ -51,3 +51,61 @@ def test_windows_since_symbol_and_kafka_options(spark):
     opts = kafka_sink_options("broker:9092", "ticks")
     assert opts["kafka.acks"] == "1" and opts["kafka.retries"] == "3"
     assert opts["kafka.linger.ms"] == "50" and opts["topic"] == "ticks"
+
+
+def test_processing_time_life_cycle(spark, tmpdir_fresh):
+    """The four jobs on a real trigger: data that comes later is taken, one wait ends with any query, a drain loses nothing."""
+    import time
+    rows = [("A", f"2024-01-01 00:{i:02d}:00", float(i), 2_000_000, i) for i in range(12)]
+    recs = kafka_records_from_ticks(tick_rows(spark, rows))
+    d = f"{tmpdir_fresh}/in"
+    glob, _ = write_replay_files(recs.where("offset < 6"), d, 2)
+    qs = jobs.start_tick_jobs(parse_ticks(replay_stream(spark, glob)), f"{tmpdir_fresh}/out", trigger={"processingTime": "1 second"})
+    try:
+        assert not jobs.await_any(spark, 3, reset=True)            # all of them go on
+        assert all(q.isActive for q in qs.values())
+        time.sleep(1.05)
+        write_replay_files(recs.where("offset >= 6"), d, 2, first_index=2)
+        jobs.drain_and_stop(qs["volume_alerts"])
+        assert jobs.await_any(spark, 30)                           # one has ended
+        assert not qs["volume_alerts"].isActive and qs["raw_ticks"].isActive
+        assert qs["volume_alerts"].exception() is None
+        for name in ("raw_ticks", "window_aggregates", "tick_channel"):
+            jobs.drain_and_stop(qs[name])
+    finally:
+        for q in qs.values():
+            q.stop()
+        spark.streams.resetTerminated()
+    out = f"{tmpdir_fresh}/out"
+    assert sorted(r.offset for r in read_appended(spark, f"{out}/alerts").collect()) == list(range(12))
+    assert read_snapshot(spark, f"{out}/latest").first().price == 11.0
+    assert sum(r.tick_count for r in read_window_table(spark, f"{out}/windows").collect()) == 12
+    gaps = [p["timestamp"] for p in qs["raw_ticks"].recentProgress if p["numInputRows"]]
+    assert len(gaps) >= 3                                          # separate triggers
+
+
+def test_lag_of_a_source_that_is_behind(spark):
+    """Numbers per topic partition from a progress whose latest offsets are ahead of its end."""
+    import json
+
+    class Behind:
+        name = "raw_ticks"
+        lastProgress = type("P", (), {"json": json.dumps({"sources": [
+            {"endOffset": {"ticks": {"0": 10, "1": 4}}, "latestOffset": {"ticks": {"0": 25, "1": 4, "2": 7}}},
+            {"endOffset": {"logOffset": 3}, "latestOffset": None}]})})
+
+    got = {(r.topic, r.partition): r.lag for r in jobs.partition_lag(spark, Behind()).collect()}
+    assert got == {("ticks", 0): 15, ("ticks", 1): 0, ("ticks", 2): 7}
+
+
+def test_stream_queries_over_an_empty_table(spark, tmpdir_fresh):
+    """Every stream and sink query ends with no rows and its own columns."""
+    from tickworks.plans import catalog, stream_queries
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.limit(0).write.parquet(f"{tmpdir_fresh}/events.parquet")
+    full = catalog.queries()
+    names = [n for n in full if n.endswith(("_stream", "_stream_final", "_state", "_halo", "_replay", "_sink", "_late", "_stored"))]
+    assert len(names) >= 17 and stream_queries.LATE_PARTS
+    for name in names:
+        out = full[name](spark, tmpdir_fresh)
+        assert out.count() == 0 and out.columns, name

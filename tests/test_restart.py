@@ -48,7 +48,7 @@ def test_restart_from_checkpoint(spark, tmpdir_fresh):
     halo = {r.offset: (r.sma4, r.alert_type) for r in read_appended(spark, f"{root}/halo_out").collect()}
     assert state == batch
     assert halo == batch
-    win = sorted((str(r.window_start), r.symbol, r.avg_price, r.tick_count)
+    win = sorted((str(r.window_start), r.symbol, float(r.avg_price), r.tick_count)
                  for r in read_window_table(spark, f"{root}/win").collect())
     want = sorted((str(r.window_start), r.symbol, r.avg_price, r.tick_count)
                   for r in window_aggregates(tick_rows(spark, rows)).collect())

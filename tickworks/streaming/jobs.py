@@ -304,7 +304,7 @@ def await_any(spark: SparkSession, timeout_s: float | None = None,
     if timeout_s is None:
         spark.streams.awaitAnyTermination()
         return True
-    return bool(spark.streams.awaitAnyTermination(int(timeout_s * 1000)))
+    return bool(spark.streams.awaitAnyTermination(timeout_s))   # in seconds
 
 
 def drain_and_stop(query) -> None:
