@@ -297,15 +297,47 @@ def test_top_k(spark):
     df = spark.createDataFrame([(*v, 1, "x") for v in vecs], "vec_id bigint, embedding array<double>, id int, slot string")
     ok = [(i, [math.floor(256 * x) for x in v]) for i, v in vecs
           if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
-    want = set()
+    got = topk.top_k(df).collect()
+    assert len(got) == len(set(got)) and {tuple(r) for r in got} == best_of(ok)
+    assert topk.top_k(df.limit(0)).count() == 0
+
+
+def best_of(ok):
+    """Best five of each query among integer vectors; only sums that no long holds are cut."""
+    want, most = set(), 2 ** 63 - 2 ** 12
     for q, v in ok:
         if q % 50 == 0:
-            scored = sorted((-max(-topk.MOST, min(topk.MOST, sum(a * b for a, b in zip(v, w)))), c)
+            scored = sorted((-max(-most, min(most, sum(a * b for a, b in zip(v, w)))), c)
                             for c, w in ok if c != q and len(w) == len(v))[:5]
             want |= {(q, k + 1, c, -s) for k, (s, c) in enumerate(scored)}
-    got = topk.top_k(df).collect()
-    assert len(got) == len(set(got)) and {tuple(r) for r in got} == want
-    assert topk.top_k(df.limit(0)).count() == 0
+    return want
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5])
+def test_top_k_of_few_candidates(spark, n):
+    vecs = [(50, [0.6, 0.8]), *[(i + 1, [0.8, 0.1 * i]) for i in range(n)], (100, [1.0, 0.0, 0.0])]
+    ok = [(i, [math.floor(256 * x) for x in v]) for i, v in vecs]
+    got = topk.top_k(spark.createDataFrame(vecs, "vec_id bigint, embedding array<double>")).collect()
+    assert len(got) == len(set(got)) == n and {tuple(r) for r in got} == best_of(ok)
+
+
+@pytest.mark.parametrize("largest", [4.2e6, 7e6, 1.1e7])
+def test_top_k_of_large_scores(spark, largest):
+    """Sums between 2^60 and 2^63 stay exact, negative ones too."""
+    vecs = [(i, [(-1) ** (i // 40) * largest + i, largest / 3 - i]) for i in range(60)]
+    ok = [(i, [math.floor(256 * x) for x in v]) for i, v in vecs]
+    top = max(abs(sum(a * b for a, b in zip(v, w))) for _, v in ok for _, w in ok)
+    assert 2 ** 60 < top < 2 ** 63 - 2 ** 12
+    got = topk.top_k(spark.createDataFrame(vecs, "vec_id bigint, embedding array<double>")).collect()
+    assert {tuple(r) for r in got} == best_of(ok)
+
+
+def test_top_k_beyond_a_long(spark):
+    """Components that are not finite once scaled take no part; sums that no long holds tie at the bound."""
+    vecs = [(0, [1e307, 0.0]), (50, [1e200, 1.0]), (1, [1e200, 2.0]), (2, [-1e200, 0.0]), (3, [0.0, 1.0]), (4, [1e150, 0.0])]
+    ok = [(i, [math.floor(256 * x) for x in v]) for i, v in vecs[1:]]
+    got = topk.top_k(spark.createDataFrame(vecs, "vec_id bigint, embedding array<double>")).collect()
+    assert {tuple(r) for r in got} == best_of(ok)
 
 
 # -- 6 -----------------------------------------------------------------------

@@ -17,10 +17,12 @@ stored:
    smallest ids that are still needed; ties end in (score, id) order.
 
 Products are exact: in double precision while the largest possible sum stays
-under 2^53, else in Python integers, cut to +-2^60.
+under 2^53, else in Python integers. A score is a long: sums beyond +-(2^63 - 2^12)
+are returned as that bound, and tie there.
 
 Nulls: vectors that are null, or hold a null or non-finite component, take no
-part, nor do rows without an id. Vectors of another length than a query's are no
+part, nor do those with a component that is not finite once scaled, or rows without
+an id. Vectors of another length than a query's are no
 candidates for it. Repeated ids: a query's own id is no candidate in any row;
 rows with one id are separate candidates, while a query id asks once, with its
 smallest vector. Other columns are ignored. Fewer than k candidates:
@@ -42,14 +44,14 @@ from .common import partitions, stored
 SCALE, K, EVERY = 256, 5, 50
 QUERY_BLOCK, ROW_BLOCK = 512, 1_024
 BINS = 1_024
-MOST = 1 << 60
+MOST = (1 << 63) - (1 << 12)
 SLOT = "slot int, kind int, ids binary, vecs binary, dim int, lo binary, hi binary, width binary, need binary"
 RANGE = ("lo", "hi", "width", "need")  # scores in [lo, hi) are still in question, need of them are wanted
 
 
 def valid(embeddings: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, vec) of the vectors that take part."""
-    finite = F.coalesce(F.forall(F.col("vec"), lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))), F.lit(False))
+    finite = F.coalesce(F.forall(F.col("vec"), lambda x: F.coalesce(F.abs(x * float(SCALE)) < float("inf"), F.lit(False))), F.lit(False))
     return (embeddings.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
             .where(F.col("id").isNotNull() & finite))
 
@@ -143,9 +145,10 @@ def histogram(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             elif r.dim in q.by_dim:
                 query, ids = q.by_dim[r.dim], np.frombuffer(r.ids, np.int64)
                 scores = inner(query["vecs"], np.frombuffer(r.vecs).reshape(len(ids), r.dim))
-                bins = (scores - query["lo"][:, None]) // query["width"][:, None]
-                ok = (bins >= 0) & (scores < query["hi"][:, None]) & (ids[None] != query["ids"][:, None])
-                flat = (np.arange(len(scores))[:, None] * BINS + bins)[ok]
+                # differences are taken without a sign: a range may be as wide as all longs
+                bins = (scores.view(np.uint64) - query["lo"].view(np.uint64)[:, None]) // query["width"].view(np.uint64)[:, None]
+                ok = (scores >= query["lo"][:, None]) & (scores < query["hi"][:, None]) & (ids[None] != query["ids"][:, None])
+                flat = (np.arange(len(scores))[:, None] * BINS + bins.astype(np.int64))[ok]
                 got = np.bincount(flat, minlength=len(scores) * BINS).reshape(-1, BINS)
                 counts[r.dim] = counts.get(r.dim, 0) + got
     yield from flush()
@@ -199,7 +202,7 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, id_col: str = "
     # Cauchy-Schwarz bounds every score of a query
     bound = F.ceil(F.least(length * facts.length * 1.001 + 1, F.lit(float(MOST))))
     state = stored(asked.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int").alias("block"), (-bound).alias("lo"), (bound + 1).alias("hi"),
-                                (F.floor((2 * bound + 1) / BINS) + 1).alias("width"),
+                                (F.floor(bound / (BINS // 2)) + 1).alias("width"),
                                 F.lit(k).cast("bigint").alias("need")), "topk-state")
     last = False
     while not last:
@@ -211,11 +214,13 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, id_col: str = "
               .join(state.select("id", "need"), "id")
               .where((F.col("above") < F.col("need")) & (F.col("above") + F.col("n") >= F.col("need")))
               .select("id", "bin", "above"))
-        # without such a bin a query has fewer candidates than k: everything above its range's start is kept
+        # without such a bin a query has fewer candidates than k: all above its range's start are kept, and its range is empty
         found = F.col("bin").isNotNull()
-        lo = F.when(found, F.col("lo") + F.col("bin") * F.col("width")).otherwise(F.col("lo") - 1)
+        wide = {c: F.col(c).cast("decimal(38,0)") for c in ("lo", "hi", "bin", "width")}  # products may pass a long
+        start = wide["lo"] + wide["bin"] * wide["width"]
+        lo = F.when(found, start.cast("bigint")).otherwise(F.greatest(F.col("lo") - 1, F.lit(-MOST - 1)))
         state = stored(state.join(at, "id", "left").select(
-            "id", "vec", "block", lo.alias("lo"), F.when(found, lo + F.col("width")).otherwise(F.col("hi")).alias("hi"),
+            "id", "vec", "block", lo.alias("lo"), F.when(found, F.least(start + wide["width"], wide["hi"]).cast("bigint")).otherwise(lo).alias("hi"),
             F.when(found, F.ceil(F.col("width") / BINS)).otherwise(1).cast("bigint").alias("width"),
             F.when(found, F.col("need") - F.col("above")).otherwise(0).cast("bigint").alias("need")), "topk-state")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
