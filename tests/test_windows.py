@@ -60,7 +60,7 @@ def test_late_rows_stream(spark, tmpdir_fresh):
                             trigger=AVAILABLE_NOW)
     q.awaitTermination()
     out = read_window_table(spark, f"{tmpdir_fresh}/table").orderBy("window_start").collect()
-    assert [(str(r.window_start)[11:], r.avg_price, r.tick_count) for r in out] == [
+    assert [(str(r.window_start)[11:], float(r.avg_price), r.tick_count) for r in out] == [
         ("00:00:00", 3.6667, 3), ("00:05:00", 6.5, 4)]
 
 
@@ -82,3 +82,24 @@ def test_bad_prices_never_stop_a_query(spark):
     assert rolling_mean(t, exact4=True).count() == 5
     two = tick_rows(spark, [("A", "2024-01-01 00:01:00", 1.00006, 1, 0), ("A", "2024-01-01 00:02:00", 1.0, 1, 1)])
     assert window_aggregates(two).first().avg_price == 1.0
+
+
+def test_exact_mean_of_negative_and_large_prices(spark):
+    """Half away from zero on either side, and exact where doubles are not."""
+    import numpy as np
+    from tickworks.operators.rolling import rolling_mean
+    from tickworks.streaming.stateful import rolling_frame
+    cases = {"up": [0.0001, 0.0002], "down": [-0.0001, -0.0002], "mixed": [-0.0003, 0.0002, 0.0002],
+             "large": [900_000_000_000.0001] * 2 + [900_000_000_000.0003], "none": [0.0]}
+    want = {"up": 0.0002, "down": -0.0002, "mixed": 0.0, "none": 0.0}
+    rows = [(s, "2024-01-01 00:01:00", p, 1, i) for s, ps in cases.items() for i, p in enumerate(ps)]
+    got = {r.symbol: r.avg_price for r in window_aggregates(tick_rows(spark, rows), mode="exact").collect()}
+    units = [round(p * 10000) for p in cases["large"]]
+    want["large"] = ((2 * sum(units) + 3) // 6) / 10000
+    assert got == want
+    last = {r.symbol: r.sma4 for r in rolling_mean(tick_rows(spark, rows), exact4=True).orderBy("offset").collect()}
+    for s, ps in cases.items():
+        stream = rolling_frame(np.zeros(0), np.array(ps), 0, 10, 2, 0.005)["sma4"][-1]
+        assert (last[s] is None and np.isnan(stream)) if len(ps) < 2 else last[s] == stream == want[s]
+    huge = tick_rows(spark, [("A", "2024-01-01 00:01:00", 9e14, 1, i) for i in range(3)])
+    assert window_aggregates(huge, mode="exact").first().avg_price is None     # the sum of units passes a long

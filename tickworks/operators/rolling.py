@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..schema import (ALERT_THRESHOLD, PRICE_DROP, PRICE_SURGE, SMA_MIN_TICKS,
                       SMA_WINDOW)
 from ..session import stored
+from .windows import half_up_mean
 
 DEFAULT_CHUNK = 1 << 20     # ticks of one symbol per task, about
 HEAVY = 4                   # a piece of more than so many chunks is cut again
@@ -117,8 +118,7 @@ def rolling_mean(ticks: DataFrame, n: int = SMA_WINDOW, min_ticks: int = SMA_MIN
     """Add ``out_col``: mean of the last ``n`` prices of the symbol up to this tick.
 
     With ``exact4`` also ``<out_col>4``: the same mean rounded half-up to 4
-    decimals from integer 1e-4 price units (same value on every engine; prices
-    are taken as non-negative).
+    decimals from integer 1e-4 price units (same value on every engine).
 
     ``prior``: earlier ticks of the same symbols (symbol, partition, offset,
     price; at least the last ``n - 1`` of each symbol) that enter the frames
@@ -162,7 +162,7 @@ def rolling_mean(ticks: DataFrame, n: int = SMA_WINDOW, min_ticks: int = SMA_MIN
         units = F.try_sum(unit).over(frame)
         cnt = F.count(unit).over(frame)
         main = main.withColumn(out_col + "4", F.when(
-            valid & (cnt > 0), F.floor((2 * units + cnt) / (2 * cnt)) / F.lit(10000.0)))
+            valid & (cnt > 0), half_up_mean(units, cnt) / F.lit(10000.0)))
         out.append(out_col + "4")
     return main.where(F.col("_emit")).select(*cols, *out)
 

@@ -26,19 +26,24 @@ WINDOW_COLUMNS = ["window_start", "window_end", "symbol", "avg_price", "min_pric
                   "max_price", "tick_count"]
 
 
+def half_up_mean(total: Column, n: Column) -> Column:
+    """total / n of whole numbers, rounded half away from zero, in whole numbers throughout."""
+    size = F.abs(total)
+    mean = F.call_function("div", size, n) + F.when(2 * (size % n) >= n, 1).otherwise(0)
+    return F.when(total < 0, -mean).otherwise(mean)
+
+
 def _exact_avg4(price: Column) -> tuple[Column, Column]:
     """avg rounded half-up to 4 decimals, computed on integers (deterministic).
 
-    Prices are first rounded to 1e-4 units; with S = their sum and n = count,
-    avg4 = floor((2S + n) / 2n) / 10000. Exact for non-negative prices on any
-    engine and any partitioning (no floating-point summation order). Prices that
-    are NaN, infinite or beyond the range of units are left out; a sum beyond it
-    gives null.
+    Prices are first rounded to 1e-4 units; their sum and count give the mean in
+    units. The same on any engine and any partitioning (no floating-point summation
+    order), for negative prices too. Prices that are NaN, infinite or beyond the
+    range of units are left out; a sum beyond it gives null.
     """
     units = F.round(price * 10000).try_cast("bigint")
-    s = F.try_sum(units)
     n = F.count(units)
-    avg4 = F.when(n > 0, F.floor((2 * s + n) / (2 * n)) / F.lit(10000.0))
+    avg4 = F.when(n > 0, half_up_mean(F.try_sum(units), n) / F.lit(10000.0))
     return avg4, n
 
 

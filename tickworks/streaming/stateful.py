@@ -56,7 +56,8 @@ def rolling_frame(prev: np.ndarray, prices: np.ndarray, seen: int, n: int, min_t
     scaled = p * 10000
     whole = np.isfinite(scaled) & (np.abs(scaled) < 2.0 ** 63)  # as the batch form's try_cast
     x = np.where(whole, scaled, 0.0)
-    units = (np.sign(x) * np.floor(np.abs(x) + 0.5)).astype(np.int64)  # half-up, as round()
+    low = np.floor(np.abs(x))
+    units = (np.sign(x) * (low + (np.abs(x) - low >= 0.5))).astype(np.int64)  # half-up, as round()
     pos = np.arange(k) + m
     s = np.zeros(k)
     u = np.zeros(k, dtype=np.int64)
@@ -73,7 +74,9 @@ def rolling_frame(prev: np.ndarray, prices: np.ndarray, seen: int, n: int, min_t
     valid = (seen + np.arange(1, k + 1)) >= min_ticks
     sma = np.where(valid, s / c, np.nan)
     cw1 = np.maximum(cw, 1)
-    sma4 = np.where(valid & (cw > 0), ((2 * u + cw) // (2 * cw1)) / 10000.0, np.nan)
+    size = np.abs(u)
+    mean = size // cw1 + (2 * (size % cw1) >= cw1)      # half away from zero, in whole units
+    sma4 = np.where(valid & (cw > 0), np.sign(u) * mean / 10000.0, np.nan)
     with np.errstate(divide="ignore", invalid="ignore"):
         dev = np.abs(prices - sma) / sma
     dev = np.where(np.isfinite(dev), dev, np.nan)
