@@ -269,7 +269,7 @@ def start_rolling_halo(ticks: DataFrame, out_path: str, tails_path: str, checkpo
     return _start(ticks.select(*TICK_COLUMNS), name, checkpoint, trigger, "append", body)
 
 
-def start_tick_jobs(ticks: DataFrame, root: str, trigger: dict | None = None) -> dict:
+def start_tick_jobs(ticks: DataFrame, root: str, trigger: dict | None = None, state: str = "keyed") -> dict:
     """The three original queries, concurrently, each named and checkpointed.
 
     raw_ticks (latest + history, every 3 s), window_aggregates (upsert, every
@@ -277,10 +277,18 @@ def start_tick_jobs(ticks: DataFrame, root: str, trigger: dict | None = None) ->
     publish of every tick (tick_channel, every 3 s). Alerts without a timestamp go
     to ``alert_rejects``. Each query reads the source on its own (independent
     triggers); ``trigger`` overrides all four.
+
+    ``state="keyed"`` holds latest price and history in the state store of raw_ticks, where a
+    batch writes only the symbols it touched; read them with ``read_tick_jobs``.
+    ``state="snapshot"`` rewrites all symbols as tables under ``latest`` and ``history`` each batch,
+    for readers without the state data source. A checkpoint of one form does not go on with the other.
     """
+    if state not in ("keyed", "snapshot"):
+        raise ValueError(f"state is keyed or snapshot, not {state!r}")
+    raw = dict(checkpoint=f"{root}/ckpt/raw_ticks", trigger=trigger or RAW_TRIGGER, name="raw_ticks")
     return {
-        "raw_ticks": start_tick_fanout(ticks, f"{root}/latest", f"{root}/history",
-                                       f"{root}/ckpt/raw_ticks", trigger or RAW_TRIGGER),
+        "raw_ticks": (start_tick_state(ticks, f"{root}/latest_changes", **raw) if state == "keyed"
+                      else start_tick_fanout(ticks, f"{root}/latest", f"{root}/history", **raw)),
         "window_aggregates": start_window_upsert(ticks, f"{root}/windows",
                                                  f"{root}/ckpt/windows",
                                                  trigger or WINDOW_TRIGGER),
@@ -292,6 +300,11 @@ def start_tick_jobs(ticks: DataFrame, root: str, trigger: dict | None = None) ->
     }
 
 
+def read_tick_jobs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """(latest, history) of ``start_tick_jobs`` with keyed state; empty before its first batch."""
+    return read_tick_state(spark, f"{root}/ckpt/raw_ticks")
+
+
 def await_any(spark: SparkSession, timeout_s: float | None = None,
               reset: bool = False) -> bool:
     """Block until any query ends (or the timeout passes).
