@@ -18,7 +18,8 @@ the set is empty and linked with nothing). Two documents link when
    gathered. Shingles with two classes are finished by that.
 4. Pairs are made distinct and verified once: the suffix filter (the sets' counts
    in ``PIVOTS`` hash ranges bound their Hamming distance), which moves no text,
-   then the exact intersection of the two texts' sets.
+   then the exact intersection of the two texts' sets. The texts are dealt by
+   class once, as a bucketed table, so no round of pairs moves them all again.
 5. Shingles with three or more classes go on while their classes lie in different
    components: the next 3, 12, 48, ... classes in order are paired with the later ones
    of other components, so every pair that could still join two components is
@@ -43,7 +44,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, rebatch, stored
+from .common import bucketed, frequent, partitions, rebatch, stored
 
 WORDS = 5
 SHARE = 75  # of 100
@@ -170,6 +171,13 @@ def classes_and_counts(src: DataFrame) -> DataFrame:
     return src.mapInPandas(run, "kind int, doc_id bigint, n bigint, key bigint")
 
 
+def most_frequent(met: DataFrame) -> np.ndarray:
+    """The most frequent shingles by rising frequency, at most ``HEAVY``."""
+    top, _ = frequent(stored(met.groupBy("key").agg(F.sum("n").alias("n")), "join-counts"), "n", HEAVY)
+    top = top.toPandas().sort_values(["n", "key"], ascending=[True, False])  # bounded by HEAVY
+    return top["key"].to_numpy(np.int64).view(np.uint64)
+
+
 def prefixes(src: DataFrame, heavy) -> DataFrame:
     """(shingle, node, place): place = size << 32 | position in the order. ``heavy``: a broadcast list by rising frequency."""
 
@@ -346,9 +354,7 @@ def similar_classes(src: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = src.sparkSession
     passed = stored(classes_and_counts(src), "join-classes")
     docs = passed.where("kind = 0").select("doc_id", "n", "key")
-    top = (passed.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
-           .orderBy(F.col("n").desc(), "key").limit(HEAVY).select("key").toPandas())  # bounded by HEAVY
-    heavy = spark.sparkContext.broadcast(top["key"].to_numpy(np.int64)[::-1].view(np.uint64))
+    heavy = spark.sparkContext.broadcast(most_frequent(passed.where("kind = 1")))
     met = stored(first_pairs(prefixes(src, heavy)), "join-met")
     pairs = stored(met.where("kind = 0").select("a", "b").distinct(), "join-pairs")
     open_rows = met.where("kind = 1").select("shingle", F.col("a").alias("node"), "place", "idx")
@@ -367,10 +373,14 @@ def similar_classes(src: DataFrame) -> tuple[DataFrame, DataFrame]:
             ranges = [r.tobytes() for r in counts_by_range(d, h, len(pdf))]
             yield pdf.assign(n=n, ranges=ranges)[key == pdf["key"].to_numpy()]
 
-    texts = stored(texts.mapInPandas(own_key, "key bigint, text string, n bigint, ranges binary"), "join-texts")
-    # equal sets of one id with other texts
-    again = texts.groupBy("key").count().where("count > 1").limit(1).count()
-    texts = stored(texts.dropDuplicates(["key"]), "join-texts") if again else texts
+    found = (texts.mapInPandas(own_key, "key bigint, text string, n bigint, ranges binary")
+             .repartition(partitions(src), "key").dropDuplicates(["key"]))  # equal sets of one id with other texts
+    with bucketed(found, "key", "join-texts") as texts:
+        return docs, linked_classes(pairs, open_rows, texts)
+
+
+def linked_classes(pairs: DataFrame, open_rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, label) of the linked classes, written; ``open_rows``: the shingles with three or more classes."""
     labels = components(stored(verified(pairs, texts), "join-edges"))
     lo = 1
     while True:
@@ -379,7 +389,7 @@ def similar_classes(src: DataFrame) -> tuple[DataFrame, DataFrame]:
                  .where(f"x <> y and z > {lo}").select("shingle"))
         rows = stored(rows.join(apart, "shingle", "left_semi"), "join-open")
         if rows.isEmpty():
-            return docs, labels
+            return labels
         heads = rows.where(f"idx >= {lo} and idx < {GROWTH * lo}").select(
             "shingle", F.col("node").alias("h_node"), F.col("place").alias("h_place"), F.col("idx").alias("h_idx"), F.col("label").alias("h_label"))
         na, nb = F.shiftright("place", 32), F.shiftright("h_place", 32)
