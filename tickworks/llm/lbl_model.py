@@ -16,7 +16,7 @@ round over every ``WARM``-th mini-batch brings the tasks close to one another; t
 second round uses all.
 
 Word counts cover all training documents; they are counted per task, then
-shuffled by word. The ``HEAD`` most frequent words (a bounded table) are looked up
+shuffled by word. The most frequent words, at most ``HEAD`` (a bounded table), are looked up
 in the tasks, so hot words are never shuffled; a document's other words are
 joined with the counts by word.
 
@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import empty_text, rebatch, stored
+from .common import empty_text, frequent, rebatch, stored
 
 FOLDS = 10
 CLASSES, HEAD = 1_022, 1 << 16
@@ -85,22 +85,8 @@ class Lbl:
         return sum(self.r[contexts[:, i]] * self.c[i] for i in range(CONTEXT))
 
     def log_probs(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural log-probability of each target; equal contexts are normalised once."""
-        code = contexts @ (len(self.r) ** np.arange(CONTEXT, dtype=np.int64))
-        _, at, of = np.unique(code, return_index=True, return_inverse=True)
-        unique = self.predicted(contexts[at])
-        norm = np.empty(len(at), np.float32)
-        for i in range(0, len(at), BLOCK):
-            logits = unique[i:i + BLOCK] @ self.q.T + self.b
-            top = logits.max(axis=1)
-            logits -= top[:, None]
-            np.exp(logits, out=logits)
-            norm[i:i + BLOCK] = top + np.log(logits.sum(axis=1))
-        out = np.empty(len(targets))
-        for i in range(0, len(targets), 1 << 17):
-            s = slice(i, i + (1 << 17))
-            out[s] = np.einsum("ij,ij->i", unique[of[s]], self.q[targets[s]]) + self.b[targets[s]] - norm[of[s]]
-        return out
+        """Natural log-probability of each target."""
+        return Scorer(self).log_probs(contexts, targets)
 
     def train(self, contexts: np.ndarray, targets: np.ndarray, state: dict, rng: np.random.Generator, every: int = 1) -> int:
         """One pass of noise-contrastive steps over (shuffled) tokens; returns the tokens used."""
@@ -130,6 +116,7 @@ class Lbl:
     def step(self, name: str, at: np.ndarray, grad: np.ndarray, state: dict) -> None:
         """Adagrad on the rows ``at``, whose gradients add up."""
         p = getattr(self, name)
+        at = at.astype(np.uint16 if len(p) <= 1 << 16 else np.int64)  # short integers are sorted by radix
         order = np.argsort(at, kind="stable")
         own = at[order]
         first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
@@ -140,6 +127,31 @@ class Lbl:
         p[rows] += RATE * g / np.sqrt(sums[rows])
 
 
+class Scorer:
+    """Log-probabilities of a trained model. The product of each position's scaled context vectors with all class
+    vectors is one matrix, so a logit is a sum of ``CONTEXT`` entries; a context is normalised once, and its norm
+    kept in a table over all contexts, (classes + 1) ^ ``CONTEXT`` numbers (4 MB)."""
+
+    def __init__(self, model: Lbl):
+        self.size = len(model.r)
+        self.logits = [(model.r * model.c[i]) @ model.q.T for i in range(CONTEXT)]
+        self.logits[0] += model.b
+        self.norm = np.full(self.size ** CONTEXT, np.nan, np.float32)
+
+    def log_probs(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
+        scale = self.size ** np.arange(CONTEXT, dtype=np.int64)
+        code = contexts @ scale
+        new = np.unique(code[np.isnan(self.norm[code])])
+        for i in range(0, len(new), BLOCK):
+            part = new[i:i + BLOCK]
+            block = sum(m[part // s % self.size] for m, s in zip(self.logits, scale))
+            top = block.max(axis=1)
+            block -= top[:, None]
+            np.exp(block, out=block)
+            self.norm[part] = top + np.log(block.sum(axis=1))
+        return sum(m[contexts[:, i], targets] for i, m in enumerate(self.logits)) - self.norm[code]
+
+
 def text_words(text: str) -> list[bytes]:
     """``bytes`` lower-cases A-Z only and splits at ASCII white space."""
     return text.encode("utf-8", "surrogatepass").lower().split()
@@ -209,7 +221,10 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     facts = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_docs = train.count()
     total, distinct = facts.n + n_docs, facts.v + (n_docs > 0)
-    head = counts.orderBy(F.col("c").desc(), "word").limit(HEAD).collect()  # bounded by HEAD
+    top, edge = frequent(counts, "c", HEAD)
+    head = sorted(top.collect(), key=lambda r: (-r.c, bytes(r.word)))  # bounded by HEAD
+    if len(head) < CLASSES:
+        head += edge.orderBy("word").limit(CLASSES - len(head)).collect()
     words = head[:CLASSES]
     rest_n, rest_v = facts.n - sum(r.c for r in words), facts.v - len(words)
     seen = np.array([*[r.c for r in words], n_docs, rest_n], np.float64) + 0.1
@@ -226,6 +241,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         index = {w: i for w, (i, _) in table.value.items()}
         c = np.array([0, *[c for _, c in table.value.values()]], np.float64)  # by index + 1
         log_c = np.log10(c + 0.1)
+        scorer = Scorer(model)
         for pdf in rebatch(frames, "text", BATCH_CHARS):
             classes_of, facts_of, tails = [], [], []
             for row, text in zip(pdf["row_id"], pdf["text"]):
@@ -239,7 +255,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                                  float(log_c[at[at >= 0] + 1].sum()) + end_log, float(log_c[at[other] + 1].sum())))
                 classes_of.append(np.where((at < 0) | other, model.rest, at))
             contexts, targets, doc = model.sequence(classes_of)
-            lp = np.bincount(doc, model.log_probs(contexts, targets), len(pdf)) / ln10
+            lp = np.bincount(doc, scorer.log_probs(contexts, targets), len(pdf)) / ln10
             f = pd.DataFrame(facts_of, columns=["n_tokens", "n_known", "n_tail", "n_rest", "base_log", "rest_log"])
             yield pd.DataFrame({"row_id": pdf["row_id"], "doc_id": pdf["doc_id"], "held_out": pdf["held_out"], **f, "lp": lp,
                                 "word": None, "k": 0})
