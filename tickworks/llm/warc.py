@@ -12,8 +12,9 @@ id elsewhere becomes a revisit record without payload. Grouping combines
 map-side, only digests that occur twice are joined back, and adaptive execution
 may split a hot one. Each task trains its dictionary on its first records (at
 most ``DICT_SAMPLES`` records of at most ``DICT_SAMPLE_BYTES`` each) and starts a
-new archive beyond ``ARCHIVE_BYTES``. Files are written under a name of the
-attempt and renamed, so lost executors leave no half archives.
+new archive beyond ``ARCHIVE_BYTES``. A file's name holds the
+attempt that wrote it, and only the names that successful attempts return are read, so
+lost executors and repeated tasks neither lose nor double a page.
 
 Nulls: null html is the empty payload, a null url is written as ``urn:none`` and
 read back as null; a null page id never is another's response, its record is a
@@ -215,7 +216,11 @@ class ArchiveWriter:
 # -- Spark ----------------------------------------------------------------
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str = "page_id",
                    url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Write one record a page under ``path``; the result lists (file, records), to be run once."""
+    """Write one record a page under ``path``; the result lists (file, records), to be run once.
+
+    The list holds the archives of the attempts that succeeded. Those of lost or repeated
+    attempts stay beside them under other names: read the listed ones only.
+    """
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("payload"))
     keyed = rows.withColumn("sha1", F.sha1("payload"))
@@ -232,11 +237,11 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str
         writer, records, k = ArchiveWriter(), 0, 0
 
         def close() -> pd.DataFrame:
-            name = f"part-{task.partitionId():06d}-{k:05d}.warc.zst"
+            # each attempt has names of its own, as another one may cut its records elsewhere
+            name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{k:05d}.warc.zst"
             fs.create_dir(root, recursive=True)
-            with fs.open_output_stream(f"{root}/_{name}.{task.taskAttemptId()}") as f:
+            with fs.open_output_stream(f"{root}/{name}", compression=None) as f:
                 f.write(writer.bytes())
-            fs.move(f"{root}/_{name}.{task.taskAttemptId()}", f"{root}/{name}")
             return pd.DataFrame({"file": [name], "records": [records]})
 
         for pdf in frames:
@@ -260,7 +265,7 @@ def read_archives(spark: SparkSession, path: str, files: list[str], with_payload
            + ", payload binary" * with_payload)
     if not files:
         return spark.createDataFrame([], out)
-    listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(len(files), "file")
+    listed = spark.createDataFrame(list(enumerate(files)), "slot int, file string").repartitionById(len(files), F.col("slot"))
 
     def page(urn: str | None) -> int | None:
         number = (urn or "").removeprefix("<urn:page:").removesuffix(">")
