@@ -332,7 +332,8 @@ def read_token_files(spark: SparkSession, path: str, manifest: list[tuple[str, i
     out = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     if not rows:
         return spark.createDataFrame([], out)
-    files = spark.createDataFrame(rows, "file string, base bigint").repartition(len(rows), "file")
+    files = (spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "slot int, file string, base bigint")
+             .repartitionById(len(rows), F.col("slot")))  # a task a file
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
