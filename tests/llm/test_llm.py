@@ -77,6 +77,23 @@ def test_warc_round_trip(spark):
     assert warc.archived_pages(df.limit(0)).count() == 0
 
 
+def test_warc_attempts_never_share_a_name(spark, tmp_path, monkeypatch):
+    """A second attempt that meets the rows in another order cuts them elsewhere and leaves the first one's archives alone."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    monkeypatch.setattr(warc, "DICT_SAMPLES", 4)
+    rng = random.Random(21)
+    pages = [(i, f"u{i}", prose(rng, 300)) for i in range(120)]
+    listed = []
+    for own in (pages, pages[::-1]):
+        df = spark.createDataFrame(own, "page_id bigint, url string, html string").coalesce(1)
+        listed.append(sorted(r.file for r in warc.write_archives(df, str(tmp_path)).collect()))
+    assert all(len(files) > 1 for files in listed) and not set(listed[0]) & set(listed[1])
+    for files in listed:
+        got = warc.read_archives(spark, str(tmp_path), files)
+        assert got.rdd.getNumPartitions() == len(files)
+        assert sorted((r.page_id, r.payload_bytes) for r in got.collect()) == [(i, len(h)) for i, _, h in pages]
+
+
 def test_warc_reader_rejects_damage():
     writer = warc.ArchiveWriter()
     raws = [warc.record(i, "u", b"body %d" % i * 50, warc.sha1_base32(b"body %d" % i * 50), None) for i in range(20)]
@@ -394,6 +411,56 @@ def test_lbl_learns_context_and_is_normalised():
     assert model.log_probs(ctx, w).mean() > before + 0.3
     total = sum(np.exp(model.log_probs(ctx[:50], np.full(50, k))) for k in range(22))
     assert np.abs(total - 1).max() < 1e-4
+    scorer = lbl_model.Scorer(model)
+    for part in (slice(0, 300), slice(100, 900)):  # norms are kept between calls
+        for c, t, got in zip(ctx[part], w[part], scorer.log_probs(ctx[part], w[part])):
+            h = sum(model.r[c[i]].astype(float) * model.c[i] for i in range(lbl_model.CONTEXT))
+            logits = model.q.astype(float) @ h + model.b
+            assert abs(logits[t] - math.log(np.exp(logits).sum()) - got) < 1e-4
+
+
+def test_lbl_score_is_the_sum_over_tokens(spark):
+    """``score`` of a text against the plain sum of its tokens' log-probabilities under the same model."""
+    rng = random.Random(5)
+    items = [(i, prose(rng, 40) + (" rare%d" % i) * (i % 3)) for i in range(60)]
+    made = []
+
+    class Kept(lbl_model.Lbl):
+        def __init__(self, *args, **kwargs):
+            super().__init__(*args, **kwargs)
+            made.append(self)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(lbl_model, "Lbl", Kept)
+        m.setattr(lbl_model, "CLASSES", 20)
+        m.setattr(lbl_model, "train_round", lambda texts, classes, model, every: model.flat() * np.float32(0.9))
+        got = {r.doc_id: r.score for r in lbl_model.scores(spark.createDataFrame(items, "doc_id bigint, text string")).collect()}
+    model = made[0]
+    counts = Counter(x for i, t in items if zlib.crc32(str(i).encode()) % 10 for x in t.encode().lower().split())
+    words = sorted(counts, key=lambda x: (-counts[x], x))
+    index, rest_n = {x: i for i, x in enumerate(words[:20])}, sum(counts[x] for x in words[20:])
+    for i, t in items:
+        before, want = [model.start] * lbl_model.CONTEXT, 0.0
+        for x in [*t.encode().lower().split(), None]:
+            k = model.end if x is None else index.get(x, model.rest)
+            logits = model.q.astype(float) @ sum(model.r[before[-1 - j]].astype(float) * model.c[j] for j in range(lbl_model.CONTEXT)) + model.b
+            want += (logits[k] - math.log(np.exp(logits).sum())) / math.log(10)
+            if k == model.rest:
+                want += math.log10((counts[x] + 0.1) / (rest_n + 0.1 * (len(words) - 20 + 1)))
+            before.append(k)
+        assert abs(got[i] - want) < 1e-3
+
+
+def test_frequent(spark):
+    from tickworks.llm.common import frequent
+    counts = [1] * 50 + [2] * 20 + [3] * 5 + [5_000, 5_001, 90_000]
+    df = spark.createDataFrame(list(enumerate(counts)), "key bigint, n bigint")
+    for most, want, edge in ((100, len(counts), 0), (30, 28, 50), (28, 28, 50), (10, 8, 20), (2, 1, 2), (0, 0, 1)):
+        head, rest = frequent(df, "n", most)
+        assert sorted(r.n for r in head.collect()) == sorted(counts)[len(counts) - want:]
+        assert rest.count() == edge
+    head, rest = frequent(df.limit(0), "n", 5)
+    assert head.count() == rest.count() == 0
 
 
 # -- 8 -----------------------------------------------------------------------
@@ -483,6 +550,19 @@ def test_ngram_join_chains_and_shared_passages(spark):
     assert Counter(tuple(r) for r in ngram_join.joined(df).collect()) == brute_components(items)
 
 
+def test_ngram_join_tells_words_apart_that_agree_modulo_powers_of_two(spark):
+    """Thue-Morse words agree in any polynomial hash modulo 2^64."""
+    bits = [bin(i).count("1") % 2 for i in range(2_048)]
+    items = []
+    for n in (1_024, 2_048):
+        for k, letters in enumerate(("ab", "ba")):
+            word = "".join(letters[b] for b in bits[:n])
+            items += [(n + k, f"{word} c d e"), (n + 10 + k, " ".join(["x", word] * 30))]
+    df = spark.createDataFrame(items, "doc_id bigint, text string")
+    got = Counter(tuple(r) for r in ngram_join.joined(df).collect())
+    assert got == brute_components(items) and all(c == i for i, _, c in got)
+
+
 # -- 10 ----------------------------------------------------------------------
 def test_token_files(rows, docs, empty):
     from tokenizers import Tokenizer

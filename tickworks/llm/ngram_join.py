@@ -57,6 +57,9 @@ RNG = np.random.default_rng(9)
 BYTE = RNG.integers(0, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = int(RNG.integers(1 << 60, 1 << 62)) * 2 + 1
 PLACE = RNG.integers(0, 1 << 63, WORDS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+PRIME = (1 << 31) - 1
+BYTE_31 = RNG.integers(1, PRIME, 256).astype(np.uint64)
+BASE_31 = int(RNG.integers(1 << 29, 1 << 30))
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 
@@ -73,9 +76,27 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def residues(x: np.ndarray) -> np.ndarray:
+    """Below 2^31 + 1 and equal to ``x`` < 2^62 modulo ``PRIME``."""
+    for _ in range(2):
+        x = (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+    return x
+
+
+def prime_powers(base: int, n: int) -> np.ndarray:
+    """Powers modulo ``PRIME``, by doubling."""
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), PRIME)) % np.uint64(PRIME)])
+    return out[:n]
+
+
 class Shingler:
+    """Hashes words and shingles. A word's hash mixes its length with two polynomials of its bytes, one modulo
+    2^64 and one modulo a prime: words built to agree in the first for any base differ in the second."""
+
     def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
+        self.up = self.down = self.up_31 = self.down_31 = np.ones(1, np.uint64)
 
     def words(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(document of each word, hash of each word) over all texts."""
@@ -86,9 +107,15 @@ class Shingler:
         if len(buf) > len(self.up):
             self.up = powers(BASE, len(buf))
             self.down = powers(pow(BASE, -1, 1 << 64), len(buf))
+            self.up_31 = prime_powers(BASE_31, len(buf))
+            self.down_31 = prime_powers(pow(BASE_31, -1, PRIME), len(buf))
+        low = LOWER[buf]
         sums = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(BYTE[LOWER[buf]] * self.up[:len(buf)], out=sums[1:])
+        np.cumsum(BYTE[low] * self.up[:len(buf)], out=sums[1:])
         h = mixed((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+        np.cumsum(residues(BYTE_31[low] * self.up_31[:len(buf)]), out=sums[1:])
+        second = (sums[ends] - sums[starts]) % np.uint64(PRIME) * self.down_31[starts] % np.uint64(PRIME)
+        h = mixed(h + second * np.uint64(0x9E37_79B9_7F4A_7C15))
         first = 1 + np.concatenate([[0], np.cumsum([len(r) + 1 for r in raws])[:-1]]) if raws else np.zeros(0, np.int64)
         return np.searchsorted(first, starts, side="right") - 1, h
 
