@@ -375,6 +375,30 @@ def test_line_templates(spark, docs, empty):
     assert line_templates.document_lines(empty).count() == 0
 
 
+def test_line_templates_scattered_fields_and_short_lines(spark):
+    """Any two fields of a long line may vary; short lines go only when chance does not explain them."""
+    rng = random.Random(18)
+    bases = [(prose(rng, 24).split(), *rng.sample(range(2, 24), 2)) for _ in range(5)]
+    texts = {}
+    for i in range(40):
+        base, a, b = bases[i % 5]
+        line = list(base)
+        line[a], line[b] = f"name{chr(97 + i % 26)}x", "p" * (i + 1)
+        own = prose(rng, 30)
+        # 'Only one.' stands in two documents; 'ta ri' style pairs are what chance gives of these words
+        short = [rng.choice(WORDS[:4]) + " " + rng.choice(WORDS[:4]) for _ in range(3)]
+        notice = ["All rights reserved."] if i % 4 == 0 else []
+        texts[i] = "\n".join([" ".join(line), own, *short, *notice, *(["Only one."] if i < 2 else []), "12 34"])
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: r.text.split("\n") for r in line_templates.document_lines(df).collect()}
+    for i, text in texts.items():
+        gone = {0} if i >= 5 else set()
+        want = [x for n, x in enumerate(text.split("\n")) if n not in gone and (x != "All rights reserved." or i == 0)]
+        assert got[i] == want
+    plan = line_templates.document_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
 # -- 7 -----------------------------------------------------------------------
 def test_lbl_scores(spark, rows, docs, empty):
     got = lbl_model.scores(docs).collect()

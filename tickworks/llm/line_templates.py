@@ -2,18 +2,26 @@
 
 Every line walks a tree of fixed depth: its token count, then its ``DEPTH``
 leading tokens. Tokens with a digit are variable fields and stand as ``<*>``.
-In the leaf, a line belongs to templates that leave one part open: the tokens
-after the leading ones are cut into ``PARTS`` runs, and each template has one
-run replaced by ``<*>``. Two lines with the same count and leading tokens share
-a template when they differ inside one run only, so a template keeps at least
-about three quarters of its tokens constant. Short lines (under ``OPEN_TOKENS``
-tokens) only have the template without an open run, and lines with under
-``LEAST_TOKENS`` constant tokens have none, as they recur by chance.
-
-A template that occurs in two or more documents recurs. Its lines stay
-in its first document (smallest id, then smallest text hash) and are dropped
-from all others; ``keep_first=False`` drops them everywhere. Repeats inside one
-document are left alone. Lines are parted by ``\\n``; dropped lines go with one
+In the leaf, the tokens after the leading ones are cut into ``PARTS`` runs, and
+a line belongs to one template for each pair of runs, which stand open as ``<*>``.
+So lines that differ in any two fields, wherever these are, share a template;
+more fields may lie in the two runs. Lines under ``OPEN_TOKENS`` constant tokens, or with so
+many variable ones that an open pair might leave under ``LEAST_TOKENS`` constant,
+only have the template without an open run.
+
+A template that occurs in two or more documents recurs. One with under
+``LEAST_TOKENS`` constant tokens must stand in ``SHORT_DOCS`` documents or more, and more often than chance makes it:
+
+- with two or more constant tokens: in one document of ``SHORT_SHARE`` or more, and in ``LIFT``
+  times as many as expected of the other short lines of its token count (and one more) if their tokens were
+  drawn one by one, place by place;
+- with one: in one document of ``COMMON_SHARE`` or more, as nothing else tells
+  a heading from a word that happens to stand alone;
+- with none (only variable fields): never.
+
+Lines of a recurring template stay in its first document (smallest id, then smallest text hash)
+and are dropped from all others; ``keep_first=False`` drops them everywhere. Repeats
+inside one document are left alone. Lines are parted by ``\n``; dropped lines go with one
 separator, the others keep their bytes and order.
 
 Hot templates: a document counts once per template before any exchange of rows
@@ -28,6 +36,8 @@ each other's sake. Empty texts stay. Other columns are carried through by
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,31 +45,70 @@ from .common import stored
 
 DEPTH, PARTS = 2, 4
 LEAST_TOKENS, OPEN_TOKENS = 5, 12
+SHORT_DOCS, SHORT_SHARE, LIFT, COMMON_SHARE = 3, 10_000, 8, 20
+
+
+def hashes(*parts: Column) -> Column:
+    return F.struct(F.xxhash64(*parts).alias("h"), F.hash(*parts).alias("g"))
 
 
-def line_keys(line: Column) -> Column:
-    """Two hashes (96 bits) of each template of one line."""
-    variable = F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ \\t\\r]*[0-9][^ \\t\\r]*", "<*>")).otherwise(line)
+def closed_key(m: Column) -> Column:
+    """Key of the template without an open run: two hashes, 96 bits."""
+    return hashes(F.size(m), F.lit(-1), m)
 
-    def key(*parts: Column) -> Column:
-        return F.struct(F.xxhash64(*parts).alias("h"), F.hash(*parts).alias("g"))
+
+def line_templates(line: Column) -> Column:
+    """(keys, short) of one line: the hashes of its templates; the tokens of a line that needs to beat chance."""
+    variable = F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ \t\r]*[0-9][^ \t\r]*", "<*>")).otherwise(line)
+    array_of_keys = "array<struct<h:bigint,g:int>>"
 
     def of(m: Column) -> Column:
         n = F.size(m)
         constant = F.when(F.array_contains(m, "<*>"), F.size(F.array_remove(m, "<*>"))).otherwise(n)
 
-        def open_run(k: int) -> Column:
-            a = DEPTH + F.floor((n - DEPTH) * k / PARTS).cast("int")
-            b = DEPTH + F.floor((n - DEPTH) * (k + 1) / PARTS).cast("int")
-            return key(n, F.lit(k), F.slice(m, F.lit(1), a), F.slice(m, b + 1, n))
-
-        none = F.array().cast("array<struct<h:bigint,g:int>>")
-        return (F.when(constant < LEAST_TOKENS, none)
-                .when(constant < OPEN_TOKENS, F.array(key(n, F.lit(-1), m)))
-                .otherwise(F.array(*map(open_run, range(PARTS)))))
-
-    # one-element transform: the tokens are computed once a line
-    return F.transform(F.array(F.array_remove(F.split(variable, "[ \\t\\r]+"), "")), of)[0]
+        def bound(k: int) -> Column:
+            return DEPTH + F.floor((n - DEPTH) * k / PARTS).cast("int")
+
+        # each run is hashed once; the pairs combine the hashes of the runs that stay
+        runs = F.array(hashes(n, F.slice(m, 1, DEPTH)),
+                       *[hashes(F.slice(m, bound(k) + 1, bound(k + 1) - bound(k))) for k in range(PARTS)])
+
+        def opened(r: Column) -> Column:
+            return F.array(*[hashes(F.lit(PARTS * a + b), r[0], *[r[k + 1] for k in range(PARTS) if k not in (a, b)])
+                             for a, b in combinations(range(PARTS), 2)])
+
+        # a one-element transform computes its element once
+        pairs = F.flatten(F.transform(F.array(runs), opened))
+        open_size = 2 * F.ceil((n - DEPTH) / PARTS)
+        keys = (F.when(constant < 1, F.array().cast(array_of_keys))
+                .when((constant < OPEN_TOKENS) | (constant - open_size < LEAST_TOKENS), F.array(closed_key(m)))
+                .otherwise(pairs))
+        return F.struct(keys.alias("keys"), F.when((constant > 0) & (constant < LEAST_TOKENS), m).alias("short"))
+
+    return F.transform(F.array(F.array_remove(F.split(variable, "[ \t\r]+"), "")), of)[0]
+
+
+def chance_templates(lines: DataFrame) -> DataFrame:
+    """(h, g) of the short templates that two documents or more hold and chance explains.
+
+    Works on distinct short lines and their counts of documents.
+    """
+    n_docs = lines.count()
+    seen = (lines.select("_doc", "_text", F.explode(F.array_distinct("_lines.short")).alias("m")).where("m is not null")
+            .groupBy("m").agg(F.count_distinct(F.struct("_doc", "_text")).alias("docs")))
+    seen = stored(seen.select("m", "docs", F.size("m").alias("n")), "line-short")
+    of_count = seen.groupBy("n").agg(F.sum("docs").alias("of_n"))
+    at = seen.select("m", "docs", "n", F.posexplode("m").alias("place", "token")).where("token <> '<*>'")
+    of_token = at.groupBy("n", "place", "token").agg(F.sum("docs").alias("of_token"))
+    others = F.col("of_n") - F.col("docs") + 1
+    share = (F.col("of_token") - F.col("docs") + 1) / others
+    judged = (at.where("docs > 1").join(of_token, ["n", "place", "token"]).join(of_count, "n")
+              .groupBy("m").agg(F.first("docs").alias("docs"), F.first(others).alias("others"), F.count("*").alias("constant"),
+                                F.sum(F.ln(share)).alias("ln_share")))
+    docs = F.col("docs")
+    beyond = (docs >= SHORT_DOCS) & F.when(F.col("constant") == 1, docs * COMMON_SHARE >= n_docs).otherwise(
+        (docs * SHORT_SHARE >= n_docs) & (docs >= LIFT * F.col("others") * F.exp("ln_share")))
+    return judged.where(~beyond).select(closed_key(F.col("m")).alias("key")).select("key.h", "key.g")
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -67,17 +116,17 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(_doc, _text, _drop): by document, places (from 0) of the lines to drop."""
     rows = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("_doc"), F.xxhash64(text_col).alias("_text"), F.col(text_col).alias("_body"))
-    lines = stored(rows.select("_doc", "_text", F.transform(F.split("_body", "\\n", -1), line_keys).alias("_keys")), "line-keys")
+    lines = stored(rows.select("_doc", "_text", F.transform(F.split("_body", "\n", -1), line_templates).alias("_lines")), "line-keys")
     owner = F.struct(F.col("_doc").isNull().alias("no_id"), F.col("_doc").alias("id"), F.col("_text").alias("text"))
-    found = (lines.select(owner.alias("owner"), F.explode(F.array_distinct(F.flatten("_keys"))).alias("key")))
+    found = (lines.select(owner.alias("owner"), F.explode(F.array_distinct(F.flatten("_lines.keys"))).alias("key")))
     # a template is in two documents when its first and last differ
     heads = (found.groupBy("key.h", "key.g").agg(F.min("owner").alias("first"), F.max("owner").alias("last"))
-             .where("first <> last"))
-    at = lines.select("_doc", "_text", F.posexplode("_keys").alias("_line", "_line_keys")).select(
+             .where("first <> last").join(chance_templates(lines), ["h", "g"], "left_anti"))
+    at = lines.select("_doc", "_text", F.posexplode("_lines.keys").alias("_line", "_line_keys")).select(
         "_doc", "_text", "_line", F.explode("_line_keys").alias("key"))
     hit = at.join(heads, (F.col("key.h") == F.col("h")) & (F.col("key.g") == F.col("g")))
     if keep_first:
-        hit = hit.where(~F.col("first").eqNullSafe(F.struct(F.col("_doc").isNull().alias("no_id"), F.col("_doc").alias("id"), F.col("_text").alias("text"))))
+        hit = hit.where(~F.col("first").eqNullSafe(owner))
     return hit.groupBy("_doc", "_text").agg(F.collect_set("_line").alias("_drop"))
 
 
@@ -86,9 +135,11 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with the text column rebuilt from the lines that stay, plus n_lines and n_dropped."""
     drops = stored(recurring_lines(docs, id_col, text_col, keep_first), "line-drops").select(
         F.col("_doc").alias("_drop_doc"), F.col("_text").alias("_drop_text"), "_drop")
-    body = F.split(F.col(text_col), "\\n", -1)
-    kept = F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(F.array_join(
-        F.filter(body, lambda _, i: ~F.array_contains("_drop", i)), "\n"))
+    body = F.split(F.col(text_col), "\n", -1)
+    # array_except goes by a hash set and keeps order: linear in the lines of a text
+    places = F.array_except(F.sequence(F.lit(0), F.size(body) - 1), "_drop")
+    rebuilt = F.transform(F.array(body), lambda b: F.array_join(F.transform(places, lambda i: b[i]), "\n"))[0]
+    kept = F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(rebuilt)
     joined = docs.join(drops, F.col(id_col).eqNullSafe(F.col("_drop_doc"))
                        & F.xxhash64(text_col).eqNullSafe(F.col("_drop_text")) & F.col(text_col).isNotNull(), "left")
     others = [F.col(f"`{c}`") if c != text_col else kept.alias(text_col) for c in docs.columns]
@@ -116,14 +167,35 @@ masked AS (
     lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS m FROM one),
 sized AS (
   SELECT *, len(m) AS n, len(list_filter(m, lambda t: t <> '<*>')) AS c FROM masked),
+may AS (
+  SELECT *, c >= {OPEN_TOKENS} AND c - 2 * CAST(ceil((n - {DEPTH}) / {PARTS}) AS BIGINT) >= {LEAST_TOKENS} AS may_open
+  FROM sized WHERE c > 0),
+runs AS (
+  SELECT doc_id, place, n, m[1:{DEPTH}] AS lead, list_transform(range({PARTS}), lambda k: array_to_string(
+    m[{DEPTH} + (n - {DEPTH}) * k // {PARTS} + 1:{DEPTH} + (n - {DEPTH}) * (k + 1) // {PARTS}], ' ')) AS r
+  FROM may WHERE may_open),
 keys AS (
-  SELECT doc_id, text, place, k,
-    CASE WHEN n < {OPEN_TOKENS} OR c < {OPEN_TOKENS} THEN n || ' - ' || array_to_string(m, ' ')
-    ELSE n || ' ' || k || ' ' || array_to_string(m[1:{DEPTH} + (n - {DEPTH}) * k // {PARTS}], ' ') || ' <*> ' ||
-         array_to_string(m[{DEPTH} + (n - {DEPTH}) * (k + 1) // {PARTS} + 1:n], ' ') END AS tmpl
-  FROM sized, range({PARTS}) r(k)
-  WHERE c >= {LEAST_TOKENS} AND (k = 0 OR (n >= {OPEN_TOKENS} AND c >= {OPEN_TOKENS}))),
-heads AS (SELECT tmpl, min(doc_id) AS first FROM keys GROUP BY tmpl HAVING count(DISTINCT doc_id) >= 2),
+  SELECT doc_id, place, n || ' - ' || array_to_string(m, ' ') AS tmpl FROM may WHERE NOT may_open
+  UNION ALL
+  SELECT doc_id, place, n || ' ' || a.k || b.k || ' ' || array_to_string(lead, ' ') || chr(10) || array_to_string(
+    list_transform(range({PARTS}), lambda k: CASE WHEN k IN (a.k, b.k) THEN '<*>' ELSE r[k + 1] END), chr(10))
+  FROM runs, range({PARTS}) a(k), range({PARTS}) b(k) WHERE a.k < b.k),
+short AS (
+  SELECT m, any_value(n) AS n, any_value(c) AS c, count(DISTINCT doc_id) AS docs FROM may WHERE c < {LEAST_TOKENS} GROUP BY m),
+of_count AS (SELECT n, sum(docs) AS of_n FROM short GROUP BY n),
+spots AS (SELECT m, n, docs, unnest(m) AS token, unnest(range(n)) AS at_place FROM short),
+of_token AS (SELECT n, at_place, token, sum(docs) AS of_token FROM spots GROUP BY n, at_place, token),
+likely AS (
+  SELECT a.m, sum(ln((t.of_token - a.docs + 1) / (o.of_n - a.docs + 1))) AS ln_share
+  FROM spots a JOIN of_token t USING (n, at_place, token) JOIN of_count o USING (n) WHERE token <> '<*>' GROUP BY a.m),
+chance AS (
+  SELECT s.n || ' - ' || array_to_string(s.m, ' ') AS tmpl
+  FROM short s JOIN likely USING (m) JOIN of_count USING (n), (SELECT count(text) AS n_docs FROM documents) d
+  WHERE s.docs < {SHORT_DOCS} OR NOT CASE WHEN s.c = 1 THEN s.docs * {COMMON_SHARE} >= n_docs
+    ELSE s.docs * {SHORT_SHARE} >= n_docs AND s.docs >= {LIFT} * (of_n - s.docs + 1) * exp(ln_share) END),
+heads AS (
+  SELECT tmpl, min(doc_id) AS first FROM keys WHERE tmpl NOT IN (SELECT tmpl FROM chance)
+  GROUP BY tmpl HAVING count(DISTINCT doc_id) >= 2),
 hits AS (SELECT DISTINCT doc_id, place FROM keys JOIN heads USING (tmpl) WHERE doc_id <> first),
 kept AS (
   SELECT o.doc_id, string_agg(o.line, chr(10) ORDER BY o.place) AS text
