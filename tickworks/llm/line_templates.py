@@ -25,7 +25,7 @@ inside one document are left alone. Lines are parted by ``\n``; dropped lines go
 separator, the others keep their bytes and order.
 
 Hot templates: a document counts once per template before any exchange of rows
-(``array_distinct``), counts combine map-side, and only templates that recur are
+(first and last combine map-side), and only templates that recur are
 joined back, a join that adaptive execution may split.
 
 Nulls: a null text has no lines and stays null. A null id sorts last as owner.
@@ -57,10 +57,13 @@ def closed_key(m: Column) -> Column:
     return hashes(F.size(m), F.lit(-1), m)
 
 
-def line_templates(line: Column) -> Column:
-    """(keys, short) of one line: the hashes of its templates; the tokens of a line that needs to beat chance."""
+def line_marks(line: Column) -> Column:
+    """(marks, short) of one line: what its keys are made of, see ``keys_of``; the tokens of a line that needs to beat chance.
+
+    Marks are one hash of the token count and leading tokens and one of each run; or both
+    hashes of the key, if the line has no open template; or none.
+    """
     variable = F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ \t\r]*[0-9][^ \t\r]*", "<*>")).otherwise(line)
-    array_of_keys = "array<struct<h:bigint,g:int>>"
 
     def of(m: Column) -> Column:
         n = F.size(m)
@@ -69,25 +72,28 @@ def line_templates(line: Column) -> Column:
         def bound(k: int) -> Column:
             return DEPTH + F.floor((n - DEPTH) * k / PARTS).cast("int")
 
-        # each run is hashed once; the pairs combine the hashes of the runs that stay
-        runs = F.array(hashes(n, F.slice(m, 1, DEPTH)),
-                       *[hashes(F.slice(m, bound(k) + 1, bound(k + 1) - bound(k))) for k in range(PARTS)])
-
-        def opened(r: Column) -> Column:
-            return F.array(*[hashes(F.lit(PARTS * a + b), r[0], *[r[k + 1] for k in range(PARTS) if k not in (a, b)])
-                             for a, b in combinations(range(PARTS), 2)])
-
-        # a one-element transform computes its element once
-        pairs = F.flatten(F.transform(F.array(runs), opened))
+        closed = closed_key(m)
         open_size = 2 * F.ceil((n - DEPTH) / PARTS)
-        keys = (F.when(constant < 1, F.array().cast(array_of_keys))
-                .when((constant < OPEN_TOKENS) | (constant - open_size < LEAST_TOKENS), F.array(closed_key(m)))
-                .otherwise(pairs))
-        return F.struct(keys.alias("keys"), F.when((constant > 0) & (constant < LEAST_TOKENS), m).alias("short"))
-
+        marks = (F.when(constant < 1, F.array().cast("array<bigint>"))
+                 .when((constant < OPEN_TOKENS) | (constant - open_size < LEAST_TOKENS),
+                       F.array(closed["h"], closed["g"].cast("bigint")))
+                 .otherwise(F.array(F.xxhash64(n, F.slice(m, 1, DEPTH)),
+                                    *[F.xxhash64(F.slice(m, bound(k) + 1, bound(k + 1) - bound(k))) for k in range(PARTS)])))
+        return F.struct(marks.alias("marks"), F.when((constant > 0) & (constant < LEAST_TOKENS), m).alias("short"))
+
+    # a one-element transform computes the tokens once
     return F.transform(F.array(F.array_remove(F.split(variable, "[ \t\r]+"), "")), of)[0]
 
 
+def keys_of(marks: Column) -> Column:
+    """The keys of a line's templates: one for each pair of open runs, or the one without."""
+    pairs = [hashes(F.lit(PARTS * a + b), marks[0], *[marks[k + 1] for k in range(PARTS) if k not in (a, b)])
+             for a, b in combinations(range(PARTS), 2)]
+    return (F.when(F.size(marks) == PARTS + 1, F.array(*pairs))
+            .when(F.size(marks) == 2, F.array(F.struct(marks[0].alias("h"), marks[1].cast("int").alias("g"))))
+            .otherwise(F.array().cast("array<struct<h:bigint,g:int>>")))
+
+
 def chance_templates(lines: DataFrame) -> DataFrame:
     """(h, g) of the short templates that two documents or more hold and chance explains.
 
@@ -116,15 +122,18 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(_doc, _text, _drop): by document, places (from 0) of the lines to drop."""
     rows = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("_doc"), F.xxhash64(text_col).alias("_text"), F.col(text_col).alias("_body"))
-    lines = stored(rows.select("_doc", "_text", F.transform(F.split("_body", "\n", -1), line_templates).alias("_lines")), "line-keys")
+    lines = stored(rows.select(F.monotonically_increasing_id().alias("_row"), "_doc", "_text",
+                               F.transform(F.split("_body", "\n", -1), line_marks).alias("_lines")), "line-marks")
     owner = F.struct(F.col("_doc").isNull().alias("no_id"), F.col("_doc").alias("id"), F.col("_text").alias("text"))
-    found = (lines.select(owner.alias("owner"), F.explode(F.array_distinct(F.flatten("_lines.keys"))).alias("key")))
+    at = (lines.select("_row", "_doc", "_text", F.posexplode("_lines.marks").alias("_line", "_marks"))
+          .select("_row", "_doc", "_text", "_line", F.explode(keys_of(F.col("_marks"))).alias("key"))
+          .select("_row", "_doc", "_text", "_line", "key.h", "key.g"))
     # a template is in two documents when its first and last differ
-    heads = (found.groupBy("key.h", "key.g").agg(F.min("owner").alias("first"), F.max("owner").alias("last"))
+    heads = (at.groupBy("h", "g").agg(F.min(owner).alias("first"), F.max(owner).alias("last"))
              .where("first <> last").join(chance_templates(lines), ["h", "g"], "left_anti"))
-    at = lines.select("_doc", "_text", F.posexplode("_lines.keys").alias("_line", "_line_keys")).select(
-        "_doc", "_text", "_line", F.explode("_line_keys").alias("key"))
-    hit = at.join(heads, (F.col("key.h") == F.col("h")) & (F.col("key.g") == F.col("g")))
+    # rows travel by number; their ids and text hashes are looked up for the lines that recur only
+    hit = at.select("_row", "_line", "h", "g").join(heads, ["h", "g"]).select("_row", "_line", "first")
+    hit = hit.join(lines.select("_row", "_doc", "_text"), "_row")
     if keep_first:
         hit = hit.where(~F.col("first").eqNullSafe(owner))
     return hit.groupBy("_doc", "_text").agg(F.collect_set("_line").alias("_drop"))
