@@ -128,9 +128,11 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     at = (lines.select("_row", "_doc", "_text", F.posexplode("_lines.marks").alias("_line", "_marks"))
           .select("_row", "_doc", "_text", "_line", F.explode(keys_of(F.col("_marks"))).alias("key"))
           .select("_row", "_doc", "_text", "_line", "key.h", "key.g"))
-    # a template is in two documents when its first and last differ
-    heads = (at.groupBy("h", "g").agg(F.min(owner).alias("first"), F.max(owner).alias("last"))
-             .where("first <> last").join(chance_templates(lines), ["h", "g"], "left_anti"))
+    # a template is in two documents when its first and last differ; where the first keeps its lines,
+    # one that repeats inside a document drops nothing, so a count will do, which is less to move
+    heads = at.groupBy("h", "g").agg(F.min(owner).alias("first"),
+                                     (F.count("*") > 1 if keep_first else F.min(owner) != F.max(owner)).alias("recurs"))
+    heads = heads.where("recurs").drop("recurs").join(chance_templates(lines), ["h", "g"], "left_anti")
     # rows travel by number; their ids and text hashes are looked up for the lines that recur only
     hit = at.select("_row", "_line", "h", "g").join(heads, ["h", "g"]).select("_row", "_line", "first")
     hit = hit.join(lines.select("_row", "_doc", "_text"), "_row")
