@@ -370,6 +370,8 @@ def test_line_templates(spark, docs, empty):
     got = line_templates.document_lines(df).collect()
     want = dict(texts) | {2: f"{unique[1]}\nok", 3: unique[2], 5: ""}
     assert Counter((r.doc_id, r.text) for r in got) == Counter([*want.items(), (2, want[2])])
+    everywhere = {r.doc_id: r.text for r in line_templates.drop_recurring_lines(df, keep_first=False).collect()}
+    assert everywhere == want | {1: f"{unique[0]}\nok", 4: unique[3]}  # the repeated row 2 is no second document
     full = line_templates.drop_recurring_lines(docs)
     assert full.count() == docs.count() and full.columns[:len(docs.columns)] == docs.columns
     assert line_templates.document_lines(empty).count() == 0
