@@ -563,6 +563,21 @@ def test_ngram_join(spark, rows, docs, empty):
     assert ids[12] == ids[13] == 0 and ids[0] == ids[5] == 1
 
 
+def test_one_of_each_goes_by_row(spark):
+    """Repeated and null ids: one row of a component stays, other texts of its id are left alone."""
+    rng = random.Random(12)
+    a, b, c, d = (prose(rng, 40) for _ in range(4))
+    near = a.split()
+    near[39] = "other"
+    rows = [(3, a), (1, " ".join(near)), (3, b), (3, b), (None, c), (None, c), (None, a), (9, d), (None, d),
+            (4, ""), (4, ""), (4, None), (5, ""), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as row", "2 as id").repartition(3)
+    kept = ngram_join.one_of_each(df)
+    assert kept.columns == df.columns
+    want = [(1, " ".join(near)), (3, b), (None, c), (9, d), (4, ""), (4, None), (5, ""), (None, None), (None, "")]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
+
+
 def test_ngram_join_chains_and_shared_passages(spark):
     rng = random.Random(11)
     items, base, passage = [], prose(rng, 80).split(), prose(rng, 55)

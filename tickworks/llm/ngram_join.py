@@ -451,18 +451,30 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents (all columns) that are their component's smallest id, or have no id.
+    """The documents (all columns) of which one stays a component: the smallest id, null ids last, then the smallest text hash.
 
-    Of rows that are equal in id and text one stays.
+    A row counts, not its id: other texts of the same id stay or go by their own component.
+    Documents without words link with nothing and stay, but of those equal in id and text one.
     """
-    found = stored(joined(docs, id_col, text_col), "join-found").where("doc_id is not null")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id")).distinct()
-    left = docs.join(gone, F.col(id_col) == F.col("_gone_id"), "left_anti")
-    again = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again_id"))
-    if again.isEmpty():
-        return left
-    twice = left.join(again, F.col(id_col) == F.col("_again_id"), "left_semi").dropDuplicates([id_col, text_col])
-    return left.join(again, F.col(id_col) == F.col("_again_id"), "left_anti").unionByName(twice)
+    odd = docs.groupBy(F.col(id_col).alias("id")).count().where("id is null or count > 1")
+    if odd.isEmpty():
+        found = stored(joined(docs, id_col, text_col), "join-found")
+        gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id"))
+        return docs.join(gone, F.col(id_col) == F.col("_gone_id"), "left_anti")
+    # repeated or missing ids: the same by row numbers, which are fixed once written
+    rows = stored(docs.withColumn("_each_row", F.monotonically_increasing_id()), "join-rows")
+    found = stored(joined(rows, "_each_row", text_col), "join-found").select(
+        F.col("doc_id").alias("row"), (F.col("n_shingles") > 0).alias("linkable"), "component_id")
+    order = rows.select(F.col("_each_row").alias("row"), F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
+                        F.xxhash64(text_col).alias("text"))
+    ranked = order.join(found, "row")
+    first = F.min(F.struct("no_id", "id", "text", "row")).alias("first")
+    linked = ranked.where("linkable").groupBy("component_id").agg(first).select("first.row")
+    blank = ranked.where("not linkable and not no_id").groupBy("id", "text").agg(F.min("row").alias("row")).select("row")
+    nameless = ranked.where("not linkable and no_id").select("row")
+    stay = linked.unionByName(blank).unionByName(nameless).select(F.col("row").alias("_stay_row"))
+    return (rows.join(stay, F.col("_each_row") == F.col("_stay_row"), "left_semi")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 #: The same rows in SQL on the shingles themselves; for small tables.
