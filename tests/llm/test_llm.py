@@ -237,6 +237,55 @@ def test_op2_carries_the_near_class(spark, docs, rows, empty):
     assert edit_embedding.classed_fingerprints(empty).count() == 0
 
 
+def test_open_bands_travel_by_block(spark, monkeypatch):
+    rng, sent = random.Random(17), []
+    passage = letters(rng, 90)
+    items = [(k, " ".join(passage + letters(rng, 46 - k % 3))) for k in range(160)]  # share bands, few are alike
+    items += [(1_000 + k, items[9 * k][1][:-3] + "xyz") for k in range(12)]
+    real = edit_embedding.cell_links
+    monkeypatch.setattr(edit_embedding, "cell_links", lambda cells, t: sent.append(cells.count()) or real(cells, t))
+    for n, block, part in ((80, 256, 8_192), (172, 256, 8_192), (172, 6, 8)):
+        monkeypatch.setattr(edit_embedding, "BLOCK", block)
+        monkeypatch.setattr(edit_embedding, "PART", part)
+        sent.append(None)
+        got = edit_embedding.near_members(spark.createDataFrame(items[-n:], "doc_id bigint, text string"))
+        assert Counter(map(tuple, got.collect())) == brute_classes(items[-n:])
+    small, large, cut = " ".join(map(str, sent)).split("None ")[1:]
+    assert int(large.split()[0]) < 3 * int(small.split()[0])  # rows with the group's size, not with its square
+    assert len(cut.split()) == 2
+
+
+def test_cell_links_join_labels_once(spark):
+    walk, rng = edit_embedding.EditWalk(), random.Random(23)
+    text = " ".join(letters(rng, 200))
+    items = [text[:k] + "#" + text[k:] for k in range(0, 1_200, 100)] + [" ".join(letters(rng, 200)) for _ in range(3)]
+    prints = [walk.fingerprint(c, walk.walk(c)) for c in map(walk.codes, items)]
+    level = max(p[0] for p in prints)
+    want = [[walk.likeness(a, b) for b in prints] for a in prints]
+    assert np.array_equal(edit_embedding.likenesses(walk, level, prints, prints), want)
+    rows = [(level << 40, 0, 0, k < 5, k, k, bytes([p[0]]) + p[1]) for k, p in enumerate(prints)]
+    cells = spark.createDataFrame(rows, "shingle bigint, block bigint, part bigint, head boolean, node bigint, label bigint, print binary")
+    links = edit_embedding.cell_links(cells, 0.75).collect()
+    assert len(links) == 11 and all(r.a < r.b < 12 and r.likeness == want[r.a][r.b] >= 0.75 for r in links)
+
+
+def test_edited_texts_travel_packed_and_in_text_order(spark, monkeypatch):
+    rng, seen = random.Random(29), []
+    start = " ".join(letters(rng, 30))
+    items = [(i, f"{start} {' '.join(letters(rng, 40))}") for i in (3, None, 3, 3, None, 8, None)]
+    items += [items[0], (2, ""), (4, None), (3, start[:10]), (3, ""), (None, start)]
+    real = edit_embedding.with_next
+    monkeypatch.setattr(edit_embedding, "with_next", lambda src, *a: seen.append(src.columns) or real(src, *a))
+    got = edit_embedding.edited_fingerprints(spark.createDataFrame(items, "doc_id bigint, text string").repartition(3)).collect()
+    assert "text" not in seen[0] and "packed" in seen[0]
+    ordered = sorted(((i, norm(t)) for i, t in items), key=lambda x: (x[0] is not None, x[0] or 0, x[1].encode()))
+    want = []
+    for (i, text), (_, after) in zip(ordered, ordered[1:] + ordered[:1]):
+        cut = len(text) // 4
+        want.append((i, len(text), hashlib.sha256((text[:len(text) - cut] + after[:cut]).encode()).hexdigest()))
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == Counter(want)
+
+
 # -- 3 -----------------------------------------------------------------------
 def test_mixing(rows, docs, empty):
     got = mixing.mix(docs).collect()

@@ -37,16 +37,21 @@ from operator import getitem, itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import empty_text, partitions, stored
-from .ngram_join import GROWTH, components, first_pairs, joined_labels
+from .ngram_join import components, first_pairs, joined_labels
 
 SEED, CLASSES, PERIOD, SAMPLES, GRAM = 20_261, 64, 8_191, 256, 3
 NEAR = 0.75
 BANDS, BAND_BYTES = 16, 4
+#: Prints of a band that are compared with others at once, and rows of a band that one group of a task holds.
+BLOCK, PART = 256, 8_192
+#: Texts are sorted by so many characters before they are packed; longer ties are settled where they are unpacked.
+HEAD = 32
 
 
 class EditWalk:
@@ -156,6 +161,52 @@ def from_text(s: str) -> tuple[int, bytes]:
     return int(level, 16), bytes.fromhex(values)
 
 
+def from_packed(b: bytes) -> tuple[int, bytes]:
+    return b[0], bytes(b[1:])
+
+
+def packed_print(p: str) -> Column:
+    """A fingerprint's text as one byte of its level and the samples."""
+    return F.concat(F.unhex(F.lpad(F.substring_index(p, ".", 1), 2, "0")), F.unhex(F.substring_index(p, ".", -1)))
+
+
+def whole_print(p: str) -> Column:
+    digits = F.lower(F.hex(p))
+    return F.concat(F.regexp_replace(F.substring(digits, 1, 2), "^0", ""), F.lit("."), F.substring(digits, 3, (1 << 31) - 1))
+
+
+@F.pandas_udf(T.BinaryType())
+def packed_text(texts: pd.Series) -> pd.Series:
+    codec = pa.Codec("zstd", compression_level=1)
+    raws = (t.encode("utf-8", "surrogatepass") for t in texts)
+    return pd.Series([len(r).to_bytes(4, "little") + codec.compress(r, asbytes=True) for r in raws], dtype=object)
+
+
+def unpacked(packed: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(packed[4:], int.from_bytes(packed[:4], "little"), asbytes=True)
+
+
+def in_text_order(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """(doc_id, guest, text) of rows sorted by (guest, sort_key, head), equal ones by their whole texts."""
+    held, raws, place = [], {}, None
+
+    def flush() -> Iterator[tuple]:
+        if len(held) > 1:
+            raws.update((k, unpacked(k)) for k in raws)
+            held.sort(key=lambda row: raws[row[2]])
+        for doc_id, guest, packed in held:
+            yield doc_id, guest, (raws[packed] or unpacked(packed)).decode("utf-8", "surrogatepass")
+
+    for pdf in frames:
+        for doc_id, key, head, packed, guest in zip(pdf["doc_id"].astype("Int64"), pdf["sort_key"], pdf["head"], pdf["packed"], pdf["guest"]):
+            if (guest, key, head) != place:
+                yield from flush()
+                held, raws, place = [], {}, (guest, key, head)
+            raws.setdefault(packed, None)
+            held.append((doc_id, guest, packed))
+    yield from flush()
+
+
 def with_next(src: DataFrame, key: str, others: list[str]) -> DataFrame:
     """Deal rows into ranges of ``key`` that also hold the next range's first rows.
 
@@ -211,26 +262,30 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Fingerprint each text, and the text whose last quarter is the next document's start."""
     lowest = F.lit(-(1 << 63))
     src = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), empty_text(text_col).alias("text"))
-    src = src.withColumn("sort_key", F.coalesce("doc_id", lowest))
-    dealt = with_next(src, "sort_key", ["text"]).select("doc_id", "text", "guest")
+    # texts travel packed; the row sort sees their first characters
+    src = src.select("doc_id", F.coalesce("doc_id", lowest).alias("sort_key"), F.substring("text", 1, HEAD).alias("head"),
+                     packed_text("text").alias("packed"))
+    dealt = with_next(src, "sort_key", ["head"]).select("doc_id", "sort_key", "head", "packed", "guest")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        walk, waiting = EditWalk(), None
-        for pdf in frames:
-            rows = []
-            for doc_id, text, guest in zip(pdf["doc_id"].astype("Int64"), pdf["text"], pdf["guest"]):
-                if guest and waiting is None:
-                    continue  # another row with the first id of the next range
-                codes = walk.codes(text)
-                steps = walk.walk(codes)
-                print_ = walk.fingerprint(codes, steps)
-                if waiting:
-                    rows.append(edited(walk, waiting, text, codes, print_))
-                waiting = None if guest else (doc_id, text, codes, steps, print_)
-            if rows:
-                yield pd.DataFrame(rows, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint",
-                                                  "edited_fingerprint", "near_edited", "near_next"]
-                                   ).astype({"doc_id": "Int64"})
+        walk, ordered = EditWalk(), in_text_order(frames)
+        pairs = edited_pairs(walk, ordered)
+        while rows := list(islice(pairs, 1_000)):
+            yield pd.DataFrame(rows, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint",
+                                              "edited_fingerprint", "near_edited", "near_next"]
+                               ).astype({"doc_id": "Int64"})
+
+    def edited_pairs(walk: EditWalk, ordered: Iterator[tuple]) -> Iterator[tuple]:
+        waiting = None
+        for doc_id, guest, text in ordered:
+            if guest and waiting is None:
+                continue  # another row with the first id of the next range
+            codes = walk.codes(text)
+            steps = walk.walk(codes)
+            print_ = walk.fingerprint(codes, steps)
+            if waiting:
+                yield edited(walk, waiting, text, codes, print_)
+            waiting = None if guest else (doc_id, text, codes, steps, print_)
 
     def edited(walk, waiting, next_text, next_codes, next_print) -> tuple:
         doc_id, text, codes, steps, print_ = waiting
@@ -248,61 +303,143 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                   "edited_fingerprint string, near_edited double, near_next double")
 
 
+def padded(values: list[np.ndarray], fill: int) -> tuple[np.ndarray, np.ndarray]:
+    """Samples as rows of one width, ``fill`` behind each, and their numbers."""
+    size = np.array([len(v) for v in values], np.int64)
+    out = np.full((len(values), int(size.max(initial=0))), fill, np.int16)
+    out[np.arange(out.shape[1]) < size[:, None]] = np.concatenate(values) if values else 0
+    return out, size
+
+
+def likenesses(walk: EditWalk, level: int, a: list[tuple[int, bytes]], b: list[tuple[int, bytes]]) -> np.ndarray:
+    """``walk.likeness`` of every print of ``a`` with every one of ``b``, prints of ``level`` or the one below."""
+    def table(level: int, a: list, b: list) -> np.ndarray:
+        (x, nx), (y, ny) = padded([walk.coarse(f, level) for f in a], -1), padded([walk.coarse(f, level) for f in b], -2)
+        both = min(x.shape[1], y.shape[1])
+        out = np.empty((len(a), len(b)))
+        step = max(1, (1 << 24) // max(1, len(a) * both))
+        for k in range(0, len(b), step):
+            out[:, k:k + step] = (x[:, None, :both] == y[None, k:k + step, :both]).sum(axis=2)
+        most = np.maximum(nx[:, None], ny[None, :])
+        return np.where(most > 0, out / np.maximum(most, 1), 1.0)
+
+    out = table(level, a, b)
+    i, j = (np.flatnonzero([f[0] < level for f in own]) for own in (a, b))
+    if len(i) and len(j):  # both are of the level below: that is where their likeness is taken
+        out[np.ix_(i, j)] = table(level - 1, [a[k] for k in i], [b[k] for k in j])
+    return out
+
+
+def cell_links(cells: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, likeness) of links that join labels, of rows (shingle, block, part, head, node, label, print).
+
+    The heads of a cell are compared with all its rows, block by block; of the links found, those stay that
+    join labels not joined in the cell yet, fewer than its labels.
+    """
+    key = ["shingle", "block", "part"]
+    dealt = cells.repartition(partitions(cells), *key).sortWithinPartitions(*key, F.desc("head"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        walk, cell, heads, up = EditWalk(), None, None, {}
+
+        def top(x: int) -> int:
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+
+        for pdf in frames:
+            out, places = [], pdf[key].to_numpy()
+            all_prints, nodes, labels, is_head = [from_packed(x) for x in pdf["print"]], *(pdf[c].to_numpy() for c in ("node", "label", "head"))
+            starts = np.flatnonzero(np.append(True, (places[1:] != places[:-1]).any(axis=1))[:len(pdf)]).tolist()
+            for begin, end in zip(starts, [*starts[1:], len(pdf)]):
+                own = tuple(places[begin].tolist())
+                prints, node, label = all_prints[begin:end], nodes[begin:end], labels[begin:end]
+                if own != cell:
+                    cell, heads, up = own, ([], node[:0], label[:0]), {}
+                n = int(is_head[begin:end].sum())
+                heads = (heads[0] + prints[:n], np.append(heads[1], node[:n]), np.append(heads[2], label[:n]))
+                if not heads[0]:
+                    continue
+                like = likenesses(walk, own[0] >> 40, heads[0], prints)
+                i, j = np.nonzero((like >= threshold) & (heads[2][:, None] != label[None, :]))
+                _, first = np.unique(np.stack([heads[2][i], label[j]], axis=1), axis=0, return_index=True)
+                for k in first.tolist():
+                    x, y = top(heads[2][i[k]]), top(label[j[k]])
+                    if x != y:
+                        up[x] = y
+                        a, b = heads[1][i[k]], node[j[k]]
+                        out.append((min(a, b), max(a, b), like[i[k], j[k]]))
+            if out:
+                yield pd.DataFrame(out, columns=["a", "b", "likeness"])
+
+    return dealt.mapInPandas(run, "a bigint, b bigint, likeness double")
+
+
 def linked_prints(prints: DataFrame, threshold: float = NEAR) -> tuple[DataFrame, DataFrame]:
-    """(a, b, likeness) of verified links and (node, label) of the linked prints, by ``key``, of (key, fingerprint).
+    """(a, b, likeness) of verified links and (node, label) of the linked prints, by ``key``, of (key, fingerprint packed).
 
     A band is ``BAND_BYTES`` sampled bytes at shared places all over the text; a text gives
     its bands at its own level and the next, so that lengths near a level's edge still meet.
-    Of a band's prints the first is paired with every other; bands whose prints then lie in
-    different components go on with the next 3, 12, 48, ... heads, as in ``ngram_join``.
+    Of a band's prints the first is paired with every other. In bands whose prints then lie in
+    different components, the next ``BLOCK`` prints are compared with all others; at last, among the prints
+    behind these, all outside the band's largest component with all. A row travels once a block of such prints,
+    not once a pair.
     """
     def bands(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         walk, seen = EditWalk(), set()
         for pdf in frames:
             own = pdf[np.array([k not in seen and not seen.add(k) for k in pdf["key"].tolist()], bool)]
-            keys = [walk.bands(from_text(s), threshold) for s in own["fingerprint"]]
+            keys = [walk.bands(from_packed(b), threshold) for b in own["fingerprint"]]
             if keys:
                 yield pd.DataFrame({"shingle": np.concatenate(keys), "node": own["key"].repeat([len(k) for k in keys]), "place": 1 << 32})
 
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         walk = EditWalk()
         for pdf in frames:
-            like = [walk.likeness(from_text(a), from_text(b)) for a, b in zip(pdf["print_a"], pdf["print_b"])]
+            like = [walk.likeness(from_packed(a), from_packed(b)) for a, b in zip(pdf["print_a"], pdf["print_b"])]
             yield pdf[["a", "b"]].assign(likeness=like)
 
     met = stored(first_pairs(prints.mapInPandas(bands, "shingle bigint, node bigint, place bigint")), "edit-met")
-    pairs = stored(met.where("kind = 0").select("a", "b").distinct(), "edit-pairs")
-    open_rows = met.where("kind = 1").select("shingle", F.col("a").alias("node"), "idx")
-    involved = (pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
-                .unionByName(open_rows.select(F.col("node").alias("key"))).distinct())
+    pairs = met.where("kind = 0").select("a", "b").distinct()
+    # a row a print with its bands, few for each: labels are joined to prints, not to bands
+    open_prints = stored(met.where("kind = 1").groupBy(F.col("a").alias("node"))
+                         .agg(F.collect_list(F.struct("shingle", "idx")).alias("bands")), "edit-open")
+    involved = met.select(F.explode(F.when(F.col("kind") == 0, F.array("a", "b")).otherwise(F.array("a"))).alias("key")).distinct()
     wanted = stored(prints.join(involved, "key", "left_semi").dropDuplicates(["key"]), "edit-prints")
-    left, right = (wanted.select(F.col("key").alias(x), F.col("fingerprint").alias(f"print_{x}")) for x in "ab")
-
-    def verified(some: DataFrame) -> DataFrame:
-        return stored(some.join(left, "a").join(right, "b").mapInPandas(verify, "a bigint, b bigint, likeness double")
-                      .where(F.col("likeness") >= threshold), "edit-links")
-
-    links = verified(pairs)
-    labels, lo = components(links.select("a", "b")), 1
-    while True:
-        rows = open_rows.join(labels, "node", "left").select("shingle", "node", "idx", F.coalesce("label", "node").alias("label"))
-        apart = (rows.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("idx").alias("z"))
-                 .where(f"x <> y and z > {lo}").select("shingle"))
-        rows = stored(rows.join(apart, "shingle", "left_semi"), "edit-open")
+
+    def prints_of(x: str, name: str) -> DataFrame:
+        # prints are shuffled at every size, never broadcast
+        return wanted.select(F.col("key").alias(x), F.col("fingerprint").alias(name)).hint("merge")
+
+    links = stored(pairs.join(prints_of("a", "print_a"), "a").join(prints_of("b", "print_b"), "b")
+                   .mapInPandas(verify, "a bigint, b bigint, likeness double").where(F.col("likeness") >= threshold), "edit-links")
+    labels = components(links.select("a", "b"))
+    own_part = F.pmod(F.xxhash64("node"), F.col("n_parts"))
+    for last in (False, True):
+        # the first prints of a band are compared with all before, so the rest among themselves is left
+        rows = (open_prints.join(labels, "node", "left")
+                .select("node", F.coalesce("label", "node").alias("label"), F.inline("bands"))
+                .where(f"idx > {BLOCK if last else 0}"))
+        sizes = (rows.groupBy("shingle", "label").count().groupBy("shingle")
+                 .agg(F.max_by("label", F.struct("count", "label")).alias("most"), F.sum("count").alias("n"), F.max("count").alias("m"))
+                 .where("m < n").select("shingle", "most", F.ceil(F.col("n") / PART).alias("n_parts"),
+                                        F.ceil((F.col("n") - F.col("m")) / BLOCK if last else F.lit(1)).alias("n_blocks")))
+        rows = rows.join(sizes, "shingle").withColumns({
+            "is_head": F.col("label") != F.col("most") if last else F.col("idx") <= BLOCK,
+            "own_block": F.pmod(F.xxhash64("node", "shingle"), F.col("n_blocks")), "own_part": own_part})
+        rows = stored(rows.select("shingle", "node", "label", "is_head", "n_blocks", "n_parts", "own_block", "own_part"), "edit-open")
         if rows.isEmpty():
-            return links, labels
-        heads = rows.where(f"idx >= {lo} and idx < {GROWTH * lo}").select(
-            "shingle", F.col("node").alias("h_node"), F.col("idx").alias("h_idx"), F.col("label").alias("h_label"))
-        more = (heads.join(rows, "shingle").where((F.col("idx") > F.col("h_idx")) & (F.col("label") != F.col("h_label")))
-                .select(F.least("node", "h_node").alias("a"), F.greatest("node", "h_node").alias("b")).distinct()
-                .join(pairs, ["a", "b"], "left_anti"))
-        more = stored(more, "edit-pairs")
-        pairs = pairs.unionByName(more)
-        if not more.isEmpty():
-            found = verified(more)
-            if not found.isEmpty():
-                links, labels = links.unionByName(found), joined_labels(labels, found.select("a", "b"))
-        open_rows, lo = rows.drop("label"), GROWTH * lo
+            continue
+        cells = F.expr("""concat(
+            transform(filter(sequence(0L, n_parts - 1), p -> is_head),
+                      p -> struct(own_block as block, p as part, true as head)),
+            transform(filter(sequence(0L, n_blocks - 1), b -> not is_head or b <> own_block),
+                      b -> struct(b as block, own_part as part, false as head)))""")
+        found = stored(cell_links(rows.join(prints_of("node", "print"), "node")
+                                  .select("shingle", "node", "label", "print", F.inline(cells)), threshold), "edit-links")
+        if not found.isEmpty():
+            links, labels = links.unionByName(found), joined_labels(labels, found.select("a", "b"))
+    return links, labels
 
 
 def near_classes(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -325,20 +462,19 @@ def with_near_class(rows: DataFrame, threshold: float = NEAR) -> DataFrame:
 def classed_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``edited_fingerprints`` with ``near_class``: the banded and verified class of every document.
 
-    The rows wait in the shared folder with hex digits packed.
+    The rows wait in the shared folder, and meet their classes, with hex digits packed.
     """
     prints = ["fingerprint", "edited_fingerprint"]
-    rows = edited_fingerprints(docs, id_col, text_col)
-    packed = {p: F.struct(F.substring_index(p, ".", 1).alias("level"), F.unhex(F.substring_index(p, ".", -1)).alias("samples")) for p in prints}
-    rows = stored(rows.withColumns(packed | {"edited_sha256": F.unhex("edited_sha256")}), "edit-rows")
-    whole = {p: F.concat(f"{p}.level", F.lit("."), F.lower(F.hex(f"{p}.samples"))) for p in prints}
-    rows = rows.withColumns(whole | {"edited_sha256": F.lower(F.hex("edited_sha256"))}).withColumn("key", F.xxhash64("fingerprint"))
-    return with_near_class(rows).drop("key")
+    rows = edited_fingerprints(docs, id_col, text_col).withColumn("key", F.xxhash64("fingerprint"))
+    rows = stored(rows.withColumns({p: packed_print(p) for p in prints} | {"edited_sha256": F.unhex("edited_sha256")}), "edit-rows")
+    whole = {p: whole_print(p) for p in prints} | {"edited_sha256": F.lower(F.hex("edited_sha256"))}
+    return with_near_class(rows).drop("key").withColumns(whole)
 
 
 def near_members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = NEAR) -> DataFrame:
     """(doc_id, near_class) of every document; exact copies are in one class."""
-    prints = stored(fingerprints(docs, id_col, text_col).withColumn("key", F.xxhash64("fingerprint")), "edit-rows")
+    prints = stored(fingerprints(docs, id_col, text_col).withColumn("key", F.xxhash64("fingerprint"))
+                    .withColumn("fingerprint", packed_print("fingerprint")), "edit-rows")
     return with_near_class(prints, threshold).select("doc_id", "near_class")
 
 
@@ -350,7 +486,7 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     prints = stored(fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text_col)
                     .groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
-                    .withColumn("key", F.xxhash64("fingerprint")), "edit-rows")
+                    .withColumn("key", F.xxhash64("fingerprint")).withColumn("fingerprint", packed_print("fingerprint")), "edit-rows")
     links, _ = linked_prints(prints.select("key", "fingerprint"), threshold)
     a, b = (prints.select(F.col("key").alias(x), F.col("doc_id").alias(f"id_{x}")) for x in "ab")
     return links.join(a, "a").join(b, "b").select(
