@@ -693,3 +693,33 @@ def test_batched_byte_bpe_equals_the_library():
     ids, n = coder.encode_all(texts)
     for t, got in zip(texts, np.split(ids, np.cumsum(n)[:-1])):
         assert got.tolist() == coder.lib.encode(t, add_special_tokens=False).ids
+
+
+def test_new_chunks_go_to_the_library_together(monkeypatch):
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice(["", "(", "x1"]) + w + rng.choice(["", ",", ".", "!?", "é"]) for w in letters(rng, 60)) for _ in range(40)]
+    texts += ["Σας ﬁ 日本 don't", "\u0500a \u04ffb", "a b. b c. c.", "q \nw e\n r"]
+    coder = token_files.ByteBpe(tokenizer_file("byte_bpe_50k.json"))
+    alone, real = [], coder.chunk_ids
+    monkeypatch.setattr(coder, "chunk_ids", lambda chunk: alone.append(chunk) or real(chunk))
+    ids, n = coder.encode_all(texts)
+    for t, got in zip(texts, np.split(ids, np.cumsum(n)[:-1])):
+        assert got.tolist() == coder.lib.encode(t, add_special_tokens=False).ids
+    assert len(alone) < 60 < len({c for t in texts for c in t.split()}) / 10  # first words, marks and odd ones
+    monkeypatch.setattr(coder, "width", np.ones_like(coder.width))  # lengths that do not agree: each chunk alone
+    assert coder.known_all([" zyxw", " vut."]) == [real(" zyxw"), real(" vut.")]
+
+
+def test_words_take_the_most_ids_that_fit():
+    rng = np.random.default_rng(5)
+    counts = [(1, token_files.ZEROS), *token_files.COUNTS.items()]
+    for widths in ([16], [1, 16], [0], [0, 0, 0, 60, 61, 64], list(range(65))):
+        for n in (1, 59, 119, 120, 121, 700):
+            ids = np.array([int(rng.integers(0, 1 << 62)) << 2 >> 64 - int(w) if w else 0 for w in np.repeat(rng.choice(widths, n), rng.choice([1, 1, 150], n))[:n]], np.uint64)
+            words, i, heads = token_files.pack_block(ids), 0, []
+            while i < n:
+                sel = next((s for s, c in counts if (s > 1 or i + c <= n) and int(ids[i:i + c].max()) <= (0 if s == 1 else (1 << 60 // c) - 1)), 0)
+                heads += [sel] + [None] * (sel == 0)
+                i += dict(counts).get(sel, 1)
+            assert len(heads) == len(words) and all(h is None or int(w) >> 60 == h for h, w in zip(heads, words))
+            assert (token_files.unpack_block(words, n) == ids).all()

@@ -49,6 +49,8 @@ from .common import empty_text, partitions, rebatch
 MAGIC = 0x5338_4944_5331_0001
 BLOCK = 65_536
 CACHE_CHUNKS, BATCH_CHARS = 300_000, 4_000_000
+#: New chunks that go to the library as one text.
+JOINED_CHUNKS = 16_384
 #: The driver samples rows' sort keys for the range bounds, so a key holds a text's beginning only; order within a range is by whole texts.
 BOUND_CHARS = 64
 #: What the library's pattern takes for white space, as a class of Arrow's regular expressions.
@@ -64,20 +66,21 @@ def pack_block(ids: np.ndarray) -> np.ndarray:
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64)
-    place = np.arange(n)
+    # the narrowest coding of each id; behind the block anything fits, so a short last word is padded with zeros
+    need, largest = np.zeros(n + ZEROS, np.uint8), ids.max()
+    for top in (0, *((1 << (60 // c)) - 1 for c in COUNTS.values())):
+        if top >= largest:
+            break
+        need[:n] += ids > np.uint64(top)
     selector = np.zeros(n, np.uint8)
-    chosen = np.zeros(n, bool)
-    for sel, count, top in [(1, ZEROS, 0), *((s, c, (1 << (60 // c)) - 1) for s, c in COUNTS.items())]:
-        fits = ids <= np.uint64(top)
-        breaks = np.flatnonzero(~fits)
-        # the longest run of ids that fit; a run up to the end may be padded
-        if len(breaks) and max(breaks[0], np.diff(breaks).max(initial=1) - 1) < count and breaks[-1] == n - 1:
-            continue
-        # how far from each place all ids fit; a short last word is padded with zeros
-        far = np.minimum.accumulate(np.where(fits, n + ZEROS, place)[::-1])[::-1] - place
-        ok = ~chosen & fits & ((far >= count) if sel != 1 else (far >= ZEROS) & (place + ZEROS <= n))
+    wide, size = need, 1  # the widest of ``size`` ids from each place on
+    for sel, count in reversed([(1, ZEROS), *COUNTS.items()]):
+        while 2 * size <= count:
+            wide, size = np.maximum(wide[:-size], wide[size:]), 2 * size
+        ok = np.maximum(wide[:n], wide[count - size:count - size + n]) < sel
+        if sel == 1:  # only whole runs of zeros
+            ok[max(0, n - ZEROS + 1):] = False
         selector[ok] = sel
-        chosen |= ok
     counts = np.zeros(16, np.int64)
     counts[0], counts[1] = 1, ZEROS
     for s, c in COUNTS.items():
@@ -179,7 +182,7 @@ class ByteBpe:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
@@ -192,6 +195,13 @@ class ByteBpe:
         self.marks = frozenset(".,;:!?")
         self.split, self.merge = self.lib.pre_tokenizer.pre_tokenize_str, self.lib.model.tokenize
         self.spelling = dict(enumerate(byte_alphabet()))  # how the vocabulary writes a byte
+        vocab = self.lib.get_vocab(with_added_tokens=False)
+        self.width = np.zeros(max(vocab.values(), default=-1) + 1, np.int64)  # bytes that an id stands for
+        self.width[list(vocab.values())] = [len(token) for token in vocab]
+        # the library's merges alone, for pieces that are spelled already and lie one to a line
+        self.lines = Tokenizer(self.lib.model)
+        self.lines.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        self.spelled_lines = {k: v for k, v in self.spelling.items() if k != 10}
 
     def chunks(self, text: str) -> list[str]:
         parts = self.lone.split(text) if self.double.search(text) else text.split(" ")
@@ -203,11 +213,84 @@ class ByteBpe:
             ids = self.old.get(chunk)
             if ids is None:
                 ids = self.chunk_ids(chunk)
-            if len(self.cache) >= CACHE_CHUNKS:
-                self.old, self.cache = self.cache, {}
-            self.cache[chunk] = ids
+            self.keep(chunk, ids)
         return ids
 
+    def keep(self, chunk: str, ids: bytes) -> None:
+        if len(self.cache) >= CACHE_CHUNKS:
+            self.old, self.cache = self.cache, {}
+        self.cache[chunk] = ids
+
+    def known_all(self, chunks: list[str]) -> list[bytes]:
+        """``known`` of distinct chunks; new ones go to the library together.
+
+        A space and letters are one piece, so such chunks go as lines. Others that begin with a lone space and end
+        without white space keep their pieces when they follow one another. Where ids do not end with each
+        chunk, every chunk is asked for alone.
+        """
+        got = list(map(self.cache.get, chunks))
+        words, marked, mixed = {}, [], []
+        for i, ids in enumerate(got):
+            if ids is not None:
+                continue
+            chunk = chunks[i]
+            ids = self.old.get(chunk)
+            if ids is not None:
+                got[i] = ids
+                self.keep(chunk, ids)
+            elif chunk[:1] == " " and chunk[1:].isalpha() and self.plain(chunk):
+                words[chunk] = i
+            elif chunk[:1] == " " and chunk[-1] in self.marks and chunk[1:-1].isalpha() and self.plain(chunk):
+                marked.append(i)
+            elif chunk[:1] == " " and len(chunk) > 1 and not (chunk[1].isspace() or chunk[-1].isspace()):
+                mixed.append(i)
+            else:
+                got[i] = self.known(chunk)
+        stems = {}
+        for i in marked:
+            word = chunks[i][:-1]
+            if word not in words and word not in stems:
+                stems[word] = self.cache.get(word) or self.old.get(word)
+        asked = [*words, *(word for word, ids in stems.items() if ids is None)]
+        for k in range(0, len(asked), JOINED_CHUNKS):
+            own = asked[k:k + JOINED_CHUNKS]
+            text = "\n".join(own).encode().decode("latin-1").translate(self.spelled_lines)
+            for word, ids in zip(own, self.joined_ids(self.lines, text, own)):
+                self.keep(word, ids)
+                if word in words:
+                    got[words[word]] = ids
+                else:
+                    stems[word] = ids
+        for i in marked:
+            word = chunks[i][:-1]
+            got[i] = (got[words[word]] if word in words else stems[word]) + self.known(chunks[i][-1])
+            self.keep(chunks[i], got[i])
+        for k in range(0, len(mixed), JOINED_CHUNKS):
+            places = mixed[k:k + JOINED_CHUNKS]
+            own = [chunks[i] for i in places]
+            text = "".join(own)
+            for i, ids in zip(places, map(self.chunk_ids, own) if any(a in text for a in self.added)
+                              else self.joined_ids(self.lib, text, own)):
+                got[i] = ids
+                self.keep(chunks[i], ids)
+        return got
+
+    @staticmethod
+    def plain(chunk: str) -> bool:
+        """Letters below U+0500 are the same in all versions of Unicode in use."""
+        return chunk.isascii() or max(chunk) < "\u0500"
+
+    def joined_ids(self, coder, text: str, chunks: list[str]) -> list[bytes]:
+        """``chunk_ids`` of each chunk, from ``coder``'s ids of one text that holds all."""
+        ids = np.array(coder.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        if len(ids) and ids.max() < len(self.width):
+            reached, ends = np.cumsum(self.width[ids]), np.cumsum([len(c.encode()) for c in chunks])
+            at = np.searchsorted(reached, ends)
+            if reached[-1] == ends[-1] and (reached[at] == ends).all():
+                raw, stops = ids.tobytes(), (4 * (at + 1)).tolist()
+                return [raw[a:b] for a, b in zip([0, *stops], stops)]
+        return [self.chunk_ids(c) for c in chunks]
+
     def encode(self, text: str) -> np.ndarray:
         if any(a in text for a in self.added):
             return np.array(self.lib.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -241,8 +324,7 @@ class ByteBpe:
         codes = codes.astype(np.int64)
         codes[first] = len(spelled) + own
         chunks = [" " + w for w in spelled] + [spelled[k] for k in starts]
-        got = list(map(self.cache.get, chunks))
-        got = [self.known(c) if g is None else g for c, g in zip(chunks, got)]
+        got = self.known_all(chunks)
         size = np.fromiter(map(len, got), np.int64, len(got)) // 4
         begin = np.cumsum(size) - size
         sizes = size[codes]
@@ -252,10 +334,10 @@ class ByteBpe:
 
     def chunk_ids(self, chunk: str) -> bytes:
         """The library's split and merges of one chunk, little-endian."""
-        # a space and letters are one piece; letters below U+0500 are the same in all versions of Unicode in use
-        if chunk[:1] == " " and chunk[1:].isalpha() and max(chunk) < "\u0500":
+        # a space and letters are one piece
+        if chunk[:1] == " " and chunk[1:].isalpha() and self.plain(chunk):
             pieces = [chunk.encode().decode("latin-1").translate(self.spelling)]
-        elif chunk[:1] == " " and chunk[-1] in self.marks and chunk[1:-1].isalpha() and max(chunk) < "\u0500":
+        elif chunk[:1] == " " and chunk[-1] in self.marks and chunk[1:-1].isalpha() and self.plain(chunk):
             # letters, then one mark: two pieces, of which the word is often known already
             return self.known(chunk[:-1]) + self.known(chunk[-1])
         else:
