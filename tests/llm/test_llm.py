@@ -710,6 +710,44 @@ def test_new_chunks_go_to_the_library_together(monkeypatch):
     assert coder.known_all([" zyxw", " vut."]) == [real(" zyxw"), real(" vut.")]
 
 
+def test_words_behind_line_breaks_are_asked_for_once(monkeypatch):
+    rng = random.Random(12)
+    pool = letters(rng, 200) + ["Été", "\u0394x", "\u0500b", "don't", "x1,", "日本"]
+    texts = ["".join(rng.choice([" ", "\n", ". ", ".\n", ",\n"]) + rng.choice(pool) for _ in range(30))[rng.randint(0, 1):]
+             for _ in range(300)]
+    texts += ["", "\n", "\t", "\x1c", "\u3000", " ", "\na", "\ta", "a\n", "a\t", "\n a", "\n\n", "\n\na b", "a\n\nb.\n c", ".\n.", "\n.", "a\r\nb c\r\n", "a\tb,\nc\t d", "a!?\n(b\nc-d.\n"]
+    coder, asked = token_files.ByteBpe(tokenizer_file("byte_bpe_50k.json")), []
+    real = coder.joined_ids
+    monkeypatch.setattr(coder, "joined_ids", lambda c, text, chunks: asked.extend(map(str, chunks)) or real(c, text, chunks))
+    for most in (token_files.CACHE_CHUNKS, 50):  # then words are forgotten between batches
+        monkeypatch.setattr(token_files, "CACHE_CHUNKS", most)
+        for k in range(0, len(texts), 40):
+            ids, n = coder.encode_all(texts[k:k + 40])
+            for t, got in zip(texts[k:k + 40], np.split(ids, np.cumsum(n)[:-1]), strict=True):
+                assert got.tolist() == coder.lib.encode(t, add_special_tokens=False).ids
+        if most > 50:  # a word has one entry, whatever break and mark stand beside it
+            words = [c for c in asked if c.strip().isalpha() and max(c) < "\u0500"]
+            assert len(words) == len(set(words)) <= 2 * len(pool) and not any("\n" in c for c in words)
+            assert len(asked) < len({c for t in texts for c in t.split(" ")}) / 2
+
+
+def test_line_breaks_that_are_no_piece_of_their_own(tmp_path):
+    from tokenizers import Regex, Tokenizer, pre_tokenizers
+    lib = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
+    pattern = r"[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"
+    lib.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(pattern), "isolated"),
+                                                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    lib.save(str(tmp_path / "other.json"))
+    coder = token_files.ByteBpe(str(tmp_path / "other.json"))
+    assert not coder.breaks and token_files.ByteBpe(tokenizer_file("byte_bpe_50k.json")).breaks
+    rng = random.Random(13)
+    texts = ["".join(rng.choice([" ", "\n", ". ", ".\n", ")\n", "\n\n"]) + w for w in letters(rng, 20)) for _ in range(100)]
+    texts += ["", "\n", "a\n", "a.\n", "\na", "a.\n\n b"]
+    ids, n = coder.encode_all(texts)
+    for t, got in zip(texts, np.split(ids, np.cumsum(n)[:-1]), strict=True):
+        assert got.tolist() == lib.encode(t, add_special_tokens=False).ids
+
+
 def test_words_take_the_most_ids_that_fit():
     rng = np.random.default_rng(5)
     counts = [(1, token_files.ZEROS), *token_files.COUNTS.items()]
